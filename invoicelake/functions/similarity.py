@@ -9,11 +9,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
-MATCH = "vendor_id string, vendor_name string, score double"
+MATCH = (StructType().add("vendor_id", StringType()).add("vendor_name", StringType()).add("score", DoubleType()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(first: pd.Series, second: pd.Series) -> pd.Series:
     """Ratio in argument order (it is not symmetric); NULL when either side is NULL."""
     out = [None if a is None or b is None else 1.0 if a == b else SequenceMatcher(None, a, b).ratio()
