@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from invoicelake.session import cut_lineage
+
 BUCKETS = 128          # upper bound on the rows of the bucket table for numeric keys
 HASH_DIGITS = 3        # 16**3 = 4096 buckets for hashed keys
 
@@ -57,6 +59,7 @@ def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     """One row with an array of exact, linearly interpolated quantiles; no task sees all values."""
     counts = (df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
               .groupBy("x").agg(F.count("*").alias("n")))
+    counts = cut_lineage(counts)
     placed = with_prefix(counts, "x", ["n"]).withColumn("size", counts.agg(F.sum("n")).scalar())
     first = F.col("size") - F.col("n_before") - F.col("n")          # rows with a smaller value
     last = first + F.col("n") - 1

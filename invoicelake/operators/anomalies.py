@@ -67,16 +67,14 @@ def compare(scored: DataFrame, names: list[str], label: str = "is_anomaly", key:
             budget: float = REVIEW_BUDGET) -> DataFrame:
     """One row per score: ROC-AUC, average precision, precision at the number of anomalies, recall in the budget.
 
-    ``scored`` is read several times per score: pass a table or a persisted frame.
+    ``scored`` is read several times: pass a table or a checkpoint.
     """
     table = None
     for name in names:
-        row = metrics.precision_at_k(scored, name, label, key)
-        row = row.select(
-            F.lit(name).alias("score"), metrics.roc_auc(scored, name, label).scalar().alias("roc_auc"),
-            metrics.average_precision(scored, name, label).scalar().alias("avg_precision"), "k", "precision_at_k",
-            metrics.recall_at_budget(scored, name, label, key, budget).select("budget").scalar().alias("budget"),
-            metrics.recall_at_budget(scored, name, label, key, budget).select("recall_at_budget").scalar()
-            .alias("recall_at_budget"))
+        tops = {"k": F.col("positives"), "budget": metrics.budget_rows(budget)}
+        row = metrics.score_report(scored, name, label, key, tops).select(
+            F.lit(name).alias("score"), "roc_auc", "avg_precision", F.col("k_k").alias("k"),
+            metrics.share(F.col("hits_k"), F.col("k_k")).alias("precision_at_k"), F.col("k_budget").alias("budget"),
+            metrics.share(F.col("hits_budget"), F.col("positives")).alias("recall_at_budget"))
         table = row if table is None else table.unionByName(row)
     return table

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from invoicelake.functions.ordering import seeded_hash, with_prefix, with_rank
+from invoicelake.session import cut_lineage
 
 
 def share(part: Column, whole: Column, otherwise: float | None = None) -> Column:
@@ -23,64 +24,81 @@ def score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
 
 def _ranked(scored: DataFrame, score: str, label: str) -> DataFrame:
     """Score counts with the rows and positives above each score and the totals."""
-    counts = score_counts(scored, score, label)
+    counts = cut_lineage(score_counts(scored, score, label))
     totals = counts.agg(F.struct(F.sum("n").alias("n"), F.sum("p").alias("p")).alias("t")).scalar()
     return with_prefix(counts, "score", ["n", "p"]).withColumn("all", totals)
 
 
-def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
+def _auc() -> Column:
     """Share of (positive, negative) couples in the right order; a tie counts half."""
     n, p = F.col("n") - F.col("p"), F.col("p")
     below = (F.col("all.n") - F.col("all.p")) - (F.col("n_before") - F.col("p_before")) - n
-    won = p * (below + n / 2)
-    return _ranked(scored, score, label).agg(
-        share(F.sum(won), F.first("all.p") * (F.first("all.n") - F.first("all.p"))).alias("roc_auc"))
+    return share(F.sum(p * (below + n / 2)), F.first("all.p") * (F.first("all.n") - F.first("all.p")))
 
 
-def average_precision(scored: DataFrame, score: str, label: str) -> DataFrame:
+def _average_precision() -> Column:
     """Precision at every distinct score, weighted by the recall it adds."""
     precision = (F.col("p_before") + F.col("p")) / (F.col("n_before") + F.col("n"))
-    return _ranked(scored, score, label).agg(
-        share(F.sum(F.col("p") * precision), F.first("all.p")).alias("avg_precision"))
+    return share(F.sum(F.col("p") * precision), F.first("all.p"))
+
+
+def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
+    return _ranked(scored, score, label).agg(_auc().alias("roc_auc"))
+
+
+def average_precision(scored: DataFrame, score: str, label: str) -> DataFrame:
+    return _ranked(scored, score, label).agg(_average_precision().alias("avg_precision"))
+
 
+def budget_rows(budget: float) -> Column:
+    """Rows a review budget pays for: the whole part of the share, one at least."""
+    return F.greatest(F.lit(1).cast("long"), F.floor(F.col("rows") * F.lit(budget)))
 
-def positives_on_top(scored: DataFrame, score: str, label: str, key: str, k: Column) -> DataFrame:
-    """One row: k, positives among the k best scores (``hits``), all positives, all rows.
 
-    ``k`` is an expression over ``rows`` and ``positives``. Equal scores are ordered by a hash of ``key``; only
-    the rows that tie at the cut are ranked.
+def score_report(scored: DataFrame, score: str, label: str, key: str, tops: dict[str, Column]) -> DataFrame:
+    """One row: rows, positives, roc_auc, avg_precision and, for every entry of ``tops``, its size ``k_<name>``
+    and the positives among that many best scores ``hits_<name>``.
+
+    Sizes are expressions over ``rows`` and ``positives``. Equal scores are ordered by a hash of ``key``; only the
+    rows that tie at a cut are ranked.
     """
     base = (scored.select(F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("y"),
                           F.col(key).alias("key")).filter(F.col("score").isNotNull()))
-    ranked = (_ranked(base, "score", "y").withColumn("rows", F.col("all.n")).withColumn("positives", F.col("all.p"))
-              .withColumn("k", k.cast("long")))
-    whole = F.when(F.col("n_before") + F.col("n") <= F.col("k"), F.col("p")).otherwise(0)
-    cut = (F.col("n_before") < F.col("k")) & (F.col("k") < F.col("n_before") + F.col("n"))
-    summary = ranked.agg(F.sum(whole).alias("whole"), F.max("k").alias("k"), F.max("rows").alias("rows"),
-                         F.max("positives").alias("positives"), F.max(F.when(cut, F.col("score"))).alias("cut"),
-                         F.max(F.when(cut, F.col("k") - F.col("n_before"))).alias("left"))
-    edge = summary.select(F.struct("cut", "left").alias("e")).scalar()
-    ties = base.withColumn("e", edge).filter(F.col("score") == F.col("e.cut"))
-    ties = with_rank(ties.withColumn("h", seeded_hash("key", "tie")), "h", "key")
-    extra = ties.filter(F.col("rank") <= F.col("e.left")).agg(F.coalesce(F.sum("y"), F.lit(0))).scalar()
-    return summary.select("k", (F.col("whole") + extra).alias("hits"), "positives", "rows")
+    ranked = (_ranked(base, "score", "y").withColumn("rows", F.col("all.n")).withColumn("positives", F.col("all.p")))
+    columns = [F.max("rows").alias("rows"), F.max("positives").alias("positives"), _auc().alias("roc_auc"),
+               _average_precision().alias("avg_precision")]
+    for name, size in tops.items():
+        ranked = ranked.withColumn(f"k_{name}", size.cast("long"))
+        k, upto = F.col(f"k_{name}"), F.col("n_before") + F.col("n")
+        cut = (F.col("n_before") < k) & (k < upto)
+        columns += [F.max(k).alias(f"k_{name}"), F.sum(F.when(upto <= k, F.col("p")).otherwise(0)).alias(f"whole_{name}"),
+                    F.max(F.when(cut, F.col("score"))).alias(f"cut_{name}"),
+                    F.max(F.when(cut, k - F.col("n_before"))).alias(f"left_{name}")]
+    summary = ranked.agg(*columns).first()          # one row of sums
+    out = [F.lit(summary[c]).cast(t).alias(c) for c, t in
+           [("rows", "long"), ("positives", "long"), ("roc_auc", "double"), ("avg_precision", "double")]]
+    for name in tops:
+        hits = F.lit(summary[f"whole_{name}"]).cast("long")
+        if summary[f"cut_{name}"] is not None:
+            ties = base.filter(F.col("score") == F.lit(summary[f"cut_{name}"]))
+            ties = with_rank(ties.withColumn("h", seeded_hash("key", "tie")), "h", "key")
+            inside = ties.filter(F.col("rank") <= summary[f"left_{name}"])
+            hits = hits + inside.agg(F.coalesce(F.sum("y"), F.lit(0))).scalar()
+        out += [F.lit(summary[f"k_{name}"]).cast("long").alias(f"k_{name}"), hits.alias(f"hits_{name}")]
+    return scored.sparkSession.range(1).select(*out)
 
 
 def precision_at_k(scored: DataFrame, score: str, label: str, key: str, k: Column | None = None) -> DataFrame:
     """Share of positives among the top k; k is the number of positives unless given."""
-    top = positives_on_top(scored, score, label, key, F.col("positives") if k is None else k)
-    return top.select("k", share(F.col("hits"), F.col("k")).alias("precision_at_k"))
-
-
-def budget_rows(budget: float) -> Column:
-    """Rows a review budget pays for: the whole part of the share, one at least."""
-    return F.greatest(F.lit(1).cast("long"), F.floor(F.col("rows") * F.lit(budget)))
+    report = score_report(scored, score, label, key, {"top": F.col("positives") if k is None else k})
+    return report.select(F.col("k_top").alias("k"), share(F.col("hits_top"), F.col("k_top")).alias("precision_at_k"))
 
 
 def recall_at_budget(scored: DataFrame, score: str, label: str, key: str, budget: float) -> DataFrame:
     """Share of all positives found within the review budget."""
-    top = positives_on_top(scored, score, label, key, budget_rows(budget))
-    return top.select(F.col("k").alias("budget"), share(F.col("hits"), F.col("positives")).alias("recall_at_budget"))
+    report = score_report(scored, score, label, key, {"top": budget_rows(budget)})
+    return report.select(F.col("k_top").alias("budget"),
+                         share(F.col("hits_top"), F.col("positives")).alias("recall_at_budget"))
 
 
 def within_budget(scored: DataFrame, score: str, budget: float, name: str = "flagged") -> DataFrame:
@@ -89,14 +107,12 @@ def within_budget(scored: DataFrame, score: str, budget: float, name: str = "fla
     The rank falls with the score, so the flag is a comparison with the lowest score that still passes. A row
     without a score is never flagged and does not take part in the ranking, but it counts for the budget.
     """
-    rows = scored.agg(F.count("*").alias("rows")).scalar()
-    counts = score_counts(scored.withColumn("_y", F.lit(0)), score, "_y")
-    ranked = with_prefix(counts, "score", ["n"]).withColumn("rows", rows)
+    counts = cut_lineage(score_counts(scored.withColumn("_y", F.lit(0)), score, "_y"))
+    ranked = with_prefix(counts, "score", ["n"]).withColumn("rows", F.lit(scored.count()))
     rank = F.col("n_before") + (F.col("n") + 1) / 2
-    lowest = ranked.filter(rank <= budget_rows(budget)).agg(F.min("score")).scalar()
-    return (scored.withColumn("_lowest", lowest)
-            .withColumn(name, F.coalesce(F.col(score).cast("double") >= F.col("_lowest"), F.lit(False)).cast("int"))
-            .drop("_lowest"))
+    lowest = ranked.filter(rank <= budget_rows(budget)).agg(F.min("score")).first()[0]
+    inside = F.lit(False) if lowest is None else F.coalesce(F.col(score).cast("double") >= F.lit(lowest), F.lit(False))
+    return scored.withColumn(name, inside.cast("int"))
 
 
 def confusion(predictions: DataFrame, label: str = "label", prediction: str = "prediction",

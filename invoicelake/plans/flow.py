@@ -67,7 +67,7 @@ def rebuild_gold(lake: Lake, start: date | str = gold.CALENDAR[0], end: date | s
 
 def spend_report(ocr: DataFrame, master: DataFrame, documents: DataFrame, quality: DataFrame,
                  as_of: date | str | None = None) -> DataFrame:
-    """OCR text to the top vendors in one lazy plan."""
+    """OCR text to the top vendors. The clean rows feed two aggregates, so they are stored once."""
     fields = extract.records(ocr, master)
-    good = silver.good_rows(silver.with_reasons(silver.join_bronze(fields, documents, quality), as_of))
+    good = cut_lineage(silver.good_rows(silver.with_reasons(silver.join_bronze(fields, documents, quality), as_of)))
     return gold.top_vendors(gold.fact_invoices(good), gold.dim_vendor(good))

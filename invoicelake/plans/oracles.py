@@ -251,7 +251,7 @@ oracle("slv_split", """
     SELECT doc_id, CASE WHEN dq_reasons = '' THEN 'invoices' ELSE 'quarantine' END AS side FROM checked""", "checked")
 oracle("slv_release", """
     SELECT doc_id, dq_reasons FROM checked
-    WHERE dq_reasons <> '' AND NOT (invoice_no IS NOT NULL AND vendor_id IS NOT NULL AND total > 0
+    WHERE dq_reasons <> '' AND NOT (invoice_no IS NOT NULL AND vendor_id IS NOT NULL AND coalesce(total > 0, false)
                                     AND coalesce(invoice_date <= DATE '2002-01-01', false))""", "checked")
 oracle("slv_preview", """
     SELECT file_name, dq_reasons FROM checked WHERE dq_reasons <> '' ORDER BY file_name LIMIT 10""", "checked")

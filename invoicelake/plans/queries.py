@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from invoicelake.functions import text as T
 from invoicelake.operators import (anomalies, classify, duplicates, evaluation, extract, gold, labels, merge, metrics,
                                    ocr, registry, silver, splits)
 from invoicelake.plans import flow
+from invoicelake.session import cut_lineage, shared_folder
 from invoicelake.sources import files, tables
 from invoicelake.sources.change_table import ChangeTable
 
@@ -32,8 +32,7 @@ def query(function):
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder of the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{root.rstrip('/')}/invoicelake-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/invoicelake-{uuid.uuid4().hex}"
 
 
 # ---- inputs shared by several queries
@@ -112,9 +111,17 @@ def class_predictions(spark, d) -> DataFrame:
         F.expr("CASE WHEN vec_id % 6 = 0 THEN (label + 1) % 10 ELSE label END").alias("prediction"))
 
 
+def prepared(spark, d) -> DataFrame:
+    return cut_lineage(duplicates.prepare(loaded(spark, d)))
+
+
+def anomaly_features(spark, d) -> DataFrame:
+    return cut_lineage(anomalies.features(anomaly_rows(spark, d)))
+
+
 def anomaly_rows(spark, d) -> DataFrame:
-    """Amounts of all scans; missing fields are left to the filter."""
-    return loaded(spark, d).select("doc_id", "vendor_id", "total", "is_duplicate", "is_anomaly")
+    """Amounts of all scans as a stored table; missing fields are left to the filter."""
+    return cut_lineage(loaded(spark, d).select("doc_id", "vendor_id", "total", "is_duplicate", "is_anomaly"))
 
 
 # ---- sources, tables, merges
@@ -230,7 +237,7 @@ for _name in ("invoice_no", "invoice_date", "gstin", "subtotal", "gst", "total")
 def fx_amount(spark, d):
     printed = F.concat(F.lit("x Rs. "), T.printed_amount(F.col("l_extendedprice")))
     return fx.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber",
-                                                 T.first_amount(printed, "x").alias("amount"))
+                                                 T.first_amount(printed, r"x\s*").alias("amount"))
 
 
 @query
@@ -380,14 +387,14 @@ def dup_block_pairs(spark, d):
 
 @query
 def dup_features(spark, d):
-    rows = duplicates.profiles(duplicates.prepare(loaded(spark, d)))
+    rows = cut_lineage(duplicates.profiles(duplicates.prepare(loaded(spark, d))))
     return duplicates.close_pairs(rows, 0.2, 60).select(
         "doc_a", "doc_b", F.round("amount_diff", 9).alias("amount_diff"), "date_gap", "is_dup")
 
 
 @query
 def dup_features_similarity(spark, d):
-    rows = duplicates.profiles(duplicates.prepare(loaded(spark, d)))
+    rows = cut_lineage(duplicates.profiles(duplicates.prepare(loaded(spark, d))))
     return duplicates.close_pairs(rows, 0.5, 365)
 
 
@@ -398,19 +405,19 @@ def dup_exact_rule(spark, d):
 
 @query
 def dup_report(spark, d):
-    report = duplicates.exact_rule_report(duplicates.prepare(loaded(spark, d)))
+    report = duplicates.exact_rule_report(prepared(spark, d))
     whole = [F.col(c).cast("long").alias(c) for c in ("pairs", "true_pairs", "caught", "false_alarms", "missed")]
     return report.select(*whole, *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query
 def dup_model_cv(spark, d):
-    return duplicates.detect(duplicates.prepare(loaded(spark, d))).report
+    return duplicates.detect(prepared(spark, d)).report
 
 
 @query
 def dup_flagged(spark, d):
-    return duplicates.detect(duplicates.prepare(loaded(spark, d))).flagged
+    return duplicates.detect(prepared(spark, d)).flagged
 
 
 # ---- anomalies
@@ -440,7 +447,7 @@ def ano_global_z(spark, d):
 
 @query
 def ano_isolation_forest(spark, d):
-    rows = anomalies.with_iso_score(anomalies.features(anomaly_rows(spark, d)))
+    rows = anomalies.with_iso_score(anomaly_features(spark, d))
     return rows.select("doc_id", "is_anomaly", "iso_score")
 
 
@@ -452,13 +459,13 @@ def ano_review_budget(spark, d):
 
 @query
 def ano_scores(spark, d):
-    return anomalies.scores(anomalies.with_iso_score(anomalies.features(anomaly_rows(spark, d))))
+    return anomalies.scores(cut_lineage(anomalies.with_iso_score(anomaly_features(spark, d))))
 
 
 @query
 def ano_compare(spark, d):
-    rows = anomalies.features(anomaly_rows(spark, d)).withColumn("vendor_z", F.round("vendor_z", 6)) \
-        .withColumn("global_z", F.round("global_z", 6))
+    rows = anomalies.features(anomaly_rows(spark, d))
+    rows = cut_lineage(rows.withColumns({c: F.round(c, 6) for c in Z_SCORES}))
     table = anomalies.compare(rows, Z_SCORES)
     return table.select("score", "k", "budget", *[F.round(c, 9).alias(c) for c in
                                                   ("roc_auc", "avg_precision", "precision_at_k", "recall_at_budget")])
@@ -466,7 +473,7 @@ def ano_compare(spark, d):
 
 @query
 def ano_compare_forest(spark, d):
-    rows = anomalies.with_iso_score(anomalies.features(anomaly_rows(spark, d)))
+    rows = cut_lineage(anomalies.with_iso_score(anomaly_features(spark, d)))
     return anomalies.compare(rows, [*Z_SCORES, "iso_score"])
 
 
