@@ -115,29 +115,32 @@ TABLES = {
         SELECT file, version, is_duplicate, m <> 1 AS invoice_no, m <> 2 AS date, m <> 3 AS gstin,
                m <> 4 OR contains('SUBTOTAL:RS.' || format('{:,.2f}', subtotal), format('{:,.2f}', total)) AS total
         FROM shown""",
-    "spans": """
-        SELECT doc_id, m, label, s, s + n AS e FROM (
-          SELECT doc_id, m, label, n, CASE label
-              WHEN 'VENDOR' THEN 0
-              WHEN 'GSTIN' THEN l0 + 1 + 12
-              WHEN 'INV_NO' THEN l1 + 1 + 12
-              WHEN 'DATE' THEN l2 + 6
-              WHEN 'SUBTOTAL' THEN l3 + CASE WHEN m = 7 THEN 21 ELSE 14 END
-              WHEN 'GST' THEN l4 + 14
-              ELSE l5 + 14 END AS s
-          FROM (
-            SELECT *, unnest([{'label': 'VENDOR', 'n': length(vendor_name)}, {'label': 'GSTIN', 'n': 15},
-                              {'label': 'INV_NO', 'n': length(invoice_no)}, {'label': 'DATE', 'n': 10},
-                              {'label': 'SUBTOTAL', 'n': length(format('{:,.2f}', subtotal))},
-                              {'label': 'GST', 'n': length(format('{:,.2f}', gst))},
-                              {'label': 'TOTAL', 'n': length(format('{:,.2f}', total))}], recursive := true)
-            FROM (
-              SELECT *, l4 + 1 + 13 + length(format('{:,.2f}', CASE WHEN m = 5 THEN gst + 1 ELSE gst END)) AS l5
-              FROM (SELECT *, l3 + CASE WHEN m = 7 THEN 21 ELSE 14 END + length(format('{:,.2f}', subtotal)) AS l4
-                FROM (SELECT *, l2 + 17 AS l3
-                  FROM (SELECT *, l1 + CASE WHEN m = 1 THEN 0 ELSE 1 + 12 + length(invoice_no) END AS l2
-                    FROM (SELECT *, l0 + 1 + 12 + 15 AS l1
-                      FROM (SELECT *, k % 10 AS m, length(vendor_name) + 12 AS l0 FROM truth)))))))""",
+    "texts": """
+        SELECT *, concat_ws(chr(10),
+            CASE WHEN k % 10 = 9 THEN replace(vendor_name, 'Customer', 'Custoner') ELSE vendor_name END || ' TAX INVOICE',
+            'Pune GSTIN: ' || CASE WHEN k % 10 = 3 THEN replace(gstin, '1Z', 'IZ') ELSE gstin END,
+            CASE WHEN k % 10 <> 1 THEN 'Invoice No: ' || invoice_no END,
+            'Date: ' || CASE WHEN k % 10 = 2 THEN '2026-13-45' ELSE invoice_date END,
+            CASE WHEN k % 10 = 7 THEN 'S U B T O T A L: Rs. ' ELSE 'Subtotal: Rs. ' END || format('{:,.2f}', subtotal),
+            'GST 18%:  Rs. ' || format('{:,.2f}', CASE WHEN k % 10 = 5 THEN gst + 1 ELSE gst END),
+            CASE WHEN k % 10 <> 4 THEN 'TOTAL:    Rs. ' || format('{:,.2f}', total) END) AS text FROM truth""",
+    "found": """
+        SELECT doc_id, label, CAST(s AS int) AS s, CAST(s + length(value) AS int) AS e
+        FROM (SELECT doc_id, label, value,
+                     CASE WHEN last THEN length(text) - strpos(reverse(text), reverse(value)) - length(value) + 1
+                          ELSE strpos(text, value) - 1 END AS s
+              FROM (SELECT doc_id, text, unnest([
+                      {'label': 'INV_NO', 'value': invoice_no, 'last': false}, {'label': 'DATE', 'value': invoice_date, 'last': false},
+                      {'label': 'GSTIN', 'value': gstin, 'last': false}, {'label': 'VENDOR', 'value': vendor_name, 'last': false},
+                      {'label': 'SUBTOTAL', 'value': format('{:,.2f}', subtotal), 'last': true},
+                      {'label': 'GST', 'value': format('{:,.2f}', gst), 'last': true},
+                      {'label': 'TOTAL', 'value': format('{:,.2f}', total), 'last': true}], recursive := true) FROM texts)
+              WHERE contains(text, value))""",
+    # at most seven spans per document: each one stays unless a kept earlier one reaches into it
+    "kept_spans": """
+        SELECT doc_id, unnest(list_reduce(sorted, lambda kept, x:
+                 CASE WHEN x[1].s >= kept[-1].e THEN list_concat(kept, x) ELSE kept END), recursive := true)
+        FROM (SELECT doc_id, list([{'s': s, 'e': e, 'label': label}] ORDER BY s, e, label) AS sorted FROM found GROUP BY doc_id)""",
 }
 
 NEEDS = {
@@ -147,7 +150,7 @@ NEEDS = {
     "couples": ["prepared"], "scorable": ["graded"], "with_median": ["scorable"], "with_mad": ["with_median"],
     "z_scores": ["with_mad"], "ided": ["docs"], "originals": ["ided"], "new_rows": ["ided", "originals"],
     "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
-    "spans": ["truth"],
+    "texts": ["truth"], "found": ["texts"], "kept_spans": ["found"],
 }
 
 
@@ -393,16 +396,9 @@ def _describe(column: str, table: str) -> str:
 oracle("ev_describe", _describe("mean_conf", "extracted"), "extracted")
 oracle("ev_describe_amounts", _describe("l_quantity", "lineitem"))
 oracle("ev_failing_example", """
-    SELECT doc_id, flags, concat_ws(chr(10),
-        CASE WHEN k % 10 = 9 THEN replace(vendor_name, 'Customer', 'Custoner') ELSE vendor_name END || ' TAX INVOICE',
-        'Pune GSTIN: ' || CASE WHEN k % 10 = 3 THEN replace(gstin, '1Z', 'IZ') ELSE gstin END,
-        CASE WHEN k % 10 <> 1 THEN 'Invoice No: ' || invoice_no END,
-        'Date: ' || CASE WHEN k % 10 = 2 THEN '2026-13-45' ELSE invoice_date END,
-        CASE WHEN k % 10 = 7 THEN 'S U B T O T A L: Rs. ' ELSE 'Subtotal: Rs. ' END || format('{:,.2f}', subtotal),
-        'GST 18%:  Rs. ' || format('{:,.2f}', CASE WHEN k % 10 = 5 THEN gst + 1 ELSE gst END),
-        CASE WHEN k % 10 <> 4 THEN 'TOTAL:    Rs. ' || format('{:,.2f}', total) END) AS text
-    FROM truth JOIN (SELECT doc_id, flags FROM extracted WHERE needs_review = 1 ORDER BY doc_id LIMIT 1) USING (doc_id)""",
-       "truth", "extracted")
+    SELECT doc_id, flags, text FROM texts
+    JOIN (SELECT doc_id, flags FROM extracted WHERE needs_review = 1 ORDER BY doc_id LIMIT 1) USING (doc_id)""",
+       "texts", "extracted")
 
 _WRONG = " UNION ALL ".join(
     f"SELECT doc_id, '{f}' AS field FROM marks WHERE " + (
@@ -462,3 +458,8 @@ oracle("spl_three_way", """
     SELECT vec_id, CASE WHEN r <= floor(n * 0.7 + 1e-9) THEN 'train'
                         WHEN r <= floor(n * 0.7 + 1e-9) + floor(n * 0.15 + 1e-9) THEN 'val' ELSE 'test' END AS split
     FROM (SELECT vec_id, row_number() OVER (ORDER BY sha256(vec_id || '#42'), vec_id) AS r, count(*) OVER () AS n FROM embeddings)""")
+oracle("lab_find_spans", "SELECT doc_id, label, s, e FROM found", "found")
+oracle("lab_resolve_overlaps", "SELECT doc_id, label, s, e FROM kept_spans", "kept_spans")
+oracle("lab_complete_only", """
+    SELECT count(*) FILTER (WHERE n = 7) AS kept, count(*) FILTER (WHERE n < 7) AS skipped
+    FROM (SELECT doc_id, count(*) AS n FROM kept_spans GROUP BY doc_id)""", "kept_spans")
