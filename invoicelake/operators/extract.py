@@ -92,7 +92,7 @@ def match_vendors_in_parts(docs: DataFrame, header: str, master: DataFrame, thre
                                 "vendor_name", "score")).alias("b"))
             .select("top", F.struct("b.vendor_id", "b.vendor_name", "b.score").alias("_match")))
     matched = known.unionByName(best).withColumnRenamed("top", header)
-    return _with_vendor(docs.join(matched, header, "left"), threshold)
+    return _with_vendor(docs.join(matched, header, "left").select(*docs.columns, "_match"), threshold)
 
 
 def _with_vendor(matched: DataFrame, threshold: float) -> DataFrame:

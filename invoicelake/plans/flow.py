@@ -35,7 +35,7 @@ def ingest_folder(lake: Lake, folder: str, source: str = "scanner_folder", run_t
     known = lake.table("bronze/documents")
     seen = known.read() if known.version() >= 0 else lake.spark.createDataFrame([], DOCUMENTS)
     rows = cut_lineage(registry.register(prints, seen, source, run_time, f"{lake.root}/landing"))
-    files.land(listing, rows, f"{lake.root}/landing")
+    files.land(rows, f"{lake.root}/landing")
     known.merge(rows, update=False)
     return registry.run_counts(prints, rows)
 

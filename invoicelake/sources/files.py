@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 SUFFIXES = [".png", ".jpg", ".jpeg", ".pdf", ".tif", ".tiff"]
 
 CHUNK = 1024 * 1024
+BATCH = 10_000
 PRINTS = "path string, length long, sha256 string, error_message string"
 
 
@@ -27,16 +28,38 @@ def file_name_of(path: str | Column) -> Column:
     return F.regexp_extract(column, r"[^/]+$", 0)
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, length, content) of the accepted files in ``folder``.
+def read_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length, content) of the accepted files as Spark reads them.
 
-    Select only the columns you need: without ``content`` no file is opened. A file over 2 GB cannot be read
-    as one ``content`` value; ``fingerprint_files`` has no such limit.
+    Every file is one value of 2 GB at most and Spark leaves empty files out; ``list_files`` with
+    ``fingerprint_files`` has neither limit.
     """
     files = spark.read.format("binaryFile").load(folder)
     return files.filter(suffix_of("path").isin(SUFFIXES)).select("path", "length", "content")
 
 
+def _open(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/")
+                                  and not path.startswith("file://") else path)
+
+
+def _list_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for folder in batch["folder"]:
+            system, name = _open(folder)
+            found = [(f"{folder.rstrip('/')}/{f.base_name}", f.size) for f in
+                     system.get_file_info(fs.FileSelector(name)) if f.type == fs.FileType.File]
+            for start in range(0, len(found), BATCH):
+                yield pd.DataFrame(found[start:start + BATCH], columns=["path", "length"])
+
+
+def list_files(spark: SparkSession, *folders: str) -> DataFrame:
+    """(path, length) of the accepted files; each folder is listed by its own task, nothing is opened."""
+    names = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders))
+    found = names.mapInPandas(_list_batches, "path string, length long")
+    return found.filter(suffix_of("path").isin(SUFFIXES))
+
+
 def fingerprint_content(files: DataFrame) -> DataFrame:
     """(path, length, sha256, error_message) of rows that carry their bytes."""
     return files.select("path", F.length("content").cast("long").alias("length"),
@@ -44,7 +67,7 @@ def fingerprint_content(files: DataFrame) -> DataFrame:
 
 
 def _digest(path: str) -> str:
-    system, name = fs.FileSystem.from_uri(path)
+    system, name = _open(path)
     state = hashlib.sha256()
     with system.open_input_stream(name) as stream:
         while chunk := stream.read(CHUNK):
@@ -64,8 +87,15 @@ def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fingerprint_files(listing: DataFrame) -> DataFrame:
-    """Fingerprints of listed files, read in chunks inside the tasks; an unreadable file keeps its row."""
-    return listing.select("path", "length").mapInPandas(_digest_batches, PRINTS)
+    """Fingerprints of listed files, read in chunks inside the tasks; an unreadable file keeps its row.
+
+    The files are spread by a hash of their path: the listing of one folder is a single partition.
+    """
+    return _spread(listing.select("path", "length")).mapInPandas(_digest_batches, PRINTS)
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,15 +108,23 @@ def read_images(spark: SparkSession, folder: str) -> DataFrame:
                                       ("nChannels", "channels"), ("data", "data")]])
 
 
-def land(files: DataFrame, registered: DataFrame, folder: str) -> None:
-    """Keep the raw bytes of newly registered files, one partition per ingest date.
+def _content_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for _, row in batch.iterrows():
+            system, name = _open(row["path"])
+            with system.open_input_stream(name) as stream:
+                content = stream.read()
+            yield pd.DataFrame({"doc_id": [row["doc_id"]], "bronze_path": [row["bronze_path"]], "content": [content],
+                                "ingest_date": [row["ingest_date"]]})
+
+
+def land(registered: DataFrame, folder: str) -> None:
+    """Keep the raw bytes of the ingested rows of a batch, one partition per ingest date.
 
-    ``registered`` is the slim output of the registry for this batch; Spark broadcasts it while it is small
-    and shuffles both sides otherwise.
+    Only these files are read, in the tasks that write them; no content is shuffled.
     """
     kept = registered.filter("status = 'INGESTED'").select(
         "doc_id", "bronze_path", F.col("source_path").alias("path"),
         F.try_to_date(F.substring("ingested_at", 1, 10)).alias("ingest_date"))
-    (files.select("path", "content").join(kept, "path")
-     .select("doc_id", "bronze_path", "content", "ingest_date")
-     .write.mode("append").partitionBy("ingest_date").parquet(folder))
+    content = _spread(kept).mapInPandas(_content_batches, "doc_id string, bronze_path string, content binary, ingest_date date")
+    content.write.mode("append").partitionBy("ingest_date").parquet(folder)
