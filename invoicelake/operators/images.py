@@ -41,11 +41,12 @@ def gray(pixels: np.ndarray) -> np.ndarray:
 
 
 def stretch(image: np.ndarray) -> np.ndarray:
-    """Darkest pixel 0, lightest 255."""
-    low, high = float(image.min()), float(image.max())
+    """Darkest pixel 0, lightest 255 (single precision, as 8-bit images are usually scaled)."""
+    low, high = int(image.min()), int(image.max())
     if high == low:
         return np.zeros_like(image)
-    return np.rint((image - low) * (255.0 / (high - low))).astype(np.uint8)
+    scale = np.float32(255.0 / (high - low))
+    return np.clip(np.rint(image * scale - low * scale), 0, 255).astype(np.uint8)
 
 
 def blur_score(image: np.ndarray) -> float:
