@@ -146,6 +146,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables are single small files; real ones arrive in many. Used where text is built from them."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def truth(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(TRUTH_SQL, orders=table(spark, folder, "orders"))
 
@@ -171,7 +176,7 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(WORDS_SPARK, documents=table(spark, folder, "documents"))
+    return spark.sql(WORDS_SPARK, documents=spread(table(spark, folder, "documents").select("doc_id", "text")))
 
 
 def headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -199,4 +204,4 @@ def ocr_text(spark: SparkSession, folder: str, damaged: str = "true") -> DataFra
             concat('GST 18%:  Rs. ', format_number(CASE WHEN m = 5 THEN gst + 1 ELSE gst END, 2)),
             CASE WHEN m <> 4 THEN concat('TOTAL:    Rs. ', format_number(total, 2)) END) AS text,
             CASE WHEN m = 6 THEN 40.0D ELSE 90.0D END AS mean_conf
-        FROM t""", truth=truth(spark, folder))
+        FROM t""", truth=spread(truth(spark, folder)))

@@ -7,12 +7,15 @@ pre-aggregated to one row per distinct value, and ranks follow a uniform hash.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from invoicelake.session import cut_lineage
 
-BUCKETS = 128          # upper bound on the rows of the bucket table for numeric keys
+MAX_BUCKETS = 512      # upper bound on the rows of the bucket table for numeric keys
 HASH_DIGITS = 3        # 16**3 = 4096 buckets for hashed keys
 
 
@@ -23,16 +26,28 @@ def _offsets(bucketed: DataFrame, sums: list[str]) -> DataFrame:
     return totals.select("_bucket", *[F.coalesce(F.sum(c).over(order), F.lit(0)).alias(f"_off_{c}") for c in sums])
 
 
-def with_prefix(counts: DataFrame, key: str, sums: list[str], buckets: int = BUCKETS) -> DataFrame:
+def with_buckets(counts: DataFrame, key: str) -> DataFrame:
+    """Add ``_bucket``: about equally filled ranges of a numeric key, the largest values first.
+
+    There are a few ranges per shuffle partition; equal keys always share one.
+    """
+    spark = counts.sparkSession
+    buckets = min(max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 16), MAX_BUCKETS)
+    cuts = counts.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)
+    splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+    if len(splits) < 3:
+        return counts.withColumn("_bucket", F.lit(0))
+    ranges = Bucketizer(splits=splits, inputCol=key, outputCol="_range")
+    return ranges.transform(counts).withColumn("_bucket", -F.col("_range").cast("int")).drop("_range")
+
+
+def with_prefix(counts: DataFrame, key: str, sums: list[str]) -> DataFrame:
     """Add ``<c>_before`` for every column of ``sums``: its total over all rows with a larger key.
 
-    ``counts`` holds one row per distinct numeric ``key`` (descending order, best score first).
+    ``counts`` holds one row per distinct numeric ``key`` (descending order, best score first). It is read
+    several times: pass a table or a checkpoint.
     """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(key, shares, F.lit(1000)).alias("cuts")).scalar()
-    bucketed = (counts.withColumn("_cuts", cuts)
-                .withColumn("_bucket", -F.size(F.filter("_cuts", lambda cut: cut <= F.col(key))))
-                .drop("_cuts"))
+    bucketed = with_buckets(counts, key)
     before = Window.partitionBy("_bucket").orderBy(F.desc(key)).rowsBetween(Window.unboundedPreceding, -1)
     return (bucketed.join(F.broadcast(_offsets(bucketed, sums)), "_bucket")
             .select(*counts.columns,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -13,6 +14,8 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 
 MATCH = (StructType().add("vendor_id", StringType()).add("vendor_name", StringType()).add("score", DoubleType()))
 
+ROUND = 16        # names compared before the others are checked against the best ratio again
+
 
 @F.pandas_udf(DoubleType())
 def ratio(first: pd.Series, second: pd.Series) -> pd.Series:
@@ -22,11 +25,15 @@ def ratio(first: pd.Series, second: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+# keeps Spark from copying the call into a pushed-down filter, where every string would be compared again
+ratio = ratio.asNondeterministic()
+
+
 class NameIndex:
     """Best match within a bounded list of (id, name).
 
-    The shared letters of two strings bound their ratio from above. Names are tried in order of that bound
-    until it falls below the best ratio found, so the answer is exact and few names are compared in full.
+    The shared letters of two strings bound their ratio from above. The names with the largest bounds are tried
+    first, and a name whose bound is below the best ratio found is never compared in full: the answer is exact.
     """
 
     def __init__(self, master: list[tuple[str, str]]):
@@ -36,31 +43,36 @@ class NameIndex:
         for i, name in enumerate(self.names):
             self.position.setdefault(name, i)
         self.letters = {c: j for j, c in enumerate(sorted(set("".join(self.names))))}
-        self.table = np.zeros((len(self.names), len(self.letters)), dtype=np.int32)
+        self.table = np.zeros((len(self.letters), len(self.names)), dtype=np.int32)     # letter x name -> occurrences
         for i, name in enumerate(self.names):
             for c in name:
-                self.table[i, self.letters[c]] += 1
+                self.table[self.letters[c], i] += 1
         self.lengths = np.array([len(name) for name in self.names], dtype=np.int64)
 
+    def bounds(self, text: str) -> np.ndarray:
+        shared = np.zeros(len(self.names), dtype=np.int32)
+        for c, n in Counter(text).items():
+            if c in self.letters:
+                shared += np.minimum(self.table[self.letters[c]], n)
+        return 2.0 * shared / np.maximum(self.lengths + len(text), 1)
+
     def best(self, text: str) -> tuple[str | None, str | None, float]:
         if text in self.position:
             return (*self.master[self.position[text]], 1.0)
-        wanted = np.zeros(len(self.letters), dtype=np.int32)
-        for c in text:
-            if c in self.letters:
-                wanted[self.letters[c]] += 1
-        used = np.flatnonzero(wanted)
-        shared = np.minimum(self.table[:, used], wanted[used]).sum(axis=1)
-        bound = 2.0 * shared / np.maximum(self.lengths + len(text), 1)
         matcher = SequenceMatcher(None, "", text)
+        bound = self.bounds(text)
+        open_ = np.flatnonzero(bound > 0)
         top, at = 0.0, -1
-        for i in np.argsort(-bound, kind="stable"):
-            if bound[i] < top or bound[i] == 0.0:
-                break
-            matcher.set_seq1(self.names[i])
-            score = matcher.ratio()
-            if score > top or (score == top and score > 0.0 and i < at):
-                top, at = score, int(i)
+        while len(open_):
+            first = np.argpartition(-bound[open_], ROUND)[:ROUND] if len(open_) > ROUND else np.arange(len(open_))
+            for i in open_[first]:
+                if bound[i] >= top:
+                    matcher.set_seq1(self.names[i])
+                    score = matcher.ratio()
+                    if score > top or (score == top and score > 0.0 and i < at):
+                        top, at = score, int(i)
+            rest = np.delete(open_, first)
+            open_ = rest[bound[rest] >= top]
         return (None, None, 0.0) if at < 0 else (*self.master[at], top)
 
 
@@ -75,4 +87,4 @@ def best_match(master):
             rows = [(None, None, None) if t is None else remembered(t) for t in texts]
             yield pd.DataFrame(rows, columns=["vendor_id", "vendor_name", "score"])
 
-    return match
+    return match.asNondeterministic()

@@ -15,6 +15,7 @@ GST = r"GST\s*18%\s*:?\s*"
 TOTAL = r"(?<!SUB)TOTAL\s*:?\s*"
 HEADING = r"TAX\s*INVOICE"
 COPY_MARK = "-COPY"
+WHITESPACE = " \t\n\x0b\f\r"
 
 LINE_END = r"\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029"
 
@@ -39,7 +40,7 @@ def last_amount(text: Column, label: str) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def squeeze(text: Column) -> Column:

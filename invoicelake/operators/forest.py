@@ -121,4 +121,4 @@ def score(rows: DataFrame, forest, name: str) -> DataFrame:
             result = np.power(2.0, -(total / len(feature)) / norm)
             yield pd.Series(np.where(known, result, np.nan)).astype("Float64").where(known)
 
-    return rows.withColumn(name, path_score(*[F.col(f) for f in features]))
+    return rows.withColumn(name, path_score.asNondeterministic()(*[F.col(f) for f in features]))

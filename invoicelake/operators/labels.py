@@ -15,22 +15,22 @@ AMOUNTS = {"SUBTOTAL", "GST", "TOTAL"}
 SPANS = "array<struct<s:int,e:int,label:string>>"
 
 
-def _span(label: str) -> Column:
-    text, amount = F.col("text"), label in AMOUNTS
-    value = printed_amount(F.col(LABELS[label])) if amount else F.col(LABELS[label])
-    if amount:
-        from_end = F.position(F.reverse(value), F.reverse(text))
-        start = F.when(from_end > 0, F.length(text) - from_end - F.length(value) + 1)
-    else:
-        at = F.position(value, text)
-        start = F.when(at > 0, at - 1)
-    return F.when(start.isNotNull(), F.struct(start.cast("int").alias("s"), (start + F.length(value)).cast("int").alias("e"),
-                                              F.lit(label).alias("label")))
-
-
 def find_spans(rows: DataFrame) -> DataFrame:
-    """(doc_id, spans): 0-based character ranges of the seven values (doc_id, text and the truth columns)."""
-    return rows.select("doc_id", F.array_compact(F.array(*[_span(x) for x in LABELS])).cast(SPANS).alias("spans"))
+    """(doc_id, spans): 0-based character ranges of the seven values (doc_id, text and the truth columns).
+
+    Values, positions and ranges are separate steps, so each string is printed and searched once.
+    """
+    values = rows.select("doc_id", "text", F.reverse("text").alias("backwards"),
+                         *[(printed_amount(F.col(c)) if x in AMOUNTS else F.col(c)).alias(x) for x, c in LABELS.items()])
+    hits = values.select("doc_id", F.length("text").alias("size"), *[F.length(x).alias(f"n_{x}") for x in LABELS], *[
+        (F.position(F.reverse(x), F.col("backwards")) if x in AMOUNTS else F.position(F.col(x), F.col("text"))).alias(x)
+        for x in LABELS])
+    starts = hits.select("doc_id", *[f"n_{x}" for x in LABELS], *[
+        F.when(F.col(x) > 0, F.col("size") - F.col(x) - F.col(f"n_{x}") + 1 if x in AMOUNTS else F.col(x) - 1).alias(x)
+        for x in LABELS])
+    spans = [F.when(F.col(x).isNotNull(), F.struct(F.col(x).alias("s"), (F.col(x) + F.col(f"n_{x}")).alias("e"),
+                                                   F.lit(x).alias("label"))) for x in LABELS]
+    return starts.select("doc_id", F.array_compact(F.array(*spans)).cast(SPANS).alias("spans"))
 
 
 def resolve_overlaps(found: DataFrame) -> DataFrame:
