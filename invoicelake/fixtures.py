@@ -85,10 +85,11 @@ SELECT doc_id, file AS file_name, concat('scanner/', file) AS source_path,
 FROM {truth}
 """
 
+# Small invoices have not been measured yet.
 QUALITY_SQL = """
 SELECT doc_id, CAST(k % 41 - 20 AS double) / 2 AS skew_angle, CAST(100 + k % 900 AS double) AS blur_score,
        concat('processed/', doc_id, '.png') AS processed_path
-FROM {truth} WHERE k % 13 <> 0
+FROM {truth} WHERE subtotal >= 20000
 """
 
 # A second extraction model with other mistakes, for the comparison reports.
@@ -142,6 +143,18 @@ FROM {part}
 """
 
 
+# Every vector of 64 numbers as a grey picture of 8 x 8 pixels.
+PICTURES_SQL = """
+SELECT vec_id, 8 AS height, 8 AS width, 1 AS channels,
+       unhex(array_join(transform(embedding, x -> lpad(hex(CAST(greatest(0, least(255, floor((CAST(x AS double) + 1) * 128))) AS int)), 2, '0')), '')) AS data
+FROM {embeddings}
+"""
+PIXELS_DUCK = """
+SELECT vec_id, i, CAST(greatest(0, least(255, floor((CAST(embedding[i + 1] AS double) + 1) * 128))) AS int) AS p
+FROM (SELECT vec_id, embedding, unnest(range(64)) AS i FROM embeddings)
+"""
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -189,6 +202,10 @@ def part_vendors(spark: SparkSession, folder: str) -> DataFrame:
                      part=table(spark, folder, "part"))
 
 
+def pictures(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(PICTURES_SQL, embeddings=table(spark, folder, "embeddings"))
+
+
 def ocr_text(spark: SparkSession, folder: str, damaged: str = "true") -> DataFrame:
     """Printed invoice text with the damage of ``DAMAGE``; ``damaged`` is a SQL condition on ``k``."""
     return spark.sql(f"""

@@ -80,6 +80,11 @@ TABLES = {
         SELECT i.*, CASE WHEN original = doc_id THEN 'INGESTED' ELSE 'DUPLICATE_EXACT' END AS status,
                CASE WHEN original <> doc_id THEN original END AS duplicate_of
         FROM ided i JOIN originals USING (sha256) WHERE NOT earlier""",
+    "pixels": fx.PIXELS_DUCK,
+    "clear": """
+        SELECT vec_id, i, CAST(round_even(CAST(p AS float) * scale - CAST(low AS float) * scale, 0) AS int) AS p
+        FROM pixels JOIN (SELECT vec_id, min(p) AS low, CAST(255.0e0 / (max(p) - min(p)) AS float) AS scale
+                          FROM pixels GROUP BY vec_id HAVING max(p) > min(p)) USING (vec_id)""",
     "target": "SELECT o_orderkey, CAST(year(o_orderdate) AS int) AS year, o_orderstatus, o_totalprice FROM orders WHERE year(o_orderdate) <= 1998",
     "later": "SELECT o_orderkey, CAST(year(o_orderdate) AS int) AS year, o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE year(o_orderdate) >= 1997",
     "scores": "SELECT doc_id, CAST(n_chars AS double) AS score, quality FROM documents JOIN labels USING (doc_id)",
@@ -149,7 +154,7 @@ NEEDS = {
     "vendors": ["invoices"], "graded": ["extracted", "registry", "truth"], "marks": ["graded"], "prepared": ["graded"],
     "couples": ["prepared"], "scorable": ["graded"], "with_median": ["scorable"], "with_mad": ["with_median"],
     "z_scores": ["with_mad"], "ided": ["docs"], "originals": ["ided"], "new_rows": ["ided", "originals"],
-    "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
+    "clear": ["pixels"], "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
     "texts": ["truth"], "found": ["texts"], "kept_spans": ["found"],
 }
 
@@ -231,6 +236,29 @@ oracle("ocr_aggregate", r"""
            coalesce(n, 0) AS n_words
     FROM documents d LEFT JOIN sums s ON s.doc_id = CAST(d.doc_id AS varchar)""", "words")
 
+# ---- image measurements
+
+oracle("img_blur_score", """
+    , lists AS (SELECT vec_id, list(p ORDER BY i) AS v FROM pixels GROUP BY vec_id),
+    around AS (
+      SELECT vec_id, v, i // 8 AS r, i % 8 AS c FROM (SELECT vec_id, v, unnest(range(64)) AS i FROM lists)),
+    lap AS (
+      SELECT vec_id, v[8 * (CASE WHEN r = 0 THEN 1 ELSE r - 1 END) + c + 1] + v[8 * (CASE WHEN r = 7 THEN 6 ELSE r + 1 END) + c + 1]
+                     + v[8 * r + CASE WHEN c = 0 THEN 1 ELSE c - 1 END + 1] + v[8 * r + CASE WHEN c = 7 THEN 6 ELSE c + 1 END + 1]
+                     - 4 * v[8 * r + c + 1] AS x
+      FROM around)
+    SELECT vec_id, round(var_pop(x), 6) AS blur_score FROM lap GROUP BY vec_id""", "pixels")
+oracle("img_otsu", """
+    , cuts AS (SELECT vec_id, t, count(*) FILTER (WHERE p <= t) AS below, count(*) FILTER (WHERE p > t) AS above,
+                      avg(p) FILTER (WHERE p <= t) AS dark, avg(p) FILTER (WHERE p > t) AS light
+               FROM clear JOIN (SELECT DISTINCT vec_id, p AS t FROM clear) USING (vec_id) GROUP BY vec_id, t)
+    SELECT vec_id, t AS otsu FROM cuts WHERE above > 0
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(below * above * (dark - light) * (dark - light), 6) DESC, t) = 1""", "clear")
+oracle("img_content_box", "SELECT DISTINCT vec_id, 0 AS x0, 0 AS y0, 8 AS x1, 8 AS y1 FROM clear", "clear")
+oracle("img_pool_features", """
+    SELECT vec_id, CAST((4 * (i // 8) + a) * 32 + 4 * (i % 8) + b AS int) AS cell, round(1 - p / 255.0e0, 4) AS ink
+    FROM pixels, range(4) x(a), range(4) y(b)""", "pixels")
+
 # ---- field extraction
 
 for _name in ("invoice_no", "invoice_date", "gstin", "subtotal", "gst", "total"):

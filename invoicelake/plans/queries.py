@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from invoicelake import fixtures as fx
 from invoicelake.functions import text as T
-from invoicelake.operators import (anomalies, classify, duplicates, evaluation, extract, gold, labels, merge, metrics,
-                                   ocr, registry, silver, splits)
+from invoicelake.operators import (anomalies, classify, duplicates, evaluation, extract, gold, images, labels, merge,
+                                   metrics, ocr, registry, silver, splits)
 from invoicelake.plans import flow
 from invoicelake.session import cut_lineage, shared_folder
 from invoicelake.sources import files, tables
@@ -220,6 +220,40 @@ def ocr_aggregate(spark, d):
     return ocr.aggregate_words(fx.words(spark, d), documents).withColumn("mean_conf", F.round("mean_conf", 9))
 
 
+# ---- image measurements
+
+@query
+def img_blur_score(spark, d):
+    return images.measure(fx.pictures(spark, d)).select("vec_id", F.round("blur_score", 6).alias("blur_score"))
+
+
+@query
+def img_otsu(spark, d):
+    """Threshold of the stretched grey picture."""
+    return images.measure(fx.pictures(spark, d)).select("vec_id", "otsu")
+
+
+@query
+def img_content_box(spark, d):
+    return images.measure(fx.pictures(spark, d)).select("vec_id", "x0", "y0", "x1", "y1")
+
+
+@query
+def img_pool_features(spark, d):
+    measured = images.measure(fx.pictures(spark, d)).select("vec_id", F.posexplode("features").alias("cell", "ink"))
+    return measured.select("vec_id", "cell", F.round(F.col("ink").cast("double"), 4).alias("ink"))
+
+
+@query
+def img_quality_job(spark, d):
+    """Vectors with label 0 have been measured before."""
+    rows = fx.pictures(spark, d).withColumnRenamed("vec_id", "doc_id")
+    all_vectors = fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
+    registry_rows = all_vectors.select("doc_id", F.lit("INGESTED").alias("status"))
+    good, _ = images.quality_job(registry_rows, rows, all_vectors.filter("label = 0"))
+    return good.select("doc_id", "skew_angle", F.round("blur_score", 6).alias("blur_score"))
+
+
 # ---- field extraction
 
 def _field(name):
