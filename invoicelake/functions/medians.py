@@ -10,15 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from invoicelake.session import cut_lineage
+
 CELLS_PER_UNIT = 64
 
 
-def group_median(df: DataFrame, key: str, value: str, name: str = "median",
-                 cells_per_unit: int = CELLS_PER_UNIT) -> DataFrame:
-    """(key, median of value) with the mean of the two middle values for even counts; NULL values are left out."""
-    cell = F.floor(F.col("x") * cells_per_unit)
-    counts = (df.select(F.col(key), F.col(value).alias("x")).filter(F.col("x").isNotNull())
-              .groupBy(key, "x").agg(F.count("*").alias("n")).withColumn("cell", cell))
+def value_counts(df: DataFrame, key: str, value: str, weight: str | None = None) -> DataFrame:
+    """(key, x, n): every value of a group once, stored, because a median reads it twice."""
+    n = F.count("*") if weight is None else F.sum(weight)
+    return cut_lineage(df.select(key, F.col(value).alias("x"), *([weight] if weight else []))
+                       .filter(F.col("x").isNotNull()).groupBy(key, "x").agg(n.alias("n")))
+
+
+def group_median(values: DataFrame, key: str, name: str = "median", cells_per_unit: int = CELLS_PER_UNIT) -> DataFrame:
+    """(key, median) from ``value_counts``, with the mean of the two middle values for even counts."""
+    counts = values.withColumn("cell", F.floor(F.col("x") * cells_per_unit))
     cells = counts.groupBy(key, "cell").agg(F.sum("n").alias("cell_n"))
     in_group = Window.partitionBy(key)
     upto = in_group.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.functions.medians import group_median
+from invoicelake.functions.medians import group_median, value_counts
 from invoicelake.operators import forest, metrics
+from invoicelake.session import cut_lineage
 
 # Fixed values.
 REVIEW_BUDGET = 0.05
@@ -34,12 +35,12 @@ def with_log_total(rows: DataFrame) -> DataFrame:
 
 def with_vendor_z(rows: DataFrame) -> DataFrame:
     """How far log_total lies from the vendor's median, in robust standard deviations. The spread has a floor."""
-    middle = group_median(rows, "vendor_id", "log_total", "median")
-    centred = rows.join(middle, "vendor_id")
-    deviation = centred.select("vendor_id", F.abs(F.col("log_total") - F.col("median")).alias("deviation"))
-    spread = group_median(deviation, "vendor_id", "deviation", "mad")
+    values = value_counts(rows, "vendor_id", "log_total")
+    middle = cut_lineage(group_median(values, "vendor_id", "median"))
+    deviations = values.join(middle, "vendor_id").select("vendor_id", F.abs(F.col("x") - F.col("median")).alias("d"), "n")
+    spread = group_median(value_counts(deviations, "vendor_id", "d", "n"), "vendor_id", "mad")
     z = (F.col("log_total") - F.col("median")) / (F.greatest("mad", F.lit(MIN_MAD)) * MAD_TO_SIGMA)
-    return centred.join(spread, "vendor_id").withColumn("vendor_z", z).drop("median", "mad")
+    return rows.join(middle.join(spread, "vendor_id"), "vendor_id").withColumn("vendor_z", z).drop("median", "mad")
 
 
 def with_global_z(rows: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from invoicelake.functions import text as T
 from invoicelake.functions.similarity import NameIndex, best_match
+from invoicelake.session import cut_lineage
 
 # Limits of the validation rules.
 VENDOR_THRESHOLD = 0.8
@@ -64,7 +65,7 @@ def match_vendors_in_parts(docs: DataFrame, header: str, master: DataFrame, thre
              .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit"))
              .select("top", F.struct("hit.vendor_id", "hit.vendor_name", F.lit(1.0).alias("score")).alias("_match")))
     tops = docs.select(F.col(header).alias("top")).filter(F.col("top").isNotNull()).distinct()
-    rest = tops.join(known.select("top"), "top", "left_anti")
+    rest = cut_lineage(tops.join(known.select("top"), "top", "left_anti"))
     parts = max(1, math.ceil(master.count() / part_size))
     slices = max(1, math.ceil(rest.count() / part_size))
 

@@ -47,11 +47,8 @@ def subsamples(rows: DataFrame, features: list[str], key: str, seed: int, trees:
     # about twice the rows a tree needs pass the cheap hash test, the smallest hashes among them are taken
     share = min(1.0, (2.0 * size + 40) / max(in_pool, 1))
     limit = F.lit(int((2.0 * share - 1.0) * spread) if share < 1 else 2 ** 63 - 1).cast("long")
-    ticket = F.explode(F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(trees - 1)),
-                    lambda t: F.struct(t.alias("tree"), F.xxhash64("key", t, F.lit(seed)).alias("h"))),
-        lambda s: s["h"] <= limit))
-    drawn = pool.select("x", "key", ticket.alias("s")).select("x", "key", "s.tree", "s.h")
+    drawn = (pool.select("x", "key", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+             .withColumn("h", F.xxhash64("key", "tree", F.lit(seed))).filter(F.col("h") <= limit))
     nr = F.row_number().over(Window.partitionBy("tree").orderBy("h", "key"))
     return drawn.withColumn("nr", nr).filter(F.col("nr") <= size).select("tree", "nr", "x")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from invoicelake.session import cut_lineage
 from invoicelake.sources.files import file_name_of, suffix_of
 
 STATUSES = ["INGESTED", "DUPLICATE_EXACT", "SKIPPED", "FAILED"]
@@ -36,12 +37,12 @@ def register(prints: DataFrame, registry: DataFrame, source: str = "scanner_fold
     """Registry rows of a batch of fingerprints (path, length, sha256, error_message).
 
     Within the batch the smallest path of equal contents is the original, unless the registry already holds
-    an ingested one. ``prints`` is read more than once: pass a table or a checkpoint of the fingerprints, never
-    the raw bytes. The originals are found by an aggregate that combines on the map side, so one content
-    repeated in a third of all files costs one row per task.
+    an ingested one. The new rows are stored once: they are joined with the originals among themselves. Those
+    are found by an aggregate that combines on the map side, so one content repeated in a third of all files
+    costs one row per task.
     """
     now = _instant(run_time)
-    fresh = skip_seen(prints, registry).withColumn("doc_id", document_id("path", "sha256", now))
+    fresh = cut_lineage(skip_seen(prints, registry).withColumn("doc_id", document_id("path", "sha256", now)))
     stored = (registry.filter("status = 'INGESTED'").filter(F.col("sha256").isNotNull())
               .groupBy("sha256").agg(F.min("doc_id").alias("stored_id")))
     first = (fresh.filter(F.col("sha256").isNotNull())

@@ -68,10 +68,10 @@ def document_files(spark, d) -> DataFrame:
 def prints_and_registry(spark, d) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all documents, and the registry an earlier run over some sources left behind."""
     rows = document_files(spark, d)
-    prints = files.fingerprint_content(rows)
+    prints = cut_lineage(files.fingerprint_content(rows))
     earlier = files.fingerprint_content(rows.filter(F.col("source").isin(FIRST_SOURCES)))
     empty = spark.createDataFrame([], "doc_id string, source_path string, sha256 string, status string")
-    return prints, registry.register(earlier, empty, run_time=RUN_TIME)
+    return prints, cut_lineage(registry.register(earlier, empty, run_time=RUN_TIME))
 
 
 def registered(spark, d) -> DataFrame:
@@ -206,7 +206,7 @@ def ing_registry_row(spark, d):
 @query
 def ing_counts(spark, d):
     prints, known = prints_and_registry(spark, d)
-    return registry.run_counts(prints, registry.register(prints, known, run_time=RUN_TIME))
+    return registry.run_counts(prints, cut_lineage(registry.register(prints, known, run_time=RUN_TIME)))
 
 
 @query
