@@ -74,12 +74,12 @@ SELECT doc_id, invoice_no, invoice_date, gstin, vendor_id, vendor_name, vendor_m
 FROM seen
 """
 
-# Registry rows of the scanned files; some failed, some were byte-for-byte copies.
+# Registry rows of the scanned files, ingested once a month; some failed, some were byte-for-byte copies.
 REGISTRY_SQL = """
 SELECT doc_id, file AS file_name, concat('scanner/', file) AS source_path,
        CASE WHEN k % 30 IN (18, 28) THEN NULL ELSE concat('bronze/', doc_id, '.png') END AS bronze_path,
        md5(doc_id) AS sha256, CAST(1000 + k % 5000 AS bigint) AS size_bytes, 'scanner_folder' AS source,
-       concat(CAST(d AS string), 'T08:30:00+00:00') AS ingested_at,
+       concat(substr(CAST(d AS string), 1, 8), '01T08:30:00+00:00') AS ingested_at,
        CASE WHEN k % 30 = 18 THEN 'FAILED' WHEN k % 30 = 28 THEN 'DUPLICATE_EXACT' ELSE 'INGESTED' END AS status,
        CAST(NULL AS string) AS duplicate_of, CAST(NULL AS string) AS error_message
 FROM {truth}

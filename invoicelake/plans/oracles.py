@@ -189,6 +189,11 @@ oracle("src_snapshot", "SELECT o_orderstatus, count(*) AS n, max(o_totalprice) A
 oracle("src_path_sql", """
     SELECT c_mktsegment AS segment, count(*) AS orders, CAST(sum(CAST(o_totalprice AS decimal(24, 2))) AS double) AS spend
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+oracle("src_csv_truth", """
+    SELECT file, invoice_no, vendor_id, vendor_name, gstin, invoice_date, subtotal, gst, total, is_duplicate, is_anomaly
+    FROM truth""", "truth")
+oracle("snk_partitioned", "SELECT CAST(date_trunc('month', d) AS date) AS ingest_date, count(*) AS n FROM truth GROUP BY 1", "truth")
+oracle("snk_overwrite", "SELECT doc_id, flags FROM extracted WHERE needs_review = 1", "extracted")
 oracle("merge_insert_only", """
     SELECT * FROM target UNION ALL
     SELECT * FROM later WHERE o_orderkey NOT IN (SELECT o_orderkey FROM target)""", "target", "later")
@@ -276,7 +281,7 @@ oracle("slv_filter_ingested", "SELECT doc_id, file_name, status FROM registry WH
 oracle("slv_join", """
     SELECT doc_id, file_name, sha256, ingest_date, skew_angle, blur_score, invoice_no, total FROM joined""", "joined")
 oracle("slv_parse_date", "SELECT doc_id, TRY_CAST(invoice_date AS date) AS invoice_date FROM extracted", "extracted")
-oracle("slv_ingest_date", "SELECT doc_id, CAST(d AS date) AS ingest_date FROM truth", "truth")
+oracle("slv_ingest_date", "SELECT doc_id, CAST(date_trunc('month', d) AS date) AS ingest_date FROM truth", "truth")
 oracle("slv_dq_reasons", "SELECT doc_id, dq_reasons FROM checked", "checked")
 oracle("slv_split", """
     SELECT doc_id, CASE WHEN dq_reasons = '' THEN 'invoices' ELSE 'quarantine' END AS side FROM checked""", "checked")

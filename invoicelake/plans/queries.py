@@ -149,6 +149,36 @@ def src_path_sql(spark, d):
         orders=f"{d}/orders.parquet", customer=f"{d}/customer.parquet")
 
 
+def truth_columns(spark, d) -> DataFrame:
+    return fx.truth(spark, d).select("file", "invoice_no", "vendor_id", "vendor_name", "gstin", "invoice_date", "subtotal",
+                                     "gst", "total", "is_duplicate", "is_anomaly")
+
+
+@query
+def src_csv_truth(spark, d):
+    """The answer key written as CSV and read back with its declared schema."""
+    path = scratch(spark)
+    tables.write_csv(truth_columns(spark, d), path)
+    return tables.read_truth_csv(spark, path)
+
+
+@query
+def snk_partitioned(spark, d):
+    path = scratch(spark)
+    rows = fx.registry(spark, d).withColumn("ingest_date", silver.ingest_date())
+    tables.write_partitioned(rows, path)
+    return tables.snapshot(spark, path).groupBy("ingest_date").agg(F.count("*").alias("n"))
+
+
+@query
+def snk_overwrite(spark, d):
+    """A rebuilt table replaces the old rows and columns."""
+    path = scratch(spark)
+    tables.overwrite(fx.extracted(spark, d), path)
+    tables.overwrite(fx.extracted(spark, d).filter("needs_review = 1").select("doc_id", "flags"), path)
+    return tables.snapshot(spark, path)
+
+
 @query
 def merge_insert_only(spark, d):
     return merge.insert_only(*order_batches(spark, d), "o_orderkey")

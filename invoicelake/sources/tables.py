@@ -34,8 +34,12 @@ def path_sql(spark: SparkSession, query: str, **paths: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, column: str = "ingest_date") -> None:
-    """Create a table split by a date column. Rows of one date go to few, large files."""
-    df.repartition(column, F.pmod(F.xxhash64("doc_id"), F.lit(16))).write.partitionBy(column).parquet(path)
+    """Create a table split by a date column.
+
+    The rebalance hint brings the rows of a date together and lets adaptive execution split a date that is too
+    large for one task.
+    """
+    df.hint("rebalance", column).write.partitionBy(column).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
