@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -33,6 +37,20 @@ def local_session(app: str = "invoicelake", cores: str = "*", shuffle_partitions
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once; they need it for the Arrow functions."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="invoicelake-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for file in sorted(package.rglob("*.py")):
+            bundle.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only for a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
