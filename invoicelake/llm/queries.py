@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, quality, toxicity
-from invoicelake.llm.common import documents
+from invoicelake.llm import chat, packing, quality, token_file, toxicity
+from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -32,6 +33,23 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(planted)))
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query
+def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    target = new_folder(spark, "tokens")
+    return token_file.read(spark, target, token_file.write(documents(spark, folder), target, _tokenizer()))
+
+
+@_query
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, folder), _tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @_query
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
