@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, packing, quality, token_file, toxicity
+from invoicelake.llm import chat, exact_chunks, packing, quality, token_file, toxicity
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read(spark, target, token_file.write(documents(spark, folder), target, _tokenizer()))
 
 
+@_query
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_chunks.groups(documents(spark, folder))
+
+
 @_query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(documents(spark, folder), _tokenizer())
@@ -70,3 +75,8 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   (3 + sum(chars + marks))::BIGINT AS formatted_chars
 FROM m GROUP BY conv_id"""
+
+LLM_ORACLES["op8_exact_dedup"] = """
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
+  sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)"""
