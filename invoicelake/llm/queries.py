@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, exact_chunks, packing, quality, token_file, toxicity
+from invoicelake.llm import chat, decontaminate, exact_chunks, packing, quality, token_file, toxicity
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read(spark, target, token_file.write(documents(spark, folder), target, _tokenizer()))
 
 
+@_query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 @_query
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_chunks.groups(documents(spark, folder))
@@ -80,3 +85,19 @@ LLM_ORACLES["op8_exact_dedup"] = """
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
   sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)"""
+
+_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+LLM_ORACLES["op6_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+n AS (SELECT item_id, w, least(len(w), 10) AS k FROM i WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS s FROM n)),
+dw AS (SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS g FROM (
+  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM n) WHERE len(w) >= k)),
+h AS (SELECT doc_id, s, dw.k, item_id FROM dw JOIN iw USING (k, g)),
+p AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS x FROM h) GROUP BY doc_id),
+q AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)"""
