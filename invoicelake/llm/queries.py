@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, decontaminate, exact_chunks, packing, quality, token_file, toxicity
+from invoicelake.llm import chat, decontaminate, exact_chunks, ngram_join, packing, quality, token_file, toxicity
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read(spark, target, token_file.write(documents(spark, folder), target, _tokenizer()))
 
 
+@_query
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, folder))
+
+
 @_query
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
