@@ -166,18 +166,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", cost: float
     return whole
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``score``: the probability of label 1, from the text alone. NULL and empty texts are scored too."""
-    fields = [f for f in docs.schema.fields if f.name != "score"]
-    names = [f.name for f in fields]
-    schema = StructType([*fields, StructField("score", DoubleType(), False)])
+def scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a new column: the probability of label 1, from the text alone. NULL and empty texts are scored too."""
+    names = docs.columns
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margins = np.array([model.margin(found) for found in _rows(batch.column("text"))])
             score = logistic(model.slope * margins + model.offset)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score, pa.float64())], [*names, "score"])
-    return docs.select(*names).mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score, pa.float64())], [*names, name])
+    return docs.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
@@ -186,3 +185,9 @@ def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     scored = scores(rows, fit(rows, labels)).drop("text")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that score at least ``cut``, all columns as they are; no row is moved."""
+    model = fit(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), labels)
+    return scores(docs, model, "__score").filter(F.col("__score") >= cut).drop("__score")

@@ -59,10 +59,15 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_chunks.groups(documents(spark, folder))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of packed documents, their ids as a checksum."""
+    pieces = packing.pack(docs, _tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @_query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.pack(documents(spark, folder), _tokenizer())
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packed(documents(spark, folder))
 
 
 @_query
