@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, decontaminate, exact_chunks, ngram_join, packing, quality, token_file, toxicity
+from invoicelake.llm import chat, decontaminate, exact_chunks, ngram_join, packing, quality, surrogates, token_file, toxicity
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+@_query
+def op7_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replaced(documents(spark, folder))
+
+
 @_query
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_chunks.groups(documents(spark, folder))
