@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, decontaminate, exact_chunks, ngram_join, packing, quality, surrogates, token_file, toxicity
+from invoicelake.llm import chat, decontaminate, exact_chunks, licenses, ngram_join, packing, quality, surrogates, token_file, toxicity
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read(spark, target, token_file.write(documents(spark, folder), target, _tokenizer()))
 
 
+@_query
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return licenses.scan(docs.select("doc_id", licenses.document_path(F.col("doc_id"), F.col("source")).alias("path"), "text"))
+
+
 @_query
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, folder))
@@ -116,3 +122,27 @@ q AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)"""
+
+_TEMPLATES = ", ".join(f"('{name}', '{word}')" for name, word in licenses.template_words(licenses.TEMPLATES))
+LLM_ORACLES["op4_licenses"] = f"""
+WITH f AS (SELECT doc_id, coalesce(source, '') || '/' || CASE WHEN doc_id % 1000 = 0 THEN '' WHEN doc_id % 100 = 0 THEN (doc_id // 1000) || '/'
+    ELSE (doc_id // 1000) || '/' || (doc_id // 100) || '/' END || doc_id AS path, string_split(lower(coalesce(text, '')), chr(10)) AS lines FROM documents),
+t(licence, word) AS (VALUES {_TEMPLATES}),
+l AS (SELECT doc_id, unnest(lines) AS x, unnest(range(len(lines))) AS line FROM f),
+w AS (SELECT DISTINCT doc_id, line, word FROM (SELECT doc_id, line, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS word FROM l)),
+d AS (SELECT word, count(DISTINCT doc_id) AS df FROM w WHERE word IN (SELECT word FROM t) GROUP BY word),
+n AS (SELECT count(*)::DOUBLE AS n FROM documents),
+k AS (SELECT t.*, pow(ln((n + 1) / (coalesce(df, 0) + 1)) + 1, 2) AS w2 FROM t LEFT JOIN d USING (word), n),
+kn AS (SELECT licence, sum(w2) AS t2 FROM k GROUP BY licence),
+o AS (SELECT word, any_value(w2) AS w2 FROM k GROUP BY word),
+ln AS (SELECT doc_id, line, sum(coalesce(w2, pow(ln(n + 1) + 1, 2))) AS l2 FROM w LEFT JOIN o USING (word), n GROUP BY ALL),
+s AS (SELECT doc_id, line, licence, round(dot / sqrt(l2 * t2), 6) AS sim FROM
+  (SELECT doc_id, line, licence, sum(w2) AS dot FROM w JOIN k USING (word) GROUP BY ALL) JOIN ln USING (doc_id, line) JOIN kn USING (licence)),
+b AS (SELECT doc_id, min_by(licence, (-sim, licence)) AS licence, max(sim) AS sim, bool_or(line = 0) AS top FROM s WHERE sim >= 0.75 GROUP BY doc_id),
+m AS (SELECT f.doc_id, path, licence, sim, top, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM f LEFT JOIN b USING (doc_id)),
+g AS (SELECT dir, min_by(struct_pack(licence := licence, sim := sim, doc := doc_id), (-sim, licence, doc_id)) AS g FROM m WHERE licence IS NOT NULL AND top GROUP BY dir),
+r AS (SELECT m.dir, max_by(g.g, length(g.dir)) AS g FROM (SELECT DISTINCT dir FROM m) m JOIN g ON m.dir = g.dir OR starts_with(m.dir, g.dir || '/') GROUP BY m.dir)
+SELECT doc_id, path, coalesce(licence, g.licence) AS licence, coalesce(sim, g.sim) AS similarity,
+  CASE WHEN licence IS NOT NULL THEN 'own' WHEN g IS NOT NULL THEN 'inherited' ELSE 'none' END AS via,
+  CASE WHEN licence IS NOT NULL THEN doc_id ELSE g.doc END AS from_doc_id
+FROM m LEFT JOIN r USING (dir)"""
