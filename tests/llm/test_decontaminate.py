@@ -75,7 +75,8 @@ def test_spans_and_clean_documents(spark):
     docs = spark.createDataFrame([(1, f"a b {passage} c", "x", "y"), (2, "a b c", "x", "y"), (None, "d", "x", "y")], SCHEMA)
     items = spark.createDataFrame([(5, passage)], "item_id long, text string")
     row = decontaminate.contamination(docs, items).filter("doc_id = 1").first()
-    assert sorted((s["start"], s["length"]) for s in row["spans"]) == [(2 + k, 10) for k in range(5)] and row["items"] == ["5"]
+    covered = {s["start"] + k for s in row["spans"] for k in range(s["length"])}
+    assert covered == set(range(2, 16)) and min(s["length"] for s in row["spans"]) >= 10 and row["items"] == ["5"]
     kept = decontaminate.clean(docs, items)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {2, None}
 
