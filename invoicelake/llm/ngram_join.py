@@ -10,8 +10,8 @@ whole sequence), held as 64-bit hashes. Two documents link when ``100 * intersec
    rare beginnings (prefix filter). Of each meeting place all documents are first paired with its most central one only.
 3. *Verification.* The frequency order is cut into ``FRAGMENTS`` ranges of equal weight, the overlap of a pair is counted in each of
    them separately and summed.
-4. Documents that meet but lie in different components yet are then paired in full, except with the largest component
-   of a place among itself; what cannot reach the threshold by its size and shared n-grams is not paired. So a group of
+4. Documents that meet but lie in different components yet are then paired in full. Only n-grams that lie in several components
+   count here, and what cannot reach the threshold by its size, their number and a bitmap of them is not paired. So a group of
    thousands of near copies costs pairs in proportion to its size, and no link between components is lost.
 """
 
@@ -31,6 +31,7 @@ from invoicelake.llm.common import byte_rows, mixed, row_groups, stored, texts,
 SHINGLE = 5
 SHARE = 0.4
 FRAGMENTS = 8
+BITMAP = 16
 BATCH_BYTES = 8 << 20
 STEP = 1.05  # ratio of neighbouring size classes
 _WORD = np.ones(256, bool)
@@ -175,16 +176,17 @@ def _sets(docs: DataFrame, described: DataFrame) -> DataFrame:
     classes = described.filter("alive").groupBy("signature").agg(F.min("doc_id").alias("first"))
     chosen = classes.filter(F.col("first").isNotNull()).select("first").distinct()
     nameless = described.filter("alive AND doc_id IS NULL").limit(1).count() > 0
-    rows = docs.join(chosen, F.col("doc_id") == F.col("first"), "left_semi")
+    # the same plan at every size: texts are dealt out by id and not sorted
+    rows = docs.join(chosen.hint("shuffle_hash"), F.col("doc_id") == F.col("first"), "left_semi")
     if nameless:
         rows = rows.unionByName(docs.filter("doc_id IS NULL"))
     sets = stored(_hashes(rows).dropDuplicates(["signature"]).withColumn("node", F.monotonically_increasing_id()), "ngram-sets")
-    tokens = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    tokens = sets.select("node", F.explode("grams").alias("gram"))
     known = tokens.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ranked = (tokens.join(known, "gram").groupBy("node")
-              .agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("ranked"))
-              .withColumn("c", F.size("ranked")).filter(4 * F.col("c") >= 3 * F.col("n")))
-    return stored(ranked.join(sets.select("node", "signature"), "node"), "ngram-ranked")
+    ranked = (tokens.join(known, "gram").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("ranked"))
+              .withColumn("c", F.size("ranked")))
+    sized = sets.select("node", "signature", F.size("grams").alias("n"))
+    return stored(ranked.join(sized, "node").filter(4 * F.col("c") >= 3 * F.col("n")), "ngram-ranked")
 
 
 def _may_link(a: str, b: str) -> Column:
@@ -193,6 +195,21 @@ def _may_link(a: str, b: str) -> Column:
     return (7 * F.least(least, na, nb) >= 3 * (na + nb))
 
 
+def _bitmap(ranked: Column) -> Column:
+    """A set of n-grams as ``BITMAP`` numbers of 64 bits, one bit per n-gram by its hash."""
+    def number(k: int) -> Column:
+        own = F.filter(ranked, lambda g: F.shiftright(g["gram"], 6).bitwiseAND(F.lit(BITMAP - 1)) == k)
+        bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), g["gram"].bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda total, g: total.bitwiseOR(bit(g)))
+    return F.struct(*(number(k).alias(f"b{k}") for k in range(BITMAP)))
+
+
+def _bits_allow(a: str, b: str) -> Column:
+    """Every bit that differs stands for an n-gram only one of the two sets has; what is left must suffice for a link."""
+    apart = sum((F.bit_count(F.col(f"bits{a}.b{k}").bitwiseXOR(F.col(f"bits{b}.b{k}"))) for k in range(BITMAP)), F.lit(0))
+    return 7 * (F.col(f"c{a}") + F.col(f"c{b}") - apart) >= 6 * (F.col(f"n{a}") + F.col(f"n{b}"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) that link: partial overlaps per fragment of the frequency order, summed per pair."""
     key = lambda g: g["df"].cast("double") + (g["gram"].cast("double") / 2.0**64 + 0.5)
@@ -241,11 +258,28 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(STEP)))
 
 
+def _places(sets: DataFrame) -> DataFrame:
+    """The meeting places of each set: its n-grams in frequency order as far as a partner must have one of them. The n - c
+    n-grams that nobody shares stand before all others."""
+    prefix = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1 - (F.col("n") - F.col("c"))
+    own = [k for k in ("node", "n", "c", "component", "bits") if k in sets.columns]
+    return sets.select(*own, F.explode(F.slice("ranked", F.lit(1), prefix.cast("int"))).alias("g")).select(*own, F.col("g.gram").alias("gram"))
+
+
+def _crossing(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """The sets by the n-grams that lie in several components: only these count for a pair from two components."""
+    tokens = stored(sets.select("node", F.explode("ranked").alias("g")).select("node", "g.*").join(known, "node", "left")
+                    .withColumn("component", F.coalesce("component", "node")), "ngram-tokens")
+    several = tokens.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("gram")
+    crossing = (tokens.join(several, "gram", "left_semi").groupBy("node")
+                .agg(F.first("component").alias("component"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("ranked")))
+    crossing = crossing.withColumn("c", F.size("ranked")).join(sets.select("node", "n"), "node").filter(4 * F.col("c") >= 3 * F.col("n"))
+    return crossing.withColumn("bits", _bitmap(F.col("ranked")))
+
+
 def _links(sets: DataFrame) -> DataFrame:
     """Links (x, y) between nodes that give the same components as all links."""
-    prefix = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1 - (F.col("n") - F.col("c"))
-    places = stored(sets.select("node", "n", "c", F.explode(F.slice("ranked", F.lit(1), prefix.cast("int"))).alias("g"))
-                    .select("node", "n", "c", F.col("g.gram").alias("gram")), "ngram-places")
+    places = stored(_places(sets), "ngram-places")
     heads = places.groupBy("gram").agg(F.count(F.lit(1)).alias("met"), F.max(F.struct(
         (F.col("c") / F.col("n")).alias("central"), "n", "c", "node")).alias("head")).filter("met > 1")
     stars = (places.join(heads, "gram").select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("head.node").alias("y"),
@@ -253,7 +287,7 @@ def _links(sets: DataFrame) -> DataFrame:
              .filter("x != y").filter(_may_link("x", "y")).select("x", "y").distinct())
     first = _verified(stored(stars, "ngram-stars"), sets)
     known = components(first)
-    placed = stored(places.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")), "ngram-placed")
+    placed = stored(_places(_crossing(sets, known)), "ngram-placed")
     parts = placed.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     mixed_places = (parts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.struct("size", "component")).alias("largest"))
                     .filter("kinds > 1").select("gram", F.col("largest.component").alias("major")))
@@ -262,9 +296,11 @@ def _links(sets: DataFrame) -> DataFrame:
     low, high = F.greatest(F.floor(F.col("n") * 3 / 4), F.lit(1)), F.least(F.ceil(F.col("n") * 4 / 3), F.floor(F.col("c") * 7 / 3) - F.col("n") + 1)
     few = (rows.filter("component != major").withColumn("low", low).withColumn("high", high).filter("high >= low")
            .select("gram", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("component").alias("kx"),
+                   F.col("bits").alias("bitsx"),
                    F.explode(F.sequence(_size_class(F.col("low")), _size_class(F.col("high")))).alias("class")))
-    all_rows = rows.select("gram", "class", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("component").alias("ky"))
-    cross = (few.join(all_rows, ["gram", "class"]).filter("kx != ky").filter(_may_link("x", "y"))
+    all_rows = rows.select("gram", "class", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("component").alias("ky"),
+                           F.col("bits").alias("bitsy"))
+    cross = (few.join(all_rows, ["gram", "class"]).filter("kx != ky").filter(_may_link("x", "y")).filter(_bits_allow("x", "y"))
              .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
     return first.unionByName(_verified(stored(cross, "ngram-cross"), sets))
 
