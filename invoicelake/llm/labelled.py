@@ -26,7 +26,7 @@ def training_ids(labels: DataFrame, label: str, id_column: str = "doc_id", most:
     share = {k: min(1.0, most / 2 / n) for k, n in sizes.items() if k in (0, 1)}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     chance = F.when(F.col("label") == 1, share.get(1, 0.0)).otherwise(F.when(F.col("label") == 0, share.get(0, 0.0)).otherwise(0.0))
-    return rows.withColumn("weight", chance).filter(draw < F.col("weight")).withColumn("weight", 1 / F.col("weight"))
+    return rows.withColumn("weight", chance).filter(draw < F.col("weight")).withColumn("weight", F.try_divide(F.lit(1.0), F.col("weight")))
 
 
 def sampled_features(docs: DataFrame, ids: DataFrame, features: Callable, extra: tuple[str, ...] = ()) -> pd.DataFrame:
