@@ -1,7 +1,7 @@
 """Global order over distributed rows: prefix sums, ranks and top-k counts without a one-partition window.
 
 Rows go to order-preserving buckets, each bucket is ordered on its own, and the totals of the buckets (a
-table with a fixed upper size) carry the running sums across. Hot values cost nothing: numeric keys are
+row or two per task) carry the running sums across. Hot values cost nothing: numeric keys are
 pre-aggregated to one row per distinct value, and ranks follow a uniform hash.
 """
 
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from invoicelake.session import cut_lineage
 
-MAX_BUCKETS = 512      # upper bound on the rows of the bucket table for numeric keys
 HASH_DIGITS = 3        # 16**3 = 4096 buckets for hashed keys
 
 
@@ -29,10 +28,10 @@ def _offsets(bucketed: DataFrame, sums: list[str]) -> DataFrame:
 def with_buckets(counts: DataFrame, key: str) -> DataFrame:
     """Add ``_bucket``: about equally filled ranges of a numeric key, the largest values first.
 
-    There are a few ranges per shuffle partition; equal keys always share one.
+    There are two ranges per shuffle partition; equal keys always share one.
     """
     spark = counts.sparkSession
-    buckets = min(max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 16), MAX_BUCKETS)
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 16)
     cuts = counts.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)
     splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
     if len(splits) < 3:

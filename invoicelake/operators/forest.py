@@ -19,7 +19,6 @@ TREES = 200
 SUBSAMPLE = 256
 EULER = 0.5772156649
 
-POOL = 65_536         # rows from which the subsamples of all trees are drawn
 NODES = "tree int, node int, feature int, cut double, size double"
 
 
@@ -39,16 +38,13 @@ def subsamples(rows: DataFrame, features: list[str], key: str, seed: int, trees:
     for i in range(len(features)):
         complete = complete.filter(F.col("x")[i].isNotNull())
     n = complete.count()
-    spread = 2.0 ** 63
-    pool, in_pool = complete, n
-    if n > POOL:
-        edge = int((2.0 * POOL / n - 1.0) * spread)
-        pool, in_pool = complete.filter(F.xxhash64("key", F.lit(seed)) < F.lit(edge).cast("long")), POOL
-    # about twice the rows a tree needs pass the cheap hash test, the smallest hashes among them are taken
-    share = min(1.0, (2.0 * size + 40) / max(in_pool, 1))
-    limit = F.lit(int((2.0 * share - 1.0) * spread) if share < 1 else 2 ** 63 - 1).cast("long")
-    drawn = (pool.select("x", "key", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-             .withColumn("h", F.xxhash64("key", "tree", F.lit(seed))).filter(F.col("h") <= limit))
+    # about twice the rows a tree needs pass the hash test, which every row takes once per tree without being copied;
+    # the smallest hashes among them are taken
+    share = min(1.0, (2.0 * size + 40) / max(n, 1))
+    limit = F.lit(int((2.0 * share - 1.0) * 2.0 ** 63) if share < 1 else 2 ** 63 - 1).cast("long")
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.xxhash64("key", tree, F.lit(seed)) <= limit)
+    drawn = (complete.select("x", "key", F.explode(chosen).alias("tree"))
+             .withColumn("h", F.xxhash64("key", "tree", F.lit(seed))))
     nr = F.row_number().over(Window.partitionBy("tree").orderBy("h", "key"))
     return drawn.withColumn("nr", nr).filter(F.col("nr") <= size).select("tree", "nr", "x")
 

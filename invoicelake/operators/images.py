@@ -25,9 +25,6 @@ PAD = 40
 SIDE = 128
 POOL = 4
 
-MEASURES = ("skew_angle double, blur_score double, otsu int, "
-            "x0 int, y0 int, x1 int, y1 int, features array<float>, error string")
-
 
 def to_pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
@@ -79,34 +76,38 @@ def shrink(image: np.ndarray, height: int, width: int) -> np.ndarray:
     return weights(image.shape[0], height) @ image.astype(float) @ weights(image.shape[1], width).T
 
 
+def row_spread(points: np.ndarray, angle: float, height: int, width: int) -> float:
+    """Variance of the ink per row when the ink points (x, y from the middle) are turned by ``angle`` degrees."""
+    turned = points @ (np.exp(1j * np.deg2rad(angle)) * np.array([1, 1j])).conj()
+    across, down = np.rint(turned.real + width / 2), np.rint(turned.imag + height / 2)
+    seen = down[(across >= 0) & (across < width) & (down >= 0) & (down < height)].astype(int)
+    return float(np.bincount(seen, minlength=height).var())
+
+
 def skew_angle(image: np.ndarray) -> float:
     """Rotation at which the rows of ink differ most; the first of equal angles, from -10 to 10 degrees."""
-    h, w = max(image.shape[0] // SKEW_SCALE, 1), max(image.shape[1] // SKEW_SCALE, 1)
-    small = np.rint(shrink(image, h, w)).astype(np.uint8)
-    ys, xs = np.nonzero(small <= otsu(small))
-    if len(xs) == 0:
+    height, width = (max(side // SKEW_SCALE, 1) for side in image.shape)
+    small = np.rint(shrink(image, height, width)).astype(np.uint8)
+    points = np.argwhere(small <= otsu(small))[:, ::-1] - np.array([width, height]) / 2
+    if not len(points):
         return 0.0
-    x, y = xs - w / 2, ys - h / 2
-    best, at = -1.0, 0.0
-    for angle in np.arange(-SKEW_LIMIT, SKEW_LIMIT + SKEW_STEP, SKEW_STEP):
-        a = np.deg2rad(angle)
-        column = np.rint(x * np.cos(a) + y * np.sin(a) + w / 2)
-        row = np.rint(-x * np.sin(a) + y * np.cos(a) + h / 2)
-        inside = (row >= 0) & (row < h) & (column >= 0) & (column < w)
-        spread = float(np.bincount(row[inside].astype(int), minlength=h).var())
-        if spread > best:
-            best, at = spread, float(angle)
-    return at
+    angles = np.linspace(-SKEW_LIMIT, SKEW_LIMIT, round(2 * SKEW_LIMIT / SKEW_STEP) + 1)
+    return float(angles[np.argmax([row_spread(points, angle, height, width) for angle in angles])])
+
+
+def _extent(marked: np.ndarray) -> tuple[int, int]:
+    """First and last marked place with a margin, inside the axis; the whole axis when none is marked."""
+    if not marked.any():
+        return 0, len(marked)
+    first, last = int(marked.argmax()), len(marked) - 1 - int(marked[::-1].argmax())
+    return max(first - PAD, 0), min(last + PAD, len(marked))
 
 
 def content_box(binary: np.ndarray) -> tuple[int, int, int, int]:
-    """(x0, y0, x1, y1) around the dark pixels with a margin; the whole image when there are none."""
-    h, w = binary.shape
-    ys, xs = np.nonzero(binary < INK)
-    if len(xs) == 0:
-        return 0, 0, w, h
-    return (max(int(xs.min()) - PAD, 0), max(int(ys.min()) - PAD, 0),
-            min(int(xs.max()) + PAD, w), min(int(ys.max()) + PAD, h))
+    """(x0, y0, x1, y1) around the dark pixels with a margin, from the projections on both axes."""
+    ink = binary < INK
+    (left, right), (top, bottom) = _extent(ink.any(axis=0)), _extent(ink.any(axis=1))
+    return left, top, right, bottom
 
 
 def pooled(image: np.ndarray) -> np.ndarray:
@@ -116,32 +117,41 @@ def pooled(image: np.ndarray) -> np.ndarray:
     return ink.reshape(n, POOL, n, POOL).mean(axis=(1, 3)).ravel().astype(np.float32)
 
 
-def _measure(height, width, channels, data) -> tuple:
+# what is measured, from the grey picture and the stretched one
+MEASURES = {
+    "skew_angle": ("skew_angle double", lambda grey, clear: (skew_angle(clear),)),
+    "blur_score": ("blur_score double", lambda grey, clear: (blur_score(grey),)),
+    "otsu": ("otsu int", lambda grey, clear: (otsu(clear),)),
+    "content_box": ("x0 int, y0 int, x1 int, y1 int", lambda grey, clear: content_box(np.where(clear > otsu(clear), 255, 0))),
+    "features": ("features array<float>", lambda grey, clear: (pooled(grey).tolist(),)),
+}
+
+
+def _measure(wanted: tuple[str, ...], width_of: int, height, width, channels, data) -> tuple:
     try:
-        original = gray(to_pixels(int(height), int(width), int(channels), data))
-        clear = stretch(original)
-        cut = otsu(clear)
-        box = content_box(np.where(clear > cut, 255, 0))
-        return (skew_angle(clear), blur_score(original), cut, *box, pooled(original).tolist(), None)
+        grey = gray(to_pixels(int(height), int(width), int(channels), data))
+        clear = stretch(grey)
+        return (*(value for name in wanted for value in MEASURES[name][1](grey, clear)), None)
     except Exception as problem:  # a broken picture is reported, the others go on
-        return (None,) * 8 + (str(problem) or type(problem).__name__,)
+        return (None,) * width_of + (str(problem) or type(problem).__name__,)
 
 
-def measure(images: DataFrame) -> DataFrame:
-    """All measurements of every picture next to its other columns; ``error`` is set where a picture is unreadable."""
+def measure(images: DataFrame, *wanted: str) -> DataFrame:
+    """The ``wanted`` measurements (names of ``MEASURES``; all when none is named) of every picture next to its other columns;
+    ``error`` is set where a picture is unreadable."""
+    wanted = wanted or tuple(MEASURES)
     carried = [f for f in images.schema.fields if f.name not in ("height", "width", "channels", "data")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [MEASURES])
-    names = [f.name for f in carried]
-    measured = [part.split()[0] for part in MEASURES.split(", ")]
+    fields = ", ".join([*(MEASURES[name][0] for name in wanted), "error string"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried), fields])
+    names, measured = [f.name for f in carried], [part.split() for part in fields.split(", ")]
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = frame[names].copy()
-            rows = [_measure(*r) for r in zip(frame["height"], frame["width"], frame["channels"], frame["data"])]
-            for i, column in enumerate(measured):
-                out[column] = pd.Series([r[i] for r in rows], index=out.index, dtype=object)
-            for column in ("otsu", "x0", "y0", "x1", "y1"):
-                out[column] = out[column].astype("Int32")
+            rows = [_measure(wanted, len(measured) - 1, *r) for r in zip(frame["height"], frame["width"], frame["channels"], frame["data"])]
+            for i, (column, kind) in enumerate(measured):
+                cells = pd.Series([r[i] for r in rows], index=out.index, dtype=object)
+                out[column] = cells.astype("Int32") if kind == "int" else cells
             yield out
 
     return images.mapInPandas(batches, schema)
@@ -153,7 +163,7 @@ def quality_job(registry: DataFrame, images: DataFrame, done: DataFrame) -> tupl
     ``images`` carries doc_id. Both results come from one measurement: persist or store it when both are written.
     """
     todo = pending(registry, done).select("doc_id")
-    measured = measure(images.join(todo, "doc_id", "left_semi"))
+    measured = measure(images.join(todo, "doc_id", "left_semi"), "skew_angle", "blur_score", "content_box")
     box = F.struct("x0", "y0", "x1", "y1")
     good = measured.filter("error IS NULL").select(
         "doc_id", "skew_angle", "blur_score", F.lit(None).cast("string").alias("processed_path"), box.alias("content_box"))

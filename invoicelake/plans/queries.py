@@ -254,23 +254,23 @@ def ocr_aggregate(spark, d):
 
 @query
 def img_blur_score(spark, d):
-    return images.measure(fx.pictures(spark, d)).select("vec_id", F.round("blur_score", 6).alias("blur_score"))
+    return images.measure(fx.pictures(spark, d), "blur_score").select("vec_id", F.round("blur_score", 6).alias("blur_score"))
 
 
 @query
 def img_otsu(spark, d):
     """Threshold of the stretched grey picture."""
-    return images.measure(fx.pictures(spark, d)).select("vec_id", "otsu")
+    return images.measure(fx.pictures(spark, d), "otsu").select("vec_id", "otsu")
 
 
 @query
 def img_content_box(spark, d):
-    return images.measure(fx.pictures(spark, d)).select("vec_id", "x0", "y0", "x1", "y1")
+    return images.measure(fx.pictures(spark, d), "content_box").select("vec_id", "x0", "y0", "x1", "y1")
 
 
 @query
 def img_pool_features(spark, d):
-    measured = images.measure(fx.pictures(spark, d)).select("vec_id", F.posexplode("features").alias("cell", "ink"))
+    measured = images.measure(fx.pictures(spark, d), "features").select("vec_id", F.posexplode("features").alias("cell", "ink"))
     return measured.select("vec_id", "cell", F.round(F.col("ink").cast("double"), 4).alias("ink"))
 
 
