@@ -322,13 +322,13 @@ oracle("dup_block_pairs", """
            count(c.same) AS pairs, count(*) FILTER (WHERE c.same) AS true_pairs
     FROM (SELECT DISTINCT vendor_id FROM prepared) v LEFT JOIN couples c USING (vendor_id) GROUP BY vendor_id""", "couples")
 oracle("dup_features", """
-    , heads AS (SELECT vendor_id, date, total, inv_clean, true_base, min(doc_id) AS doc_id FROM prepared GROUP BY ALL),
+    , docs AS (SELECT *, min(doc_id) OVER (PARTITION BY vendor_id, date, total, inv_clean, true_base) AS head FROM prepared),
     pairs AS (
-      SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, abs(a.total - b.total) / greatest(a.total, b.total) AS diff,
+      SELECT least(a.head, b.head) AS doc_a, greatest(a.head, b.head) AS doc_b, abs(a.total - b.total) / greatest(a.total, b.total) AS diff,
              abs(date_diff('day', a.date, b.date)) AS gap, a.true_base = b.true_base AS same
-      FROM heads a JOIN heads b ON a.vendor_id = b.vendor_id AND a.doc_id < b.doc_id)
-    SELECT doc_a, doc_b, round(diff, 9) AS amount_diff, CAST(gap AS int) AS date_gap, CAST(same AS int) AS is_dup
-    FROM pairs WHERE diff <= 0.2 AND gap <= 60""", "prepared")
+      FROM docs a JOIN docs b ON a.vendor_id = b.vendor_id AND a.doc_id < b.doc_id)
+    SELECT doc_a, doc_b, count(*) AS pairs, round(diff, 9) AS amount_diff, CAST(gap AS int) AS date_gap, CAST(same AS int) AS is_dup
+    FROM pairs WHERE diff <= 0.2 AND gap <= 60 GROUP BY doc_a, doc_b, diff, gap, same""", "prepared")
 oracle("dup_exact_rule", """
     SELECT vendor_id, date, total, count(*) AS documents, min(doc_id) AS first_id FROM prepared
     GROUP BY 1, 2, 3 HAVING count(*) > 1""", "prepared")

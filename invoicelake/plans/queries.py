@@ -451,15 +451,16 @@ def dup_block_pairs(spark, d):
 
 @query
 def dup_features(spark, d):
+    """Pairs of records with the number of document pairs behind them; a repeated record is paired with itself."""
     rows = cut_lineage(duplicates.profiles(duplicates.prepare(loaded(spark, d))))
-    return duplicates.close_pairs(rows, 0.2, 60).select(
-        "doc_a", "doc_b", F.round("amount_diff", 9).alias("amount_diff"), "date_gap", "is_dup")
+    return duplicates.counted_pairs(rows, 0.2, 60).select(
+        "doc_a", "doc_b", F.col("pairs").cast("long").alias("pairs"), F.round("amount_diff", 9).alias("amount_diff"), "date_gap", "is_dup")
 
 
 @query
 def dup_features_similarity(spark, d):
     rows = cut_lineage(duplicates.profiles(duplicates.prepare(loaded(spark, d))))
-    return duplicates.close_pairs(rows, 0.5, 365)
+    return duplicates.counted_pairs(rows, 0.5, 365)
 
 
 @query
