@@ -37,3 +37,18 @@ def newest_per_key(changes: DataFrame, key: str, version: str) -> DataFrame:
     """The row with the largest version of every key."""
     newest = F.max_by(F.struct(*changes.columns), F.col(version)).alias("row")
     return changes.groupBy(key).agg(newest).select("row.*")
+
+
+def as_of(changes: DataFrame, key: str, version: int, at: str = "v") -> DataFrame:
+    """The table after ``version``, from its changes: rows with ``op`` (UPSERT or DELETE) and the version in ``at``."""
+    newest = newest_per_key(changes.filter(F.col(at) <= version), key, at)
+    return newest.filter("op = 'UPSERT'").drop("op", at)
+
+
+def history(changes: DataFrame, at: str = "v") -> DataFrame:
+    """(version, operation, upserts, deletes), one row per version of the changes."""
+    upserts, deletes = F.count_if(F.col("op") == "UPSERT"), F.count_if(F.col("op") == "DELETE")
+    return (changes.groupBy(F.col(at).cast("long").alias("version"))
+            .agg(upserts.alias("upserts"), deletes.alias("deletes"))
+            .select("version", F.when(F.col("version") == 0, "CREATE").when(F.col("deletes") > 0, "DELETE").otherwise("MERGE").alias("operation"),
+                    "upserts", "deletes"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from invoicelake.session import cut_lineage
-from invoicelake.sources.files import file_name_of, suffix_of
+from invoicelake.sources.files import file_name_of, suffix_of, with_normal_path
 
 STATUSES = ["INGESTED", "DUPLICATE_EXACT", "SKIPPED", "FAILED"]
 
@@ -42,7 +42,7 @@ def register(prints: DataFrame, registry: DataFrame, source: str = "scanner_fold
     costs one row per task.
     """
     now = _instant(run_time)
-    fresh = cut_lineage(skip_seen(prints, registry).withColumn("doc_id", document_id("path", "sha256", now)))
+    fresh = cut_lineage(skip_seen(with_normal_path(prints), registry).withColumn("doc_id", document_id("path", "sha256", now)))
     stored = (registry.filter("status = 'INGESTED'").filter(F.col("sha256").isNotNull())
               .groupBy("sha256").agg(F.min("doc_id").alias("stored_id")))
     first = (fresh.filter(F.col("sha256").isNotNull())
@@ -62,6 +62,15 @@ def register(prints: DataFrame, registry: DataFrame, source: str = "scanner_fold
         F.when(F.col("status") == "DUPLICATE_EXACT", F.col("original")).alias("duplicate_of"), "error_message")
 
 
+def with_failures(registered: DataFrame, failures: DataFrame) -> DataFrame:
+    """Rows whose bytes could not be kept (doc_id, error) become FAILED; they are tried again in the next run."""
+    rows = registered.join(failures.select("doc_id", "error"), "doc_id", "left")
+    failed = F.col("error").isNotNull()
+    changed = {"status": F.when(failed, "FAILED").otherwise(F.col("status")), "bronze_path": F.when(~failed, F.col("bronze_path")),
+               "error_message": F.coalesce("error", "error_message")}
+    return rows.withColumns(changed).select(*registered.columns)
+
+
 def run_counts(prints: DataFrame, registered: DataFrame) -> DataFrame:
     """(status, n) for all four statuses; a file that got no row was skipped."""
     by_status = registered.groupBy("status").agg(F.count("*").alias("n"))

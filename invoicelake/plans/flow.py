@@ -6,8 +6,10 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from invoicelake.operators import extract, gold, registry, silver
+from invoicelake.operators import images as image_work
 from invoicelake.schemas import DOCUMENTS
 from invoicelake.session import cut_lineage
 from invoicelake.sources import files, tables
@@ -24,6 +26,10 @@ class Lake:
     def table(self, name: str, key: str = "doc_id") -> ChangeTable:
         return ChangeTable(self.spark, f"{self.root}/{name}", key)
 
+    def documents(self) -> ChangeTable:
+        """The registry. A file that failed comes back under the same id when its content could be hashed, so rows may change."""
+        return self.table("bronze/documents")
+
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
@@ -32,12 +38,42 @@ def ingest_folder(lake: Lake, folder: str, source: str = "scanner_folder", run_t
     """Register the files of a folder and keep the bytes of the new ones. Returns the counts per status."""
     listing = files.list_files(lake.spark, folder)
     prints = cut_lineage(files.fingerprint_files(listing))      # every file is read and hashed once
-    known = lake.table("bronze/documents")
+    rows = register_batch(lake, prints, source, run_time)
+    return registry.run_counts(prints, rows)
+
+
+def register_batch(lake: Lake, prints: DataFrame, source: str, run_time: str | None = None) -> DataFrame:
+    """Registry rows of a batch: bytes are kept first, a file that cannot be read any more becomes FAILED, then the rows are merged."""
+    known = lake.documents()
     seen = known.read() if known.version() >= 0 else lake.spark.createDataFrame([], DOCUMENTS)
     rows = cut_lineage(registry.register(prints, seen, source, run_time, f"{lake.root}/landing"))
-    files.land(rows, f"{lake.root}/landing")
-    known.merge(rows, update=False)
-    return registry.run_counts(prints, rows)
+    rows = cut_lineage(registry.with_failures(rows, files.land(rows, f"{lake.root}/landing")))
+    known.merge(rows)
+    return rows
+
+
+def measure_pictures(lake: Lake, images: DataFrame) -> DataFrame:
+    """The cleaning stage: measures the ingested pictures that have no quality row yet and adds these rows. ``images`` are decoded pictures
+    by path. Returns the failures (doc_id, error)."""
+    known = lake.documents().read()
+    quality = lake.table("bronze/image_quality")
+    done = quality.read().select("doc_id") if quality.version() >= 0 else lake.spark.createDataFrame([], "doc_id string")
+    pictures = files.with_normal_path(images).join(known.select("doc_id", F.col("source_path").alias("path")), "path").drop("path")
+    good, bad = image_work.quality_job(known, pictures, done)
+    quality.merge(good, update=False)
+    return bad
+
+
+def load_bronze(lake: Lake, ocr: DataFrame, extracted: DataFrame) -> None:
+    """OCR rows are added for new documents, extracted rows replace older ones."""
+    lake.table("bronze/ocr").merge(ocr, update=False)
+    lake.table("bronze/extracted").merge(extracted)
+
+
+def rebuild_results(lake: Lake, suspected: DataFrame, scores: DataFrame) -> None:
+    """The tables of suspected duplicate pairs and of anomaly scores, as of the last run."""
+    tables.overwrite(suspected, f"{lake.root}/ml/suspected_duplicates")
+    tables.overwrite(scores, f"{lake.root}/ml/anomaly_scores")
 
 
 def refresh_silver(lake: Lake, extracted: DataFrame, documents: DataFrame, quality: DataFrame,

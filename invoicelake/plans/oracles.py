@@ -215,6 +215,17 @@ oracle("table_version_as_of", """
 
 # ---- registry and OCR words
 
+_DISK = "regexp_replace(path, '/0', '/a b/0') AS path"
+oracle("src_files", f"SELECT {_DISK}, length FROM docs", "docs")
+oracle("ing_failed_row", f"""
+    , d AS (SELECT {_DISK}, sha256 FROM docs),
+    g AS (SELECT DISTINCT source || '/gone.pdf' AS path FROM documents)
+    SELECT path, CASE WHEN path = min(path) OVER (PARTITION BY sha256) THEN 'INGESTED' ELSE 'DUPLICATE_EXACT' END AS status, sha256,
+           false AS has_error FROM d
+    UNION ALL SELECT path, 'FAILED', NULL, true FROM g""", "docs")
+oracle("snk_landing", f"""
+    , d AS (SELECT {_DISK}, sha256 FROM docs)
+    SELECT min(path) AS path, sha256, DATE '2026-01-02' AS ingest_date FROM d GROUP BY sha256""", "docs")
 oracle("ing_fingerprint", "SELECT path, length, sha256 FROM docs", "docs")
 oracle("ing_skip_seen", "SELECT path, sha256 FROM docs WHERE NOT earlier", "docs")
 oracle("ing_exact_duplicate", "SELECT path AS source_path, status, duplicate_of FROM new_rows", "new_rows")

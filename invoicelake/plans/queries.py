@@ -14,7 +14,6 @@ from invoicelake.operators import (anomalies, classify, duplicates, evaluation,
 from invoicelake.plans import flow
 from invoicelake.session import cut_lineage, shared_folder
 from invoicelake.sources import files, tables
-from invoicelake.sources.change_table import ChangeTable
 
 AS_OF = "2000-01-01"
 CALENDAR = ("1995-01-01", "2001-12-31")
@@ -87,14 +86,15 @@ def order_batches(spark, d) -> tuple[DataFrame, DataFrame]:
     return orders.filter("year <= 1998"), later
 
 
-def order_history(spark, d) -> ChangeTable:
-    """Three versions: create, upsert, delete of the orders with status F."""
+def order_changes(spark, d) -> DataFrame:
+    """The changes of three versions: create, upsert, delete of the orders with status F."""
     target, later = order_batches(spark, d)
-    table = ChangeTable(spark, scratch(spark), "o_orderkey")
-    table.merge(target)
-    table.merge(later)
-    table.delete(later.filter("o_orderstatus = 'F'"))
-    return table
+    steps = [(target, "UPSERT"), (later, "UPSERT"), (later.filter("o_orderstatus = 'F'"), "DELETE")]
+    out = None
+    for version, (rows, op) in enumerate(steps):
+        rows = rows.withColumn("op", F.lit(op)).withColumn("v", F.lit(version))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def quality_scores(spark, d) -> DataFrame:
@@ -196,16 +196,15 @@ def merge_delete(spark, d):
 
 @query
 def table_history(spark, d):
-    return order_history(spark, d).history().drop("committed_at")
+    return merge.history(order_changes(spark, d))
 
 
 @query
 def table_version_as_of(spark, d):
-    table = order_history(spark, d)
-    out = None
+    changes, out = order_changes(spark, d), None
     for version in range(3):
-        rows = table.read(version).agg(F.count("*").alias("n"), F.max("o_totalprice").alias("largest"),
-                                       F.sum("o_orderkey").alias("keys"))
+        rows = merge.as_of(changes, "o_orderkey", version).agg(
+            F.count("*").alias("n"), F.max("o_totalprice").alias("largest"), F.sum("o_orderkey").alias("keys"))
         rows = rows.select(F.lit(version).alias("version"), "*")
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -250,6 +249,52 @@ def ocr_aggregate(spark, d):
     return ocr.aggregate_words(fx.words(spark, d), documents).withColumn("mean_conf", F.round("mean_conf", 9))
 
 
+# ---- files on disk: the texts of all documents, written by the tasks
+
+def written_files(spark, d) -> str:
+    """A new shared folder with one file per document; half of them a folder deeper."""
+    folder = f"{scratch(spark)}/scans"
+    rows = document_files(spark, d).select("path", "content")
+    files.write_files(rows.withColumn("path", F.concat(F.lit(f"{folder}/"), F.regexp_replace("path", "/0", "/a b/0"))))
+    return folder
+
+
+def below(folder, column="path"):
+    """Path below ``folder``, as the listing gives it."""
+    return F.substring(F.col(column), len(files.normal_path(folder)) + 2, 1000)
+
+
+@query
+def src_files(spark, d):
+    folder = written_files(spark, d)
+    return files.list_files(spark, folder).select(below(folder).alias("path"), "length")
+
+
+@query
+def ing_failed_row(spark, d):
+    """Files on disk and one per source that has gone; the gone ones keep a FAILED row."""
+    folder = written_files(spark, d)
+    gone = document_files(spark, d).select("source").distinct().select(
+        F.concat(F.lit(f"{files.normal_path(folder)}/"), "source", F.lit("/gone.pdf")).alias("path"), F.lit(1).cast("long").alias("length"))
+    prints = files.fingerprint_files(files.list_files(spark, folder).unionByName(gone))
+    empty = spark.createDataFrame([], "doc_id string, source_path string, sha256 string, status string")
+    rows = registry.register(cut_lineage(prints), empty, run_time=RUN_TIME)
+    return rows.select(below(folder, "source_path").alias("path"), "status", "sha256", F.col("error_message").isNotNull().alias("has_error"))
+
+
+@query
+def snk_landing(spark, d):
+    """The bytes of new files, landed twice: the second time changes nothing."""
+    folder, landing = written_files(spark, d), scratch(spark)
+    prints = cut_lineage(files.fingerprint_files(files.list_files(spark, folder)))
+    empty = spark.createDataFrame([], "doc_id string, source_path string, sha256 string, status string")
+    rows = cut_lineage(registry.register(prints, empty, run_time=RUN_TIME))
+    for _ in range(2):
+        files.land(rows, landing)
+    landed = files.landed(spark, landing).join(rows.select("doc_id", "source_path"), "doc_id")
+    return landed.select(below(folder, "source_path").alias("path"), F.sha2("content", 256).alias("sha256"), "ingest_date")
+
+
 # ---- image measurements
 
 @query

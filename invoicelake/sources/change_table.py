@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.operators.merge import newest_per_key, require_unique, unseen
+from invoicelake.operators.merge import as_of, require_unique, unseen
 
 COMMITS = "version long, committed_at timestamp, operation string, upserts long, deletes long"
 
@@ -46,7 +46,7 @@ class ChangeTable:
         changes = self.spark.read.parquet(f"{self.path}/data").filter(F.col("v") <= wanted)
         if wanted == 0:
             return changes.filter("op = 'UPSERT'").drop("op", "v")
-        return newest_per_key(changes, self.key, "v").filter("op = 'UPSERT'").drop("op", "v")
+        return as_of(changes, self.key, wanted)
 
     # changing
 

@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from invoicelake.operators.registry import register
-from invoicelake.plans.flow import Lake
-from invoicelake.schemas import DOCUMENTS
+from invoicelake.plans.flow import Lake, register_batch
 from invoicelake.session import cut_lineage
 from invoicelake.sources import files
 
@@ -25,11 +23,7 @@ def ingest_available(lake: Lake, folder: str, source: str = "scanner_folder") ->
     """
     def one_batch(batch: DataFrame, _: int) -> None:
         prints = cut_lineage(files.fingerprint_files(batch))
-        table = lake.table("bronze/documents")
-        known = table.read() if table.version() >= 0 else lake.spark.createDataFrame([], DOCUMENTS)
-        rows = cut_lineage(register(prints, known, source, landing=f"{lake.root}/landing"))
-        files.land(rows, f"{lake.root}/landing")
-        table.merge(rows, update=False)
+        register_batch(lake, prints, source)
 
     arrived = (lake.spark.readStream.format("binaryFile").schema(BINARY_FILE).load(folder)
                .filter(files.suffix_of("path").isin(files.SUFFIXES)).select("path", "length"))

@@ -77,3 +77,36 @@ def test_pending_ignores_null_keys(spark):
     reg = spark.createDataFrame([("1", "INGESTED"), ("2", "INGESTED"), ("3", "FAILED")], "doc_id string, status string")
     done = spark.createDataFrame([("1",), (None,)], "doc_id string")
     assert [r.doc_id for r in registry.pending(reg, done).collect()] == ["2"]
+
+
+def test_one_spelling_per_file(spark):
+    assert files.normal_path("file:///x/a%20b.png") == files.normal_path("/x/a b.png") == "/x/a b.png"
+    rows = spark.createDataFrame([("file:///x/a%20b+%2B.png",), ("file:/x/c.png",), ("/x/50%25.png",), ("s3://b/k",)], "path string")
+    assert [r.path for r in files.with_normal_path(rows).collect()] == ["/x/a b++.png", "/x/c.png", "/x/50%25.png", "s3://b/k"]
+
+
+def test_subfolders_and_spaces(spark, tmp_path):
+    (tmp_path / "a b" / "c").mkdir(parents=True)
+    for name in ("top.png", "a b/one two.png", "a b/c/deep.pdf", "a b/c/x.txt"):
+        (tmp_path / name).write_bytes(name.encode())
+    for folder in (str(tmp_path), f"file://{tmp_path}".replace(" ", "%20")):
+        listing = files.list_files(spark, folder)
+        assert {r.path for r in listing.collect()} == {f"{tmp_path}/{n}" for n in ("top.png", "a b/one two.png", "a b/c/deep.pdf")}
+        assert files.fingerprint_files(listing).filter("sha256 IS NULL").count() == 0
+
+
+def test_a_file_that_goes_fails_alone_and_landing_again_changes_nothing(spark, tmp_path):
+    for name in ("a.png", "b.png"):
+        (tmp_path / name).write_bytes(name.encode())
+    folder, landing = str(tmp_path), str(tmp_path / "landing")
+    rows = registry.register(files.fingerprint_files(files.list_files(spark, folder)), spark.createDataFrame([], DOCUMENTS), run_time=NOW)
+    (tmp_path / "b.png").unlink()
+    failures = files.land(rows, landing)
+    out = by_path(registry.with_failures(rows, failures))
+    assert out[f"{folder}/a.png"].status == "INGESTED" and out[f"{folder}/b.png"].status == "FAILED"
+    assert out[f"{folder}/b.png"].error_message and out[f"{folder}/b.png"].bronze_path is None
+    (tmp_path / "b.png").write_bytes(b"b.png")
+    for _ in range(2):
+        assert files.land(rows, landing).count() == 0
+    assert {bytes(r.content) for r in files.landed(spark, landing).collect()} == {b"a.png", b"b.png"}
+    assert files.landed(spark, landing).count() == 2
