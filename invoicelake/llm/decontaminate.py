@@ -1,12 +1,13 @@
 """Benchmark decontamination by winnowing, in DataFrame operations only.
 
-Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased. Of the hashes of ``GRAM`` words the smallest of every ``WINDOW``
-consecutive ones is kept (all of them on a tie), for documents and items alike. Two texts that share ``SPAN = GRAM + WINDOW - 1`` words in a
-row keep the same hash there, so joining the kept hashes meets every shared span. Each meeting is extended by comparing the words
-around it, and only equal spans count: an item word sequence of ``SPAN`` words, or a whole item of fewer. The latter are met by a join on the hashes
-of all their word sequences of that length.
-
-Only kept hashes and the texts of documents with a meeting are shuffled. Spark broadcasts the item side when it is small by its measured size.
+Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased, and held as 64-bit hashes. Of the hashes of ``GRAM`` words the
+smallest of every ``WINDOW`` consecutive ones is kept (all of them on a tie), for documents and items alike. Two texts that share
+``SPAN = GRAM + WINDOW - 1`` words in a row keep the same hash there, so joining the kept hashes meets every shared span. Each
+kept hash carries the words around it, and a meeting is extended over them to both sides; it counts if ``SPAN`` words agree.
+Items of fewer words are met whole, by a join on the hashes of all word sequences of their length.
+
+The documents are read once and their texts are never shuffled, only a row per document and per meeting. Spark broadcasts the item side
+when it is small by its measured size.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import same, stored
+from invoicelake.llm.common import stored
 
 GRAM = 5
 WINDOW = 6
@@ -29,88 +30,83 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(low, F.lit("")), _GAPS, -1), lambda w: w != "")
 
 
-def _codes(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
-
-
 def fingerprints(rows: DataFrame) -> DataFrame:
-    """The kept hashes: the other columns of ``rows``, then ``at`` (word place from 0) and ``gram``. Reads ``words``.
+    """``rows`` (columns ..., codes) with a column ``kept``: structs of ``at`` (word place from 0), ``gram`` and the words ``left`` of
+    it (the nearest first) and ``right`` from it on, as far as a shared span that holds it may reach.
 
     A hash is kept when it is the smallest of some window, that is when it equals the largest of the window minima around it.
     Arrays used inside a function are referenced more than once, so that Spark computes them once per row.
     """
-    others = [c for c in rows.columns if c != "words"]
-    coded = _codes(rows).filter(F.size("codes") >= SPAN)
-    grams = coded.select(*others, F.transform(F.sequence(F.lit(1), F.size("codes") - (GRAM - 1)),
-                                              lambda i: F.xxhash64(F.slice("codes", i, GRAM))).alias("grams"))
-    lows = grams.select(*others, "grams", F.transform(F.sequence(F.lit(1), F.size("grams") - (WINDOW - 1)),
-                                                      lambda i: F.array_min(F.slice("grams", i, WINDOW))).alias("lows"))
+    others = rows.columns
+    long = F.size("codes") >= SPAN
+    grams = rows.select(*others, F.when(long, F.transform(F.sequence(F.lit(0), F.size("codes") - GRAM), lambda i: F.xxhash64(
+        *(F.get("codes", i + k) for k in range(GRAM))))).alias("grams"))
+    lows = grams.select(*others, "grams", F.transform(F.sequence(F.lit(0), F.size("grams") - WINDOW), lambda i: F.least(
+        *(F.get("grams", i + k) for k in range(WINDOW)))).alias("lows"))
 
-    def kept(s: Column) -> Column:
-        first, last = F.greatest(s["at"] - (WINDOW - 2), F.lit(1)), F.least(s["at"] + 1, F.size("lows"))
-        return s["gram"] == F.array_max(F.slice("lows", first, last - first + 1))
-    marks = F.filter(F.transform("grams", lambda g, i: F.struct(i.alias("at"), g.alias("gram"))), kept)
-    return lows.select(*others, F.explode(marks).alias("mark")).select(*others, "mark.at", "mark.gram")
+    def smallest(at: Column) -> Column:  # places outside the array are NULL and do not count
+        return F.get("grams", at) == F.greatest(*(F.get("lows", at - k) for k in range(WINDOW)))
 
+    def mark(at: Column) -> Column:
+        reach = F.least(at, F.lit(SPAN - GRAM))
+        return F.struct(at.alias("at"), F.get("grams", at).alias("gram"), F.reverse(F.slice("codes", at - reach + 1, reach)).alias("left"),
+                        F.slice("codes", at + 1, SPAN).alias("right"))
+    kept = F.transform(F.filter(F.sequence(F.lit(0), F.size("grams") - 1), smallest), mark)
+    none = F.array().cast("array<struct<at:int,gram:bigint,left:array<bigint>,right:array<bigint>>>")
+    return lows.select(*others, F.when(F.size("lows") > 0, kept).otherwise(none).alias("kept"))
 
-def _meetings(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Places where a document may hold a word sequence of an item: ``doc_id, item_id, words, span, at, item_at``.
 
-    ``at`` is NULL for whole items of fewer than ``SPAN`` words. ``docs`` has doc_id and words.
-    """
-    long = items.filter(F.size("words") >= SPAN)
-    marks = fingerprints(long.select("item", "words")).withColumnRenamed("at", "item_at")
-    out = fingerprints(docs).join(marks, "gram").select("doc_id", "item", F.lit(SPAN).alias("span"), "at", "item_at")
-    short = _codes(items.filter(F.size("words") < SPAN).withColumn("span", F.size("words")))
-    for span in sorted(row["span"] for row in short.select("span").distinct().collect()):  # 1 to SPAN - 1
-        own = short.filter(F.col("span") == span).select("item", F.xxhash64("codes").alias("gram"))
-        coded = _codes(docs).filter(F.size("codes") >= span)
-        found = coded.select("doc_id", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.size("codes") - (span - 1)), lambda i: F.xxhash64(F.slice("codes", i, span))))).alias("gram"))
-        out = out.unionByName(found.join(own, "gram").select("doc_id", "item", F.lit(span).alias("span"),
-                                                             F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("item_at")))
-    return out
+def _agreeing(a: Column, b: Column) -> Column:
+    """How many leading values of two arrays are equal."""
+    same_so_far = F.filter(F.sequence(F.lit(1), F.least(F.size(a), F.size(b))), lambda n: F.slice(a, F.lit(1), n) == F.slice(b, F.lit(1), n))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(same_so_far)).otherwise(0)
+
+
+def _coded(table: DataFrame, *columns: Column) -> DataFrame:
+    return (table.select(*columns, words(F.col("text")).alias("words"))
+            .withColumn("codes", F.transform("words", lambda w: F.xxhash64(w))).drop("words"))
 
 
-def _spans(text: str, met: Column) -> Column:
-    """Starts of the word sequences of one item that the words in column ``text`` really hold."""
-    def around(hit: Column) -> Column:
-        first = F.greatest(F.lit(0), hit["item_at"] - (WINDOW - 1))
-        last = F.least(hit["item_at"], F.size(met["words"]) - SPAN)
-        starts = F.transform(F.sequence(first, last), lambda j: hit["at"] - hit["item_at"] + j)
-        fits = F.filter(starts, lambda s: (s >= 0) & (s + SPAN <= F.size(text)))
-        return F.filter(fits, lambda s: F.slice(text, s + 1, SPAN) == F.slice(met["words"], s - hit["at"] + hit["item_at"] + 1, SPAN))
-    whole = F.filter(F.sequence(F.lit(0), F.size(text) - met["span"]), lambda s: F.slice(text, s + 1, met["span"]) == met["words"])
-    short = F.when(F.size(text) >= met["span"], whole).otherwise(F.array().cast("array<int>"))
-    return F.when(met["span"] < SPAN, short).otherwise(F.array_distinct(F.flatten(F.transform(met["hits"], around))))
+def _meetings(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``doc_id, mark, n_words, item, start, length``: for every document a row without an item that has its number of words, and a row for
+    every meeting with an item, ``length`` words from word ``start`` on being equal. ``docs`` has doc_id, mark and codes."""
+    # explode_outer: for explode Spark would infer a filter, push it below and compute the arrays again for every element
+    long = fingerprints(items.filter(F.size("codes") >= SPAN)).select("item", F.explode_outer("kept").alias("k"))
+    long = long.select("item", F.col("k.gram").alias("gram"), F.col("k.left").alias("item_left"), F.col("k.right").alias("item_right"))
+    total = F.struct(F.lit(-1).alias("at"), F.lit(None).cast("long").alias("gram"), F.array(F.size("codes").cast("long")).alias("left"),
+                     F.array().cast("array<bigint>").alias("right"))
+    rows = fingerprints(docs).select("doc_id", "mark", F.explode_outer(F.concat(F.array(total), "kept")).alias("k"))
+    met = (rows.select("doc_id", "mark", "k.*").join(long, "gram", "left").filter((F.col("at") < 0) | F.col("item").isNotNull())
+           .withColumn("before", F.when(F.col("at") >= 0, _agreeing(F.col("left"), F.col("item_left"))))
+           .withColumn("length", F.when(F.col("at") >= 0, F.col("before") + _agreeing(F.col("right"), F.col("item_right")))))
+    out = met.filter((F.col("at") < 0) | (F.col("length") >= SPAN)).select(
+        "doc_id", "mark", F.when(F.col("at") < 0, F.get("left", F.lit(0))).alias("n_words"), "item",
+        (F.col("at") - F.col("before")).alias("start"), "length")
+    short = items.filter(F.size("codes") < SPAN)
+    for span in sorted(row["n"] for row in short.select(F.size("codes").alias("n")).distinct().collect()):  # 1 to SPAN - 1
+        own = short.filter(F.size("codes") == span).select("item", F.xxhash64("codes").alias("gram"), F.col("codes").alias("item_codes"))
+        found = docs.filter(F.size("codes") >= span).select("doc_id", "mark", F.posexplode(F.transform(
+            F.sequence(F.lit(1), F.size("codes") - (span - 1)), lambda i: F.slice("codes", i, span))).alias("start", "codes"))
+        found = found.withColumn("gram", F.xxhash64("codes")).join(own, "gram").filter(F.col("codes") == F.col("item_codes"))
+        out = out.unionByName(found.select("doc_id", "mark", F.lit(None).cast("long").alias("n_words"), "item", "start", F.lit(span).alias("length")))
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_hit, items, spans``.
 
     ``spans`` are (start, length) in words, ``items`` the ids of the items found, as sorted strings; an item without an id adds
-    spans only. NULL texts have no words. Rows that share a doc_id are compared each on its own words.
+    spans only. NULL texts have no words. Rows that share a doc_id are told apart by a hash of their text.
     """
-    rows = docs.select("doc_id", words(F.col("text")).alias("words"))
-    items = stored(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("words"))
-                   .filter(F.size("words") > 0).distinct().withColumn("item", F.monotonically_increasing_id()), "items")
-    met = (_meetings(rows, items).groupBy("doc_id", "item").agg(F.first("span").alias("span"), F.collect_set(F.struct("at", "item_at")).alias("hits"))
-           .join(items, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "words", "span", "hits")).alias("met")))
-    met = stored(met.withColumnRenamed("doc_id", "met_id"), "meetings")
-    joined = docs.select("doc_id", "text").join(met, same(F.col("doc_id"), F.col("met_id")))
-    found = (joined.select("doc_id", "met", words(F.col("text")).alias("words"))
-             .select("doc_id", "words", F.transform("met", lambda m: F.struct(
-                 m["item_id"].alias("item_id"), m["span"].alias("span"), _spans("words", m).alias("starts"))).alias("found")))
-    found = found.select("doc_id", F.size("words").alias("n_words"), F.filter("found", lambda m: F.size(m["starts"]) > 0).alias("found"))
-    spans = F.array_distinct(F.flatten(F.transform("found", lambda m: F.transform(
-        m["starts"], lambda s: F.struct(s.alias("start"), m["span"].alias("length"))))))
-    covered = F.array_distinct(F.flatten(F.transform("found", lambda m: F.flatten(F.transform(
-        m["starts"], lambda s: F.sequence(s, s + m["span"] - 1))))))
-    ids = F.array_sort(F.array_distinct(F.filter(F.transform("found", lambda m: m["item_id"]), lambda i: i.isNotNull())))
-    found = found.select("doc_id", "n_words", F.size(covered).alias("n_hit"), ids.alias("items"), spans.alias("spans"))
-    clean = rows.select("doc_id", F.size("words").alias("n_words")).join(met.select("met_id"), same(F.col("doc_id"), F.col("met_id")), "left_anti")
-    return found.unionByName(clean.select("doc_id", "n_words", F.lit(0).alias("n_hit"), F.array().cast("array<string>").alias("items"),
-                                          F.array().cast("array<struct<start:int,length:int>>").alias("spans")))
+    rows = _coded(docs, F.col("doc_id"), F.xxhash64("text").alias("mark"))
+    items = stored(_coded(benchmark, F.col("item_id").cast("string").alias("item_id")).filter(F.size("codes") > 0)
+                   .groupBy("codes").agg(F.collect_set("item_id").alias("ids")).withColumn("item", F.monotonically_increasing_id()), "items")
+    met = _meetings(rows, items).join(items.select("item", "ids"), "item", "left")
+    found = met.groupBy("doc_id", "mark").agg(F.max("n_words").alias("n_words"), F.count("n_words").alias("rows"), F.collect_set("ids").alias("ids"),
+                                              F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "length"))).alias("spans"))
+    covered = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))))
+    return found.select("doc_id", "n_words", F.size(covered).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("ids"))).alias("items"),
+                        "spans", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("row")).drop("row")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -122,6 +118,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents, all columns as they are. Rows without an id stay if no such row is contaminated."""
-    bad = contamination(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, same(docs["doc_id"], bad["__bad"]), "left_anti")
+    """``docs`` without the contaminated documents, all columns as they are. Rows without an id cannot be told apart and stay."""
+    bad = contamination(docs, benchmark).filter("n_hit > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, docs["doc_id"] == bad["__bad"], "left_anti")
