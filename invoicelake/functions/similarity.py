@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
-
-MATCH = (StructType().add("vendor_id", StringType()).add("vendor_name", StringType()).add("score", DoubleType()))
+from pyspark.sql.types import DoubleType
 
 ROUND = 16        # names compared before the others are checked against the best ratio again
 
@@ -74,17 +70,3 @@ class NameIndex:
             rest = np.delete(open_, first)
             open_ = rest[bound[rest] >= top]
         return (None, None, 0.0) if at < 0 else (*self.master[at], top)
-
-
-def best_match(master):
-    """Arrow function text -> best (vendor_id, vendor_name, score); ``master`` is a broadcast list of (id, name)."""
-
-    @F.pandas_udf(MATCH)
-    def match(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = NameIndex(master.value)
-        remembered = lru_cache(maxsize=100_000)(index.best)
-        for texts in batches:
-            rows = [(None, None, None) if t is None else remembered(t) for t in texts]
-            yield pd.DataFrame(rows, columns=["vendor_id", "vendor_name", "score"])
-
-    return match.asNondeterministic()

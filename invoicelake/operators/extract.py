@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from invoicelake.functions import text as T
-from invoicelake.functions.similarity import NameIndex, best_match
+from invoicelake.functions.similarity import NameIndex
 from invoicelake.session import cut_lineage
 
 # Limits of the validation rules.
@@ -18,7 +19,8 @@ GST_RATE = 0.18
 MIN_CONFIDENCE = 60
 
 REQUIRED = ["invoice_no", "invoice_date", "gstin", "vendor_id", "subtotal", "gst", "total"]
-MASTER_LIMIT = 20_000      # names sent to every executor at most; a longer list is searched in shuffled parts
+NAMES_PER_TASK = 20_000    # names one task of the search holds
+HEADERS_PER_TASK = 1_000   # headers one task of the search compares with its names
 
 
 def printed_fields(text: str | Column = "text") -> dict[str, Column]:
@@ -40,34 +42,20 @@ def vendor_master(truth: DataFrame) -> DataFrame:
 
 
 def match_vendors(docs: DataFrame, header: str, master: DataFrame, threshold: float = VENDOR_THRESHOLD,
-                  master_limit: int = MASTER_LIMIT) -> DataFrame:
+                  names_per_task: int = NAMES_PER_TASK, headers_per_task: int = HEADERS_PER_TASK) -> DataFrame:
     """Add vendor_id, vendor_name and vendor_match: the most similar vendor name of every header.
 
-    A score under the threshold gives no vendor but is reported. Up to ``master_limit`` names are broadcast
-    and every row is matched where it lies, without a shuffle. A longer list is handled by
-    ``match_vendors_in_parts``, with the same result.
-    """
-    small = master.select("vendor_id", "vendor_name").limit(master_limit + 1).collect()
-    if len(small) > master_limit:
-        return match_vendors_in_parts(docs, header, master, threshold, master_limit)
-    names = docs.sparkSession.sparkContext.broadcast([(r.vendor_id, r.vendor_name) for r in small])
-    return _with_vendor(docs.withColumn("_match", best_match(names)(F.col(header))), threshold)
-
-
-def match_vendors_in_parts(docs: DataFrame, header: str, master: DataFrame, threshold: float = VENDOR_THRESHOLD,
-                           part_size: int = MASTER_LIMIT) -> DataFrame:
-    """As ``match_vendors`` for a master of any length.
-
-    Headers spelled exactly like a name are settled by a join. The other distinct headers meet every part of
-    the master in its own task, and the best part wins.
+    A score under the threshold gives no vendor but is reported. Headers spelled exactly like a name are settled by a
+    join. The other distinct headers meet all names, split over tasks by both sides, and the best one wins; only they reach
+    Python, and letter counts keep most names from being compared in full. One way for every size.
     """
     known = (master.groupBy(F.lower("vendor_name").alias("top"))
              .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit"))
              .select("top", F.struct("hit.vendor_id", "hit.vendor_name", F.lit(1.0).alias("score")).alias("_match")))
     tops = docs.select(F.col(header).alias("top")).filter(F.col("top").isNotNull()).distinct()
     rest = cut_lineage(tops.join(known.select("top"), "top", "left_anti"))
-    parts = max(1, math.ceil(master.count() / part_size))
-    slices = max(1, math.ceil(rest.count() / part_size))
+    parts = max(1, math.ceil(master.count() / names_per_task))
+    slices = max(1, math.ceil(rest.count() / headers_per_task))
 
     def spread(df: DataFrame, own: str, other: str, n_own: int, n_other: int, *keys: str) -> DataFrame:
         return (df.withColumn(own, F.pmod(F.xxhash64(*keys), F.lit(n_own)))
@@ -78,12 +66,10 @@ def match_vendors_in_parts(docs: DataFrame, header: str, master: DataFrame, thre
                    "vendor_id", "vendor_name")
 
     def search(headers, names):
-        out = headers[["top"]].copy()
         index = NameIndex(list(zip(names["vendor_id"], names["vendor_name"])))
-        found = [index.best(t) for t in out["top"]]
-        for i, column in enumerate(["vendor_id", "vendor_name", "score"]):
-            out[column] = [f[i] for f in found]
-        return out
+        found = [(top, *index.best(top)) for top in headers["top"]]
+        columns = ["top", "vendor_id", "vendor_name", "score"]
+        return pd.DataFrame(found, columns=columns, dtype=object).astype({"score": float})
 
     candidates = (left.groupBy("part", "slice").cogroup(right.groupBy("part", "slice"))
                   .applyInPandas(search, "top string, vendor_id string, vendor_name string, score double"))
@@ -125,10 +111,9 @@ def validated(fields: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> Data
         (F.size("_flags") > 0).cast("long").alias("needs_review"))
 
 
-def records(ocr: DataFrame, master: DataFrame, min_confidence: float = MIN_CONFIDENCE,
-            master_limit: int = MASTER_LIMIT) -> DataFrame:
+def records(ocr: DataFrame, master: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """One validated row per OCR document (doc_id, text, mean_conf). A missing text is an empty one."""
     body = F.coalesce("text", F.lit(""))
     fields = ocr.select("doc_id", "mean_conf", T.vendor_header(body).alias("_header"),
                         *[c.alias(n) for n, c in printed_fields(body).items()])
-    return validated(match_vendors(fields, "_header", master, master_limit=master_limit), min_confidence)
+    return validated(match_vendors(fields, "_header", master), min_confidence)

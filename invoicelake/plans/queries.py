@@ -364,8 +364,9 @@ def fx_vendor_match_spellings(spark, d):
 
 @query
 def fx_vendor_match_in_parts(spark, d):
+    """The same search split into more and smaller tasks."""
     rows = fx.ocr_text(spark, d).select("doc_id", T.vendor_header(F.col("text")).alias("header"))
-    found = extract.match_vendors_in_parts(rows, "header", extract.vendor_master(fx.truth(spark, d)), part_size=500)
+    found = extract.match_vendors(rows, "header", extract.vendor_master(fx.truth(spark, d)), names_per_task=500, headers_per_task=500)
     return found.select("doc_id", "vendor_id", "vendor_name", F.round("vendor_match", 9).alias("vendor_match"))
 
 

@@ -93,7 +93,7 @@ def test_parts_equal_whole(spark, rows):
     master = spark.createDataFrame(names, "vendor_id string, vendor_name string")
     docs = spark.createDataFrame(heads, "id int, header string")
     whole = extract.match_vendors(docs, "header", master)
-    parts = extract.match_vendors(docs, "header", master, master_limit=7)
+    parts = extract.match_vendors(docs, "header", master, names_per_task=7, headers_per_task=5)
     assert rows(whole) == rows(parts)
     for r in whole.collect():
         if r.header:
