@@ -264,6 +264,8 @@ oracle("img_blur_score", """
                      - 4 * v[8 * r + c + 1] AS x
       FROM around)
     SELECT vec_id, round(var_pop(x), 6) AS blur_score FROM lap GROUP BY vec_id""", "pixels")
+oracle("img_quality_rows", ORACLES["img_blur_score"].replace("SELECT vec_id, round(var_pop(x), 6) AS blur_score FROM lap",
+                                                         "SELECT vec_id AS doc_id, round(var_pop(x), 6) AS blur_score FROM lap WHERE vec_id IN (SELECT vec_id FROM embeddings WHERE label <> 0)"))
 oracle("img_otsu", """
     , cuts AS (SELECT vec_id, t, count(*) FILTER (WHERE p <= t) AS below, count(*) FILTER (WHERE p > t) AS above,
                       avg(p) FILTER (WHERE p <= t) AS dark, avg(p) FILTER (WHERE p > t) AS light
@@ -340,6 +342,9 @@ oracle("dup_features", """
       FROM docs a JOIN docs b ON a.vendor_id = b.vendor_id AND a.doc_id < b.doc_id)
     SELECT doc_a, doc_b, count(*) AS pairs, round(diff, 9) AS amount_diff, CAST(gap AS int) AS date_gap, CAST(same AS int) AS is_dup
     FROM pairs WHERE diff <= 0.2 AND gap <= 60 GROUP BY doc_a, doc_b, diff, gap, same""", "prepared")
+oracle("dup_training_weights", "SELECT count(*) AS pairs, count(*) FILTER (WHERE same) AS true_pairs FROM couples", "couples")
+oracle("dup_flagged_copies", """
+    SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM prepared a JOIN prepared b ON b.doc_id = a.doc_id || 'C'""", "prepared")
 oracle("dup_exact_rule", """
     SELECT vendor_id, date, total, count(*) AS documents, min(doc_id) AS first_id FROM prepared
     GROUP BY 1, 2, 3 HAVING count(*) > 1""", "prepared")
@@ -498,6 +503,13 @@ oracle("ev_ocr_versions_sample", _versions("""(SELECT * FROM hits JOIN (
 # ---- splits and labels
 
 oracle("spl_group", "SELECT doc_id, split FROM split", "split")
+_THREE_WAY = """
+    SELECT vec_id, label, CASE WHEN r <= floor(n * 0.7 + 1e-9) THEN 'train'
+                               WHEN r <= floor(n * 0.7 + 1e-9) + floor(n * 0.15 + 1e-9) THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT vec_id, label, row_number() OVER (ORDER BY sha256(vec_id || '#42'), vec_id) AS r, count(*) OVER () AS n FROM embeddings)"""
+oracle("clf_split_counts", f"SELECT split, label, count(*) AS n FROM ({_THREE_WAY}) GROUP BY split, label")
+oracle("slv_stamp", "SELECT doc_id, true AS stamped FROM extracted", "extracted")
+oracle("fx_vendor_match_exact", "SELECT p_partkey AS header_id, p_name AS vendor_id, 1.0 AS vendor_match FROM part WHERE p_partkey % 4 IN (0, 2)")
 oracle("spl_three_way", """
     SELECT vec_id, CASE WHEN r <= floor(n * 0.7 + 1e-9) THEN 'train'
                         WHEN r <= floor(n * 0.7 + 1e-9) + floor(n * 0.15 + 1e-9) THEN 'val' ELSE 'test' END AS split

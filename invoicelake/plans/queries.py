@@ -329,6 +329,12 @@ def img_quality_job(spark, d):
     return good.select("doc_id", "skew_angle", F.round("blur_score", 6).alias("blur_score"))
 
 
+@query
+def img_quality_rows(spark, d):
+    """The exact part of ``img_quality_job``: which pictures are measured, and their blur."""
+    return img_quality_job(spark, d).select("doc_id", "blur_score")
+
+
 # ---- field extraction
 
 def _field(name):
@@ -362,6 +368,14 @@ def fx_vendor_match_spellings(spark, d):
     return extract.match_vendors(rows, "header", fx.part_vendors(spark, d)).drop("header")
 
 
+@query
+def fx_vendor_match_exact(spark, d):
+    """Headers of which only case or the invoice title differs from a name: their vendor is certain."""
+    rows = fx.headers(spark, d).filter("header_id % 4 IN (0, 2)").select("header_id", T.vendor_header(F.col("text")).alias("header"))
+    found = extract.match_vendors(rows, "header", fx.part_vendors(spark, d))
+    return found.select("header_id", "vendor_id", F.round("vendor_match", 9).alias("vendor_match"))
+
+
 @query
 def fx_vendor_match_in_parts(spark, d):
     """The same search split into more and smaller tasks."""
@@ -411,7 +425,8 @@ def slv_ingest_date(spark, d):
 
 @query
 def slv_stamp(spark, d):
-    return silver.stamped(fx.extracted(spark, d).select("doc_id"))
+    """The stamp is the time of the run; told is whether a row has it."""
+    return silver.stamped(fx.extracted(spark, d).select("doc_id")).select("doc_id", F.col("processed_at").isNotNull().alias("stamped"))
 
 
 @query
@@ -521,6 +536,22 @@ def dup_report(spark, d):
     return report.select(*whole, *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
 
 
+@query
+def dup_training_weights(spark, d):
+    """What the model is fitted on stands for all pairs: their number and the number of true ones."""
+    rows = cut_lineage(duplicates.profiles(prepared(spark, d)))
+    pairs = duplicates.with_weights(duplicates.training_pairs(rows), duplicates.profile_pairs(rows))
+    return pairs.agg(F.round(F.sum("weight")).cast("long").alias("pairs"),
+                     F.round(F.sum(F.when(F.col("is_dup") == 1, F.col("weight")))).cast("long").alias("true_pairs"))
+
+
+@query
+def dup_flagged_copies(spark, d):
+    """The planted copies among the flagged pairs."""
+    copies = duplicates.detect(prepared(spark, d)).flagged.filter("doc_b = concat(doc_a, 'C')")
+    return copies.select("doc_a", "doc_b")
+
+
 @query
 def dup_model_cv(spark, d):
     return duplicates.detect(prepared(spark, d)).report
@@ -780,6 +811,14 @@ def lab_complete_only(spark, d):
     return labels.completeness(labels.resolve_overlaps(labels.find_spans(_labelled_text(spark, d))))
 
 
+@query
+def clf_split_counts(spark, d):
+    """What the baseline classifier is fitted and measured on: rows per split and class."""
+    vec = fx.table(spark, d, "embeddings")
+    parts = vec.join(splits.three_way(vec, "vec_id"), "vec_id")
+    return parts.groupBy("split", "label").agg(F.count("*").alias("n"))
+
+
 @query
 def clf_baseline(spark, d):
     vec = fx.table(spark, d, "embeddings")
