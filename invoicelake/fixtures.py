@@ -149,6 +149,31 @@ SELECT vec_id, 8 AS height, 8 AS width, 1 AS channels,
        unhex(array_join(transform(embedding, x -> lpad(hex(CAST(greatest(0, least(255, floor((CAST(x AS double) + 1) * 128))) AS int)), 2, '0')), '')) AS data
 FROM {embeddings}
 """
+# A page of 256 x 256 pixels from 100 vectors: 10 x 10 tiles of 8 x 8 pixels on white, moved a little from page to page. Pages with
+# an odd number are coloured (blue and green as the tile, no red).
+PAGES_SQL = """
+WITH tiles AS (
+  SELECT CAST(floor(vec_id / 100) AS int) AS page, CAST(vec_id % 100 AS int) AS tile,
+         transform(embedding, x -> CAST(greatest(0, least(255, floor((CAST(x AS double) + 1) * 128))) AS int)) AS p
+  FROM {embeddings}),
+pages AS (
+  SELECT page, 60 + page % 7 * 9 AS ox, 45 + page % 5 * 16 AS oy, map_from_entries(collect_list(struct(tile, p))) AS tiles FROM tiles GROUP BY page),
+spots AS (
+  SELECT page, tiles, transform(sequence(0, 65535), i -> named_struct('x', CAST(i % 256 AS int) - ox, 'y', CAST(floor(i / 256) AS int) - oy)) AS spots FROM pages),
+grey AS (
+  SELECT page, transform(spots, s -> CASE WHEN s.x BETWEEN 0 AND 79 AND s.y BETWEEN 0 AND 79 THEN
+    tiles[CAST(floor(s.y / 8) * 10 + floor(s.x / 8) AS int)][CAST(s.y % 8 * 8 + s.x % 8 AS int)] END) AS p FROM spots)
+SELECT page, 256 AS height, 256 AS width, CASE WHEN page % 2 = 1 THEN 3 ELSE 1 END AS channels,
+       unhex(array_join(transform(p, v -> CASE WHEN page % 2 = 0 THEN lpad(hex(coalesce(v, 255)), 2, '0') WHEN v IS NULL THEN 'FFFFFF'
+                                               ELSE concat(lpad(hex(v), 2, '0'), lpad(hex(v), 2, '0'), '00') END), '')) AS data
+FROM grey
+"""
+PAGE_PIXELS_DUCK = """
+SELECT page AS vec_id, x, y, CASE WHEN p IS NULL THEN 255 WHEN page % 2 = 1 THEN CAST(floor(p * 0.114e0 + p * 0.587e0 + 0.5) AS int) ELSE p END AS p
+FROM (SELECT page, i % 256 AS x, i // 256 AS y FROM (SELECT page, unnest(range(65536)) AS i FROM (SELECT DISTINCT vec_id // 100 AS page FROM embeddings)))
+LEFT JOIN (SELECT vec_id // 100 AS page, 60 + vec_id // 100 % 7 * 9 + vec_id % 10 * 8 + i % 8 AS x, 45 + vec_id // 100 % 5 * 16 + vec_id % 100 // 10 * 8 + i // 8 AS y, p
+           FROM pixels) USING (page, x, y)
+"""
 PIXELS_DUCK = """
 SELECT vec_id, i, CAST(greatest(0, least(255, floor((CAST(embedding[i + 1] AS double) + 1) * 128))) AS int) AS p
 FROM (SELECT vec_id, embedding, unnest(range(64)) AS i FROM embeddings)
@@ -206,6 +231,10 @@ def pictures(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(PICTURES_SQL, embeddings=table(spark, folder, "embeddings"))
 
 
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(PAGES_SQL, embeddings=table(spark, folder, "embeddings"))
+
+
 def ocr_text(spark: SparkSession, folder: str, damaged: str = "true") -> DataFrame:
     """Printed invoice text with the damage of ``DAMAGE``; ``damaged`` is a SQL condition on ``k``."""
     return spark.sql(f"""

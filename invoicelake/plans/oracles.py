@@ -81,6 +81,7 @@ TABLES = {
                CASE WHEN original <> doc_id THEN original END AS duplicate_of
         FROM ided i JOIN originals USING (sha256) WHERE NOT earlier""",
     "pixels": fx.PIXELS_DUCK,
+    "page_pixels": fx.PAGE_PIXELS_DUCK,
     "clear": """
         SELECT vec_id, i, CAST(round_even(CAST(p AS float) * scale - CAST(low AS float) * scale, 0) AS int) AS p
         FROM pixels JOIN (SELECT vec_id, min(p) AS low, CAST(255.0e0 / (max(p) - min(p)) AS float) AS scale
@@ -154,7 +155,7 @@ NEEDS = {
     "vendors": ["invoices"], "graded": ["extracted", "registry", "truth"], "marks": ["graded"], "prepared": ["graded"],
     "couples": ["prepared"], "scorable": ["graded"], "with_median": ["scorable"], "with_mad": ["with_median"],
     "z_scores": ["with_mad"], "ided": ["docs"], "originals": ["ided"], "new_rows": ["ided", "originals"],
-    "clear": ["pixels"], "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
+    "clear": ["pixels"], "page_pixels": ["pixels"], "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
     "texts": ["truth"], "found": ["texts"], "kept_spans": ["found"],
 }
 
@@ -273,6 +274,22 @@ oracle("img_otsu", """
     SELECT vec_id, t AS otsu FROM cuts WHERE above > 0
     QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(below * above * (dark - light) * (dark - light), 6) DESC, t) = 1""", "clear")
 oracle("img_content_box", "SELECT DISTINCT vec_id, 0 AS x0, 0 AS y0, 8 AS x1, 8 AS y1 FROM clear", "clear")
+oracle("img_page_box", """
+    , clear AS (
+      SELECT vec_id, x, y, CAST(round_even(CAST(p AS float) * scale - CAST(low AS float) * scale, 0) AS int) AS p
+      FROM page_pixels JOIN (SELECT vec_id, min(p) AS low, CAST(255.0e0 / (max(p) - min(p)) AS float) AS scale FROM page_pixels GROUP BY vec_id) USING (vec_id)),
+    h AS (SELECT vec_id, p, count(*) AS n FROM clear GROUP BY ALL),
+    cuts AS (SELECT a.vec_id, a.p AS t, sum(b.n) FILTER (WHERE b.p <= a.p) AS below, sum(b.n) FILTER (WHERE b.p > a.p) AS above,
+                    sum(b.n * b.p) FILTER (WHERE b.p <= a.p) AS low, sum(b.n * b.p) FILTER (WHERE b.p > a.p) AS high
+             FROM h a JOIN h b USING (vec_id) GROUP BY a.vec_id, a.p),
+    o AS (SELECT vec_id, t AS otsu FROM cuts WHERE above > 0 QUALIFY row_number() OVER (
+      PARTITION BY vec_id ORDER BY round(below::DOUBLE * above * pow(low / below::DOUBLE - high / above::DOUBLE, 2), 3) DESC, t) = 1)
+    SELECT vec_id AS page, any_value(otsu) AS otsu, CAST(greatest(min(x) - 40, 0) AS int) AS x0, CAST(greatest(min(y) - 40, 0) AS int) AS y0,
+           CAST(least(max(x) + 40, 256) AS int) AS x1, CAST(least(max(y) + 40, 256) AS int) AS y1
+    FROM clear JOIN o USING (vec_id) WHERE p <= otsu GROUP BY vec_id""", "page_pixels")
+oracle("img_page_features", """
+    , half AS (SELECT vec_id, y // 2 AS r, x // 2 AS c, round_even(avg(p), 0) AS v FROM page_pixels GROUP BY ALL)
+    SELECT vec_id AS page, CAST(r // 4 * 32 + c // 4 AS int) AS cell, round(avg(1 - v / 255.0e0), 4) AS ink FROM half GROUP BY 1, 2""", "page_pixels")
 oracle("img_pool_features", """
     SELECT vec_id, CAST((4 * (i // 8) + a) * 32 + 4 * (i % 8) + b AS int) AS cell, round(1 - p / 255.0e0, 4) AS ink
     FROM pixels, range(4) x(a), range(4) y(b)""", "pixels")
@@ -509,6 +526,7 @@ _THREE_WAY = """
     FROM (SELECT vec_id, label, row_number() OVER (ORDER BY sha256(vec_id || '#42'), vec_id) AS r, count(*) OVER () AS n FROM embeddings)"""
 oracle("clf_split_counts", f"SELECT split, label, count(*) AS n FROM ({_THREE_WAY}) GROUP BY split, label")
 oracle("slv_stamp", "SELECT doc_id, true AS stamped FROM extracted", "extracted")
+oracle("fx_vendor_match_none", "SELECT p_partkey AS header_id, CAST(NULL AS varchar) AS vendor_id, true AS low FROM part")
 oracle("fx_vendor_match_exact", "SELECT p_partkey AS header_id, p_name AS vendor_id, 1.0 AS vendor_match FROM part WHERE p_partkey % 4 IN (0, 2)")
 oracle("spl_three_way", """
     SELECT vec_id, CASE WHEN r <= floor(n * 0.7 + 1e-9) THEN 'train'

@@ -319,6 +319,19 @@ def img_pool_features(spark, d):
     return measured.select("vec_id", "cell", F.round(F.col("ink").cast("double"), 4).alias("ink"))
 
 
+@query
+def img_page_box(spark, d):
+    """Composed pages with margins, half of them coloured."""
+    return images.measure(fx.pages(spark, d), "otsu", "content_box").select("page", "otsu", "x0", "y0", "x1", "y1")
+
+
+@query
+def img_page_features(spark, d):
+    """The pages reduced by area from 256 to 128 pixels a side."""
+    measured = images.measure(fx.pages(spark, d), "features").select("page", F.posexplode("features").alias("cell", "ink"))
+    return measured.select("page", "cell", F.round(F.col("ink").cast("double"), 4).alias("ink"))
+
+
 @query
 def img_quality_job(spark, d):
     """Vectors with label 0 have been measured before."""
@@ -376,6 +389,14 @@ def fx_vendor_match_exact(spark, d):
     return found.select("header_id", "vendor_id", F.round("vendor_match", 9).alias("vendor_match"))
 
 
+@query
+def fx_vendor_match_none(spark, d):
+    """Headers that resemble no name: no vendor, and a score below the threshold."""
+    rows = fx.table(spark, d, "part").select(F.col("p_partkey").alias("header_id"), F.concat(F.lit("98-76 "), "p_partkey", F.lit(" 54-32")).alias("header"))
+    found = extract.match_vendors(rows, "header", fx.part_vendors(spark, d))
+    return found.select("header_id", "vendor_id", (F.col("vendor_match") < extract.VENDOR_THRESHOLD).alias("low"))
+
+
 @query
 def fx_vendor_match_in_parts(spark, d):
     """The same search split into more and smaller tasks."""
