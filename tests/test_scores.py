@@ -154,3 +154,11 @@ def test_report_zero_division(spark):
     df = spark.createDataFrame([(0, 1), (0, 0)], "p int, y int")
     r = metrics.prediction_report(df, "p", "y").first()
     assert (r.caught, r.false_alarms, r.missed, r.precision, r.recall, r.f1) == (0, 0, 1, 0.0, 0.0, 0.0)
+
+
+def test_trees_draw_from_all_rows(spark):
+    rows = spark.range(0, 160_000).select(F.col("id").cast("string").alias("doc_id"), F.col("id").cast("double").alias("total"))
+    drawn = forest.subsamples(rows, ["total"], "doc_id", 7).groupBy("tree").agg(F.count("*").alias("n"), F.collect_list(F.col("x")[0]).alias("xs"))
+    found = drawn.collect()
+    assert [r.n for r in found] == [forest.SUBSAMPLE] * forest.TREES
+    assert len({x for r in found for x in r.xs}) > 42_000      # of 51,200 draws; a pool of 65,536 rows would give 35,500
