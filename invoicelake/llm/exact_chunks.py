@@ -124,6 +124,7 @@ def groups(docs: DataFrame, size: int = DIGEST_BYTES) -> DataFrame:
     """
     rows = verified_recipes(texts(docs), size)
     summed = rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
+    summed = stored(summed, "copies")  # a table of its own, so that Spark can split the rows of a large group in the join
     out = rows.join(summed, "recipe", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
