@@ -32,7 +32,7 @@ SHINGLE = 5
 SHARE = 0.4
 FRAGMENTS = 8
 BITMAP = 16
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 STEP = 1.05  # ratio of neighbouring size classes
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -282,6 +282,7 @@ def _links(sets: DataFrame) -> DataFrame:
     places = stored(_places(sets), "ngram-places")
     heads = places.groupBy("gram").agg(F.count(F.lit(1)).alias("met"), F.max(F.struct(
         (F.col("c") / F.col("n")).alias("central"), "n", "c", "node")).alias("head")).filter("met > 1")
+    heads = stored(heads, "ngram-heads")  # tables of their own, so that Spark can split a place with many sets in the joins
     stars = (places.join(heads, "gram").select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("head.node").alias("y"),
                                                F.col("head.n").alias("ny"), F.col("head.c").alias("cy"))
              .filter("x != y").filter(_may_link("x", "y")).select("x", "y").distinct())
@@ -291,6 +292,7 @@ def _links(sets: DataFrame) -> DataFrame:
     parts = placed.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     mixed_places = (parts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.struct("size", "component")).alias("largest"))
                     .filter("kinds > 1").select("gram", F.col("largest.component").alias("major")))
+    mixed_places = stored(mixed_places, "ngram-mixed")
     rows = placed.join(mixed_places, "gram").withColumn("class", _size_class(F.col("n")))
     # partners of a set of n with c shared n-grams have between 0.75 n and 7/3 c - n, and at most 4/3 n of them
     low, high = F.greatest(F.floor(F.col("n") * 3 / 4), F.lit(1)), F.least(F.ceil(F.col("n") * 4 / 3), F.floor(F.col("c") * 7 / 3) - F.col("n") + 1)
