@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from invoicelake.llm import decontaminate, exact_chunks, ngram_join, quality
 from invoicelake.llm.common import documents, stored
 from invoicelake.llm.queries import packed
+from invoicelake.session import ship_package
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +43,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
