@@ -112,11 +112,15 @@ def _check_digit(number: Column) -> Column:
     return F.pmod(10 - total % 10, F.lit(10))
 
 
-def _candidate(key: str) -> Column:
-    """The surrogate's normal form for columns kind, norm and attempt."""
+def _stream(key: str) -> Column:
+    """256 bytes in hexadecimal for columns kind, norm and attempt."""
     seed = F.concat_ws("\x1f", F.lit(key), "kind", "norm", F.col("attempt").cast("string"))
-    stream = F.concat(*(F.sha2(F.concat(seed, F.lit(f"\x1f{k}")), 256) for k in range(8)))
-    rows = F.col("norm")
+    return F.concat(*(F.sha2(F.concat(seed, F.lit(f"\x1f{k}")), 256) for k in range(8)))
+
+
+def _candidate() -> Column:
+    """The surrogate's normal form for columns kind, norm, attempt and stream."""
+    stream, rows = F.col("stream"), F.col("norm")
     end = F.char_length(rows)
     tld = end - F.char_length(F.substring_index(rows, ".", -1))
     alike = _alike(rows, stream, F.col("kind").isin("card", "phone", "ssn"),
@@ -147,7 +151,7 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     known = stored(entities.select("kind", "norm").distinct(), "entities")
     waiting, settled = known.withColumn("attempt", F.lit(0)), None
     while True:
-        drawn = stored(waiting.withColumn("surrogate", _candidate(key)), "drawn")
+        drawn = stored(waiting.withColumn("stream", _stream(key)).withColumn("surrogate", _candidate()).drop("stream"), "drawn")
         free = drawn.join(known.select("kind", F.col("norm").alias("surrogate")), ["kind", "surrogate"], "left_anti")
         if settled is not None:
             free = free.join(settled.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
