@@ -101,9 +101,10 @@ def format_chats(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     def width(p: Column) -> Column:
         return (F.char_length(p["opening"]) + F.char_length(p["inside"]) + F.char_length(p["closing"])).cast("long")
     rows = rows.withColumn("starts", _offsets(F.col("pieces"), width))
-    loss = F.flatten(F.transform("pieces", lambda p, i: F.zip_with(
+    # arrays used inside a function are referenced a second time, so that Spark computes them once per row
+    loss = F.when(F.size("starts") > 0, F.flatten(F.transform("pieces", lambda p, i: F.zip_with(
         p["lengths"], _offsets(p["lengths"], lambda n: n + len("[SEP]")),
-        lambda n, at: F.struct((F.get("starts", i) + F.char_length(p["opening"]) + at).alias("start"), n.alias("length")))))
+        lambda n, at: F.struct((F.get("starts", i) + F.char_length(p["opening"]) + at).alias("start"), n.alias("length"))))))
     rows = rows.select("conv_id", "part", "first", "last", loss.alias("loss"), F.array_join(F.transform(
         "pieces", lambda p: F.concat(p["opening"], p["inside"], p["closing"])), "").alias("body"))
     joined = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
@@ -115,8 +116,8 @@ def format_chats(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     parts = F.zip_with("segments", "glue", lambda s, g: F.struct(g.alias("glue"), s["body"].alias("body"), s["loss"].alias("loss")))
     joined = joined.select("conv_id", "end", parts.alias("parts"))
     joined = joined.withColumn("starts", _offsets(F.col("parts"), lambda p: (F.char_length(p["glue"]) + F.char_length(p["body"])).cast("long")))
-    spans = F.flatten(F.transform("parts", lambda p, i: F.transform(p["loss"], lambda x: F.struct(
-        (F.get("starts", i) + F.char_length(p["glue"]) + x["start"]).alias("start"), x["length"].alias("length")))))
+    spans = F.when(F.size("starts") > 0, F.flatten(F.transform("parts", lambda p, i: F.transform(p["loss"], lambda x: F.struct(
+        (F.get("starts", i) + F.char_length(p["glue"]) + x["start"]).alias("start"), x["length"].alias("length"))))))
     text = F.concat(F.array_join(F.transform("parts", lambda p: F.concat(p["glue"], p["body"])), ""), F.col("end"))
     return joined.select("conv_id", text.alias("formatted"), spans.alias("loss"))
 
