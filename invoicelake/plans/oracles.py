@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from invoicelake import fixtures as fx
+from invoicelake.plans import fixtures as fx
 
 ORACLES: dict[str, str] = {}
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake import fixtures as fx
+from invoicelake.plans import fixtures as fx
 from invoicelake.functions import text as T
 from invoicelake.operators import (anomalies, classify, duplicates, evaluation, extract, gold, images, labels, merge,
                                    metrics, ocr, registry, silver, splits)
