@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from invoicelake.llm.common import held_out
 
-MAX_LABELLED = 8_000
+MAX_LABELLED = 6_000
 
 
 def training_ids(labels: DataFrame, label: str, id_column: str = "doc_id", most: int = MAX_LABELLED) -> DataFrame:

@@ -107,7 +107,7 @@ def _descend(rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray, cost:
     values = []
     for found in rows:
         v = scale[found]
-        values.append(v / (float(np.sqrt(np.square(v).sum())) or 1.0))
+        values.append((v / (float(np.sqrt(np.square(v).sum())) or 1.0)).astype(np.float32))
     weights, bias, alpha = np.zeros(len(scale)), 0.0, np.zeros(len(rows))
     curve = np.array([1.0 + float(v @ v) for v in values])
     order = np.random.default_rng(seed)
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", cost: float
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5
         return Model(empty, empty, 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    rows = [np.frombuffer(b, np.int32).astype(np.int64) for b in sample["features"]]
+    rows = [np.frombuffer(b, np.int32) for b in sample.pop("features")]
     signs, part = np.where(y == 1, 1.0, -1.0), np.arange(len(y)) % folds
     margins = np.zeros(len(y))
 
