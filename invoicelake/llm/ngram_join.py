@@ -3,8 +3,8 @@
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a document is the set of its distinct ``SHINGLE``-word sequences (with fewer words, the
 whole sequence), held as 64-bit hashes. Two documents link when ``100 * intersection >= 75 * union``. Equal sets are one class.
 
-1. *Hash order.* Of a set of n, a partner shares all but n - ceil(0.75 n), so also of its ``SHARE`` smallest hashes.
-   The order is cut into fragments; each counts, for its part of every set, how many hashes some other set has too, and the counts are summed
+1. *Hash order.* Every set sends its ``SHARE`` smallest hashes, and a set that shares fewer of them than any partner's cut-off
+   allows (``_needed``) has no partner. The order is cut into fragments; each counts, for its part of every set, how many hashes some other set has too, and the counts are summed
    per document. Most documents end here. Hashes that repeat within a batch are sent once.
 2. *Frequency order.* The remaining sets are ordered by (documents that have the n-gram, hash). Linked sets meet in their
    rare beginnings (prefix filter). Of each meeting place all documents are first paired with its most central one only.
@@ -71,6 +71,21 @@ def _least(n: np.ndarray) -> np.ndarray:
     return (3 * n + 3) // 4
 
 
+def _taken(n: np.ndarray) -> np.ndarray:
+    """How many of its smallest hashes a set of ``n`` sends in step 1."""
+    return np.ceil(SHARE * n).astype(np.int64)
+
+
+def _needed(n: np.ndarray) -> np.ndarray:
+    """Fewest of its sent hashes that a set of ``n`` finds among those that a partner of m sends.
+
+    The two share o >= 3/7 (n + m) hashes. At worst the hashes that only one of them has come first in its order: it then sends the first
+    taken - (size - o) = o - (size - taken) of the shared ones, and both send the shorter beginning. The set's own is at least
+    taken - (n - ceil(0.75 n)). The partner's is at least 3/7 (n + m) - (1 - SHARE) m, which is smallest for m = 4/3 n: (4 SHARE - 1) / 3 n.
+    """
+    return np.minimum(_taken(n) - (n - _least(n)), np.ceil((4 * SHARE - 1) / 3 * n - 1e-6).astype(np.int64))
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     for batch in batches:
         data, offsets = byte_rows(batch.column("text"))
@@ -93,7 +108,7 @@ def _parts(docs: DataFrame, fragments: int) -> DataFrame:
         for k, (ids, sets) in enumerate(_batches(batches)):
             batch = (TaskContext.get().partitionId() << 32) + k
             sizes = np.array([len(s) for s in sets], np.int64)
-            taken = np.ceil(SHARE * sizes).astype(np.int64)
+            taken = _taken(sizes)
             of = np.repeat(np.arange(len(sets)), taken)
             hashes = np.concatenate([s[:n] for s, n in zip(sets, taken)])
             distinct, place, copies = np.unique(hashes, return_inverse=True, return_counts=True)
@@ -141,8 +156,7 @@ def _sum_batch(table: pa.Table) -> pa.Table:
     for counts in table.column("counts"):
         if counts.is_valid:
             total += np.frombuffer(counts.as_buffer(), np.int64)
-    taken = np.ceil(SHARE * sizes).astype(np.int64)
-    alive = (sizes > 0) & (total >= taken - (sizes - _least(sizes)))
+    alive = (sizes > 0) & (total >= _needed(sizes))
     marks = table.column("signatures")[head].as_py()
     return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=valid == 0), "n": pa.array(sizes),
                      "signature": pa.array([marks[i:i + 16] for i in range(0, len(marks), 16)], pa.binary()), "alive": pa.array(alive)})

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from invoicelake.llm import ngram_join
@@ -116,3 +117,26 @@ def test_one_per_group_and_empty_table(spark):
     assert kept.columns == frame.columns
     assert sorted([r["doc_id"] for r in kept.collect()], key=repr) == [1, 3, 4, None]
     assert ngram_join.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_seven_words_and_an_eighth(spark):
+    """Three n-grams against four, three of them shared, are just 75%; no other set holds any of them."""
+    rows = []
+    for k in range(60):
+        words = [f"s{k}w{i}" for i in range(8)]
+        rows += [(2 * k, " ".join(words[k % 2:][:7])), (2 * k + 1, " ".join(words))]
+    got = found(spark, rows)
+    assert got == brute(rows)
+    assert len({c for _, _, c in got}) == 60
+
+
+def test_hashes_needed_of_every_partner():
+    """Worst cases of all sizes: the hashes that only one of two linked sets has come first in its order."""
+    sizes = np.arange(1, 701)
+    taken, needed = ngram_join._taken(sizes).tolist(), ngram_join._needed(sizes).tolist()
+    assert min(needed) >= 1
+    for n in sizes.tolist():
+        for m in range((3 * n + 3) // 4, 4 * n // 3 + 1):
+            o = -(-3 * (n + m) // 7)
+            if o <= min(n, m):
+                assert needed[n - 1] <= min(o - (n - taken[n - 1]), o - (m - min(m, -(-2 * m // 5))))
