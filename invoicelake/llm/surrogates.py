@@ -7,7 +7,8 @@ it has the same characters' classes (letters, capitals, digits, hexadecimal digi
 (top-level domain, country code, card issuer digit and check digit, key prefix, title); names keep gender, script and capitals.
 
 Collision check: no two entities of a kind share a surrogate and no surrogate is an entity of the corpus. The smallest entity
-keeps a contested surrogate, the others draw again until all are distinct.
+keeps a contested surrogate, the others draw again until all are distinct. After ``WIDEN`` draws a surrogate gets longer with every further one,
+so that a fully used form ends too; a text without a letter or digit is replaced by drawn ones.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from invoicelake.llm.common import same, stored
 
 KEY = "invoicelake"
+WIDEN = 4
+_ALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 _TITLE = r"(?:Mrs|Mr|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|Señora|Señor|Don|Doña|Г-жа|Г-н|MRS|MR|MS|HERR|FRAU)"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
@@ -83,11 +86,12 @@ def _pick(pool: str, byte: Column) -> Column:
 
 def _alike(text: Column, stream: Column, digits: Column, keep: Column, last: Column) -> Column:
     """``text`` with characters of the same classes; the first ``keep`` characters and those from ``last`` on stay. With ``digits`` (true)
-    only digits change; in a hexadecimal text letters stay hexadecimal."""
-    hexadecimal = F.regexp_like(text, F.lit("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"))
+    only digits change; in a hexadecimal text letters stay hexadecimal. Without a letter or digit every character is drawn from all classes."""
+    of_text = F.struct(F.regexp_like(text, F.lit("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$")).alias("hexadecimal"),
+                       F.regexp_like(text, F.lit(r"[0-9\p{L}]")).alias("changes"), keep.alias("keep"), last.alias("last"))
 
-    def one(c: Column, i: Column) -> Column:
-        byte = _byte(stream, i)
+    def one(c: Column, i: Column, of: Column) -> Column:
+        byte, hexadecimal = _byte(stream, i), of["hexadecimal"]
         fresh = (F.when(F.regexp_like(c, F.lit("[0-9]")), _pick("0123456789", byte))
                  .when(digits, c)
                  .when(hexadecimal & F.regexp_like(c, F.lit("[a-f]")), _pick("abcdef", byte))
@@ -96,9 +100,17 @@ def _alike(text: Column, stream: Column, digits: Column, keep: Column, last: Col
                      _pick("АБВГДЕЖЗИКЛМНОПРСТУФ", byte)))
                  .when(F.regexp_like(c, F.lit(r"\p{Lu}")), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", byte))
                  .when(F.regexp_like(c, F.lit(r"\p{L}")), _pick("abcdefghijklmnopqrstuvwxyz", byte))
-                 .otherwise(c))
-        return F.when((i < keep) | (i >= last), c).otherwise(fresh)
-    return F.array_join(F.transform(F.split(text, ""), one), "")
+                 .when(of["changes"], c)
+                 .otherwise(_pick(_ALL, byte)))
+        return F.when((i < of["keep"]) | (i >= of["last"]), c).otherwise(fresh)
+    # what holds for the whole text is computed once, not for every character
+    return F.element_at(F.transform(F.array(of_text), lambda of: F.array_join(F.transform(F.split(text, ""), lambda c, i: one(c, i, of)), "")), 1)
+
+
+def _extra(stream: Column, pool: str) -> Column:
+    """The characters that a surrogate gets in addition: none in the first ``WIDEN`` draws, then one more with every draw."""
+    drawn = F.transform(F.sequence(F.lit(0), F.greatest(F.col("attempt") - WIDEN, F.lit(0))), lambda i: _pick(pool, _byte(stream, 255 - i % 256)))
+    return F.when(F.col("attempt") < WIDEN, "").otherwise(F.array_join(drawn, ""))
 
 
 def _check_digit(number: Column) -> Column:
@@ -127,8 +139,11 @@ def _candidate() -> Column:
                    F.when(F.col("kind") == "key", 4).when(F.col("kind") == "iban", 2).when(F.col("kind") == "card", 1)
                    .when(F.col("kind") == "phone", F.instr(rows, " ")).otherwise(0),
                    F.when(F.col("kind") == "mail", tld).otherwise(end))
-    card = F.concat(F.substr(alike, F.lit(1), end - 1), F.when(_check_digit(rows) == F.substr(rows, end, F.lit(1)).cast("int"),
-                                                              _check_digit(alike).cast("string")).otherwise(F.substr(alike, end, F.lit(1))))
+    alike = (F.when(F.col("kind") == "mail", F.concat(_extra(stream, "abcdefghijklmnopqrstuvwxyz"), alike))
+             .when(F.col("kind") == "password", F.concat(alike, _extra(stream, _ALL))).otherwise(F.concat(alike, _extra(stream, "0123456789"))))
+    final = F.char_length(alike)
+    card = F.concat(F.substr(alike, F.lit(1), final - 1), F.when(_check_digit(rows) == F.substr(rows, end, F.lit(1)).cast("int"),
+                                                                _check_digit(alike).cast("string")).otherwise(F.substr(alike, final, F.lit(1))))
     address = F.concat_ws(".", *((_byte(stream, F.lit(k)) % 254 + 1).cast("string") for k in range(4)))
     cyrillic = F.regexp_like(rows, F.lit(r"\p{IsCyrillic}"))
     name = F.lit(None).cast("string")
@@ -164,14 +179,15 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def _formatted(kind: Column, entity: Column, surrogate: Column) -> Column:
-    """The surrogate in the format of an occurrence: its punctuation, spaces and capitals."""
+    """The surrogate in the format of an occurrence: its punctuation, spaces and capitals. What a widened number has more stands at its end."""
     marks = F.split(entity, "")
+    solid = F.replace(surrogate, F.lit(" "), F.lit(""))
     digit = lambda c: F.regexp_like(c, F.lit("[0-9A-Z]"))
 
     def place(c: Column, i: Column) -> Column:
         before = F.size(F.filter(F.slice(marks, F.lit(1), i + 1), digit))
-        return F.when(digit(c), F.substr(F.replace(surrogate, F.lit(" "), F.lit("")), before, F.lit(1))).otherwise(c)
-    number = F.array_join(F.transform(marks, place), "")
+        return F.when(digit(c), F.substr(solid, before, F.lit(1))).otherwise(c)
+    number = F.concat(F.array_join(F.transform(marks, place), ""), F.substr(solid, F.size(F.filter(marks, digit)) + 1))
     title, rest = F.regexp_extract(entity, r"^(\S+ )", 1), F.regexp_extract(entity, r"^\S+ (.*)$", 1)
     shown = F.initcap(F.substr(surrogate, F.lit(3)))
     name = F.concat(title, F.when(F.upper(rest) == rest, F.upper(shown)).otherwise(shown))

@@ -75,3 +75,22 @@ def test_empty_table_and_native_plan(spark):
     assert run(spark, []) == []
     frame = spark.createDataFrame([(*r, "k", "n") for r in ROWS], SCHEMA)
     assert "Python" not in surrogates.replaced(frame)._jdf.queryExecution().toString()
+
+
+def test_texts_without_letters_and_a_full_space(spark):
+    """'****' has no other form of its classes, one-letter mail addresses few, and all four-digit passwords are entities."""
+    rows = [(1, "password=**** x"), (2, "password: ........"), (3, "password=**** y")]
+    out = run(spark, rows)
+    first, second, third = (text(out, k) for k in (1, 2, 3))
+    assert re.fullmatch("password=[A-Za-z0-9]{4} x", first) and re.fullmatch("password: [A-Za-z0-9]{8}", second) and third[:-1] == first[:-1]
+    full = spark.range(10_000).select(F.lit("password").alias("kind"), F.format_string("%04d", "id").alias("norm"))
+    entities = full.unionByName(spark.createDataFrame([("mail", "_@-.com"), ("mail", "+@-.com")], "kind string, norm string"))
+    drawn = surrogates.assign(entities).collect()
+    assert len(drawn) == len({(r["kind"], r["surrogate"]) for r in drawn}) == 10_002
+    assert not {r["surrogate"] for r in drawn} & {r["norm"] for r in drawn}
+    assert all(re.fullmatch(r"[a-z]+[_+]@-\.com", r["surrogate"]) for r in drawn if r["kind"] == "mail")
+
+
+def test_widened_numbers_keep_their_format(spark):
+    shown = spark.createDataFrame([("phone", "+1 743 555-3824", "1 00011122223")], "kind string, entity string, surrogate string")
+    assert shown.select(surrogates._formatted(F.col("kind"), F.col("entity"), F.col("surrogate"))).first()[0] == "+1 000 111-22223"
