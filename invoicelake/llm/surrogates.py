@@ -1,7 +1,7 @@
 """Personal data replaced by surrogates, in DataFrame operations only.
 
 Found are: mail addresses, IP addresses, phone numbers, payment cards, social security numbers, account numbers (IBAN), access keys,
-passwords, long hexadecimal tokens, and names behind a title. An entity is its kind and its normal form, so spellings of one entity
+passwords, long hexadecimal tokens, and names behind one or more titles (all capitalised words that follow; persons without a title are not found). An entity is its kind and its normal form, so spellings of one entity
 get one surrogate everywhere. The surrogate depends on the key, the kind and the normal form alone:
 it has the same characters' classes (letters, capitals, digits, hexadecimal digits, Cyrillic letters), the same punctuation and what tells its type
 (top-level domain, country code, card issuer digit and check digit, key prefix, title); names keep gender, script and capitals.
@@ -21,24 +21,30 @@ from invoicelake.llm.common import same, stored
 KEY = "invoicelake"
 WIDEN = 4
 _ALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-_TITLE = r"(?:Mrs|Mr|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|Señora|Señor|Don|Doña|Г-жа|Г-н|MRS|MR|MS|HERR|FRAU)"
+_TITLE = (r"(?:Mrs|Mr|Ms|Miss|Mx|Sir|Madam|Dame|Lady|Lord|Herr|Frau|Monsieur|Madame|Mademoiselle|Mme|Mlle|Señora|Señorita|Señor|Sra|Srta|Sr|Don|Doña"
+          r"|Г-жа|Г-н|MRS|MR|MS|MISS|HERR|FRAU|Dr|Dra|Doctor|Doctora|Doktor|Docteur|Prof|Professor|Professorin|Professeur|Profesor|Profesora|DR|PROF"
+          r"|Д-р|Доктор|Проф|Профессор)")
+_TITLES = _TITLE + r"\.?(?: " + _TITLE + r"\.?){0,8}"
+_PARTICLE = "(?:von|vom|van|der|den|ter|ten|zu|zur|de|del|della|di|da|do|dos|du|la|las|los|le|y|bin|ibn|al|el)"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
     "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "key": r"(?<![\p{L}\p{N}])AKIA[0-9A-Z]{16}(?![\p{L}\p{N}])",
-    "password": r"""(?i:(?<=password=)|(?<=password: ))[^\s"'<>,;]{4,64}""",
-    "token": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
+    "password": r"""(?i:(?<=password=)|(?<=password: ))[^\s"'<>,;]{4,}+""",
+    "token": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}.])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![\p{L}\p{N}])",
     "address": r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.[0-9])",
     "phone": r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
-    "name": r"(?<![\p{L}\p{N}])" + _TITLE + r"\.? \p{Lu}[\p{L}'-]{1,40}(?: \p{Lu}[\p{L}'-]{1,40})?",
+    "name": r"(?<![\p{L}\p{N}])" + _TITLES + r"(?:(?: (?:\p{Lu}\.?|" + _PARTICLE + r")(?= ))*+ \p{Lu}[\p{L}'-]++)++",  # words, and initials and particles before them
 }
 _ANY = "|".join(PATTERNS.values())
 _GATE = r"[0-9@]|(?i:password)|" + _TITLE
-_FEMALE = ("mrs", "ms", "miss", "madam", "frau", "madame", "señora", "doña", "г-жа")
+_FEMALE = ("mrs", "ms", "miss", "madam", "dame", "lady", "frau", "madame", "mademoiselle", "mme", "mlle", "señora", "señorita", "sra", "srta", "doña", "г-жа",
+           "dra", "doctora", "professorin", "profesora")
+_NAMED = r"^((?:" + _TITLE + r"\.? ){1,9})(.+)$"
 # given names and syllables of family names by script
 GIVEN = {
     ("latin", "f"): ["Alma", "Berta", "Clara", "Dora", "Elsa", "Flora", "Greta", "Hilda", "Ida", "Julia", "Karla", "Lena"],
@@ -63,15 +69,15 @@ def kind_of(entity: Column) -> Column:
 def normal_form(kind: Column, entity: Column) -> Column:
     """What spellings of one entity share: digits of numbers (country codes set off), lower case of names and
     mail addresses, names with their gender."""
-    title = F.lower(F.regexp_extract(entity, r"^(\S+?)\.? ", 1))
-    gender = F.when(title.isin(*_FEMALE), "f").otherwise("m")
+    titles = F.lower(F.regexp_extract(entity, _NAMED, 1))
+    gender = F.when(F.regexp_like(titles, F.lit("(?:^| )(?:" + "|".join(_FEMALE) + ")[. ]")), "f").otherwise("m")
     digits = F.regexp_replace(entity, "[^0-9]", "")
     code = F.regexp_extract(entity, r"^\+([0-9]+)[^0-9]", 1)
     return (F.when(kind.isin("card", "ssn"), digits)
             .when(kind == "phone", F.concat(code, F.lit(" "), F.substr(digits, F.char_length(code) + 1)))
             .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit("")))
             .when(kind == "mail", F.lower(entity))
-            .when(kind == "name", F.concat(gender, F.lit(" "), F.lower(F.regexp_extract(entity, r"^\S+ (.*)$", 1))))
+            .when(kind == "name", F.concat(gender, F.lit(" "), F.lower(F.regexp_extract(entity, _NAMED, 2))))
             .otherwise(entity))
 
 
@@ -188,7 +194,7 @@ def _formatted(kind: Column, entity: Column, surrogate: Column) -> Column:
         before = F.size(F.filter(F.slice(marks, F.lit(1), i + 1), digit))
         return F.when(digit(c), F.substr(solid, before, F.lit(1))).otherwise(c)
     number = F.concat(F.array_join(F.transform(marks, place), ""), F.substr(solid, F.size(F.filter(marks, digit)) + 1))
-    title, rest = F.regexp_extract(entity, r"^(\S+ )", 1), F.regexp_extract(entity, r"^\S+ (.*)$", 1)
+    title, rest = F.regexp_extract(entity, _NAMED, 1), F.regexp_extract(entity, _NAMED, 2)
     shown = F.initcap(F.substr(surrogate, F.lit(3)))
     name = F.concat(title, F.when(F.upper(rest) == rest, F.upper(shown)).otherwise(shown))
     mail = F.when(F.upper(entity) == entity, F.upper(surrogate)).otherwise(surrogate)

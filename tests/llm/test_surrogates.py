@@ -94,3 +94,19 @@ def test_texts_without_letters_and_a_full_space(spark):
 def test_widened_numbers_keep_their_format(spark):
     shown = spark.createDataFrame([("phone", "+1 743 555-3824", "1 00011122223")], "kind string, entity string, surrogate string")
     assert shown.select(surrogates._formatted(F.col("kind"), F.col("entity"), F.col("surrogate"))).first()[0] == "+1 000 111-22223"
+
+
+def test_nothing_is_left_of_long_entities(spark):
+    """Passwords, tokens and names of any length; titles alone, in a row and in other languages."""
+    rows = [(1, "password=" + "aB3$" * 500 + " end"), (2, "t " + "0123456789abcdef" * 2000 + " end"),
+            (3, "Mr John Paul Smith came. Dr. Brown, Prof. Dr. Greene and Herr Dr. Kurt von Weiss"), (4, "Mr " + "Ab" * 60 + " Cd, Sir J. R. Stone and Mr Don Hill left Mr Don alone"),
+            (5, "Frau Dr. Alba Berg; Dra. Luz Marin; " + "Mr " + "Xy " * 20_000)]
+    out = run(spark, rows)
+    one, two, three, four, five = (text(out, k) for k in range(1, 6))
+    assert len(one) == len(rows[0][1]) and "aB3$" not in one and one.endswith(" end")
+    assert re.fullmatch("t [0-9a-f]{32000} end", two) and "0123456789abcdef" not in two
+    assert re.fullmatch(r"Mr \w+ \w+ came\. Dr\. \w+, Prof\. Dr\. \w+ and Herr Dr\. \w+ \w+", three)
+    for gone in ("John", "Paul", "Smith", "Brown", "Greene", "Kurt", "Weiss"):
+        assert gone not in three
+    assert "AbAb" not in four and " Cd" not in four and "Stone" not in four and "Hill" not in four and "Don alone" not in four
+    assert re.match(r"Frau Dr\. (\w+)", five).group(1) in surrogates.GIVEN["latin", "f"] and "Luz" not in five and "Xy" not in five
