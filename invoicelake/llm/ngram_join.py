@@ -119,7 +119,7 @@ def _parts(docs: DataFrame, fragments: int) -> DataFrame:
             once = np.flatnonzero(~shared)
             values = np.concatenate([distinct[copies > 1], hashes[once]])
             owner = np.concatenate([np.full(int((copies > 1).sum()), -1), of[once]])
-            cut = np.minimum((values >> np.uint64(32)) * np.uint64(2 * fragments) >> np.uint64(32), np.uint64(fragments - 1)).astype(np.int64)
+            cut = ((values >> np.uint64(32)) * np.uint64(2 * fragments) >> np.uint64(32)).astype(np.int64)  # long texts fill the lower half
             order = np.lexsort((owner, cut))
             values, owner, cut = values[order].astype(np.uint32), owner[order], cut[order]
             for fragment in np.unique(cut).tolist():

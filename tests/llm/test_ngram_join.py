@@ -140,3 +140,11 @@ def test_hashes_needed_of_every_partner():
             o = -(-3 * (n + m) // 7)
             if o <= min(n, m):
                 assert needed[n - 1] <= min(o - (n - taken[n - 1]), o - (m - min(m, -(-2 * m // 5))))
+
+
+def test_short_texts_spread_over_fragments(spark):
+    """Sets of one n-gram send hashes from the whole range; no fragment holds a large part of them."""
+    frame = spark.createDataFrame([(i, f"s{i}") for i in range(4000)], "doc_id long, text string").coalesce(1)
+    rows = ngram_join._parts(frame, 8).filter("fragment >= 0").collect()
+    held = {r["fragment"]: len(r["hashes"]) // 4 for r in rows}
+    assert sum(held.values()) == 4000 and max(held.values()) < 500
