@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import chat, decontaminate, exact_chunks, licenses, ngram_join, packing, quality, surrogates, token_file, toxicity
+from invoicelake.llm import (chat, decontaminate, exact_chunks, licenses, ngram_join, packing, periodic_runs, quality, repetition, surrogates,
+                             token_file, toxicity)
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,16 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+@_query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, folder))))
+
+
+@_query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.verdicts(documents(spark, folder))
+
+
 _ESCAPED = """regexp_replace(replace(coalesce(text, ''), '\\', '\\\\'),
     '(<)(/?s>)|(\\[)(/?(?:SYS|INST|OUT|SEP|ROLE|TURN)\\])', '\\1\\3\\\\\\2\\4', 'g')"""
 LLM_ORACLES["op2_chat_format"] = f"""
@@ -146,3 +157,21 @@ SELECT doc_id, path, coalesce(licence, g.licence) AS licence, coalesce(sim, g.si
   CASE WHEN licence IS NOT NULL THEN 'own' WHEN g IS NOT NULL THEN 'inherited' ELSE 'none' END AS via,
   CASE WHEN licence IS NOT NULL THEN doc_id ELSE g.doc END AS from_doc_id
 FROM m LEFT JOIN r USING (dir)"""
+
+# the union of the maximal repeats of LEAST words or more is the union of the LEAST-word windows found twice or more, and one is longer than LONGEST
+# words when a window of one word more is found twice
+_R = repetition
+_BASE_FAILED = f"n_words < {_R.FEWEST} OR 100 * n_repeat_words > {_R.MOST_REPEATED} * n_words"
+LLM_ORACLES["op13_quality_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n, w, unnest(range(1, len(w) + 1)) AS s FROM d),
+g AS (SELECT doc_id, k, s, hash(array_to_string(w[s:s + k - 1], ' ')) AS a FROM p, (VALUES ({_R.WINDOW}), ({_R.LEAST}), ({_R.LONGEST + 1})) AS v(k) WHERE s + k - 1 <= n),
+r AS (SELECT doc_id, k, s FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k, a) AS c FROM g) WHERE c > 1),
+c AS (SELECT doc_id, k, count(DISTINCT x) AS c FROM (SELECT doc_id, k, unnest(range(s, s + k)) AS x FROM r) GROUP BY doc_id, k),
+l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^ \t\n\x0B\f\r]') GROUP BY doc_id),
+o AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(a.c, 0)::BIGINT AS n_repeat_words, coalesce(b.c, 0)::BIGINT AS n_covered, coalesce(e.c, 0) > 0 AS long_repeat
+  FROM d LEFT JOIN l USING (doc_id) LEFT JOIN c a ON a.doc_id = d.doc_id AND a.k = {_R.WINDOW}
+  LEFT JOIN c b ON b.doc_id = d.doc_id AND b.k = {_R.LEAST} LEFT JOIN c e ON e.doc_id = d.doc_id AND e.k = {_R.LONGEST + 1})
+SELECT *, {_BASE_FAILED} AS base_failed, NOT ({_BASE_FAILED}) AND 100 * n_covered <= {_R.MOST_COVERED} * n_words AND NOT long_repeat AS kept FROM o"""
