@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoicelake.llm import (chat, decontaminate, exact_chunks, licenses, ngram_join, packing, periodic_runs, quality, repetition, surrogates,
-                             token_file, toxicity)
+from invoicelake.llm import (chat, decontaminate, exact_chunks, licenses, ngram_join, packing, periodic_runs, quality, repair, repetition,
+                             surrogates, token_file, toxicity)
 from invoicelake.llm.common import documents, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, folder))))
 
 
+@_query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.report(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 @_query
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.verdicts(documents(spark, folder))
