@@ -2,16 +2,21 @@
 
 Every tree sees a small random subsample by definition of the method, so growing is one bounded group per
 tree. Scoring is the part that grows with the data: all rows pass through the broadcast forest in Arrow batches.
+
+Nothing is drawn from a sequential generator. The feature and the cut of a node are numbers hashed from (seed, tree, node), and a row's place in
+the order of a tree is a linear function modulo a prime of two numbers hashed from its key. Any order of the rows, any partitioning, and any other
+implementation of the same definition give the same forest.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the method.
@@ -19,6 +24,9 @@ TREES = 200
 SUBSAMPLE = 256
 EULER = 0.5772156649
 
+PRIME = 2 ** 31 - 1      # orders of the rows lie below it
+DIGITS, ORDER_DIGITS = 13, 7  # hexadecimal digits of a hash that make a draw, and a number of a row
+
 NODES = "tree int, node int, feature int, cut double, size double"
 
 
@@ -30,23 +38,33 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
+def drawn(seed: int, tree: int, *what: int | str) -> float:
+    """A number in [0, 1), the same for the same arguments."""
+    return int(hashlib.md5(":".join(map(str, (seed, tree, *what))).encode()).hexdigest()[:DIGITS], 16) / 16 ** DIGITS
+
+
 def subsamples(rows: DataFrame, features: list[str], key: str, seed: int, trees: int = TREES,
                size: int = SUBSAMPLE) -> DataFrame:
-    """(tree, x): ``size`` random rows per tree, chosen by hashes, so the choice does not depend on partitions."""
-    complete = rows.select(F.col(key).cast("string").alias("key"),
+    """(tree, x): per tree the ``size`` rows that come first in its order. Rows with a NULL or NaN feature take no part."""
+    hashed = F.md5(F.col(key).cast("string"))
+    part = [F.conv(F.substring(hashed, 1 + i * ORDER_DIGITS, ORDER_DIGITS), 16, 10).cast("long") for i in range(2)]
+    complete = rows.select(F.col(key).cast("string").alias("key"), *(p.alias(f"k{i}") for i, p in enumerate(part)),
                            F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
     for i in range(len(features)):
-        complete = complete.filter(F.col("x")[i].isNotNull())
+        complete = complete.filter(F.col("x")[i].isNotNull() & ~F.isnan(F.col("x")[i]))
     n = complete.count()
-    # about twice the rows a tree needs pass the hash test, which every row takes once per tree without being copied;
-    # the smallest hashes among them are taken
+    # about twice the rows a tree needs pass this test, which every row takes once per tree without being copied
     share = min(1.0, (2.0 * size + 40) / max(n, 1))
-    limit = F.lit(int((2.0 * share - 1.0) * 2.0 ** 63) if share < 1 else 2 ** 63 - 1).cast("long")
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.xxhash64("key", tree, F.lit(seed)) <= limit)
-    drawn = (complete.select("x", "key", F.explode(chosen).alias("tree"))
-             .withColumn("h", F.xxhash64("key", "tree", F.lit(seed))))
+    limit = math.ceil(share * PRIME)
+    factors = [F.array(*(F.lit(int(drawn(seed, tree, name) * 16 ** ORDER_DIGITS)).cast("long") for tree in range(trees))) for name in "abc"]
+
+    def place(tree: Column) -> Column:
+        a, b, c = (F.get(values, tree) for values in factors)
+        return F.pmod(a * F.col("k0") + b * F.col("k1") + c, F.lit(PRIME))
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: place(tree) < limit)
+    first = complete.select("x", "key", "k0", "k1", F.explode(chosen).alias("tree")).withColumn("h", place(F.col("tree")))
     nr = F.row_number().over(Window.partitionBy("tree").orderBy("h", "key"))
-    return drawn.withColumn("nr", nr).filter(F.col("nr") <= size).select("tree", "nr", "x")
+    return first.withColumn("nr", nr).filter(F.col("nr") <= size).select("tree", "nr", "x")
 
 
 def grow(rows: DataFrame, features: list[str], key: str, seed: int, trees: int = TREES, size: int = SUBSAMPLE):
@@ -57,7 +75,6 @@ def grow(rows: DataFrame, features: list[str], key: str, seed: int, trees: int =
         group = group.sort_values("nr")
         tree = int(group["tree"].iloc[0])
         points = np.array(group["x"].tolist(), dtype=float)
-        random = np.random.default_rng([seed, tree])
         deepest = math.ceil(math.log2(max(len(points), 2)))
         nodes, open_ = [], [(1, np.arange(len(points)), 0)]
         while open_:
@@ -67,8 +84,11 @@ def grow(rows: DataFrame, features: list[str], key: str, seed: int, trees: int =
             if depth >= deepest or len(members) < 2 or len(usable) == 0:
                 nodes.append((tree, node, -1, 0.0, float(len(members))))
                 continue
-            f = int(random.choice(usable))
-            cut = float(random.uniform(x[:, f].min(), x[:, f].max()))
+            f = int(usable[int(drawn(seed, tree, node, "feature") * len(usable))])
+            low, high = float(x[:, f].min()), float(x[:, f].max())
+            cut = low + drawn(seed, tree, node, "cut") * (high - low)
+            if cut >= high:  # between neighbouring numbers rounding may end there, and nothing would go right
+                cut = low
             left = x[:, f] <= cut
             nodes.append((tree, node, f, cut, float(len(members))))
             open_ += [(2 * node + 1, members[~left], depth + 1), (2 * node, members[left], depth + 1)]

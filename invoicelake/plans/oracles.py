@@ -2,10 +2,57 @@
 
 from __future__ import annotations
 
+import math
+
 from invoicelake.plans import fixtures as fx
 
 ORACLES: dict[str, str] = {}
 
+
+
+def _forest_tables() -> dict[str, str]:
+    """The isolation forest level by level: ``rows_d`` in their nodes, ``nodes_d`` with a feature (0: none) and cut, ``at_d`` all documents on their way."""
+    from invoicelake.operators import forest
+    from invoicelake.operators.anomalies import SEED
+
+    def number(digits: int, *what: str) -> str:
+        return f"('0x' || substr(md5(concat_ws(':', {SEED}, {', '.join(what)})), 1, {digits}))::BIGINT"
+
+    def chance(*what: str) -> str:
+        return f"({number(forest.DIGITS, *what)} / {float(16 ** forest.DIGITS)!r}::DOUBLE)"
+    deepest = math.ceil(math.log2(forest.SUBSAMPLE))
+    order = ", ".join(f"{number(forest.DIGITS, 'tree', repr(c))} >> {4 * (forest.DIGITS - forest.ORDER_DIGITS)} AS {c}" for c in "abc")
+    keys = ", ".join(f"('0x' || substr(md5(doc_id), {1 + i * forest.ORDER_DIGITS}, {forest.ORDER_DIGITS}))::BIGINT AS k{i}" for i in range(2))
+    out = {
+        "trees": f"SELECT tree, {order} FROM (SELECT unnest(range({forest.TREES})) AS tree)",
+        "keyed": f"SELECT doc_id, log_total AS x1, vendor_z AS x2, {keys} FROM z_scores",
+        "rows_0": f"""
+            SELECT tree, 1::BIGINT AS node, x1, x2 FROM (SELECT *, row_number() OVER (
+              PARTITION BY tree ORDER BY (a * k0 + b * k1 + c) % {forest.PRIME}, doc_id) AS r FROM keyed, trees) WHERE r <= {forest.SUBSAMPLE}""",
+        "sizes": "SELECT tree, count(*) AS size FROM rows_0 GROUP BY tree",
+        "at_0": "SELECT doc_id, tree, 1::BIGINT AS node, x1, x2 FROM keyed, trees",
+    }
+    for d in range(deepest + 1):
+        out[f"nodes_{d}"] = f"""
+            SELECT tree, node, n, f, CASE WHEN cut >= high THEN low ELSE cut END AS cut FROM (
+              SELECT *, low + {chance("tree", "node", "'cut'")} * (high - low) AS cut FROM (
+                SELECT *, CASE f WHEN 1 THEN l1 ELSE l2 END AS low, CASE f WHEN 1 THEN h1 ELSE h2 END AS high FROM (
+                  SELECT *, CASE WHEN n < 2 OR {d} >= ceil(log2(greatest(size, 2))) OR (h1 <= l1 AND h2 <= l2) THEN 0 WHEN h2 <= l2 THEN 1 WHEN h1 <= l1 THEN 2
+                    ELSE 1 + CAST(floor(2 * {chance("tree", "node", "'feature'")}) AS int) END AS f
+                  FROM (SELECT tree, node, count(*) AS n, min(x1) AS l1, max(x1) AS h1, min(x2) AS l2, max(x2) AS h2 FROM rows_{d} GROUP BY ALL) JOIN sizes USING (tree))))"""
+        for kind, extra in (("rows", ""), ("at", "doc_id, ")):
+            if d < deepest:
+                out[f"{kind}_{d + 1}"] = f"""
+                    SELECT {extra}tree, 2 * node + CAST(CASE f WHEN 1 THEN x1 ELSE x2 END > cut AS int) AS node, x1, x2
+                    FROM {kind}_{d} JOIN nodes_{d} USING (tree, node) WHERE f > 0"""
+    path = f"CASE WHEN n > 2 THEN 2 * (ln(n - 1) + {forest.EULER}) - 2 * (n - 1) / n WHEN n = 2 THEN 1 ELSE 0 END"
+    ends = " UNION ALL ".join(f"SELECT doc_id, {d} + {path} AS path FROM at_{d} JOIN nodes_{d} USING (tree, node) WHERE f = 0" for d in range(deepest + 1))
+    out["iso_scores"] = f"""
+        SELECT doc_id, is_anomaly, vendor_z, global_z, round(pow(2, -(total / (SELECT count(*) FROM trees)) / (SELECT {path} FROM (SELECT max(size)::DOUBLE AS n FROM sizes))), 9) AS iso_score
+        FROM (SELECT doc_id, sum(path) AS total FROM ({ends}) GROUP BY doc_id) JOIN z_scores USING (doc_id)"""
+    return out
+
+
 TABLES = {
     "truth": fx.TRUTH_SQL.format(orders="orders"),
     "extracted": fx.EXTRACTED_SQL.format(truth="truth"),
@@ -64,9 +111,10 @@ TABLES = {
     "with_median": "SELECT *, median(log_total) OVER (PARTITION BY vendor_id) AS med FROM scorable",
     "with_mad": "SELECT *, median(abs(log_total - med)) OVER (PARTITION BY vendor_id) AS mad FROM with_median",
     "z_scores": """
-        SELECT doc_id, is_anomaly, round((log_total - med) / (greatest(mad, 0.1) * 1.4826), 6) AS vendor_z,
+        SELECT doc_id, is_anomaly, round(log_total, 6) AS log_total, round((log_total - med) / (greatest(mad, 0.1) * 1.4826), 6) AS vendor_z,
                round((total - avg(total) OVER ()) / stddev_samp(total) OVER (), 6) AS global_z
         FROM with_mad""",
+    **_forest_tables(),
     "docs": """
         SELECT source || '/' || lpad(CAST(doc_id AS varchar), 8, '0') || '.PDF' AS path, strlen(text) AS length,
                sha256(text) AS sha256, source IN ('src0', 'src1', 'src2') AS earlier
@@ -157,7 +205,15 @@ NEEDS = {
     "z_scores": ["with_mad"], "ided": ["docs"], "originals": ["ided"], "new_rows": ["ided", "originals"],
     "clear": ["pixels"], "page_pixels": ["pixels"], "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
     "texts": ["truth"], "found": ["texts"], "kept_spans": ["found"],
+    "keyed": ["z_scores"], "rows_0": ["keyed", "trees"], "sizes": ["rows_0"], "at_0": ["keyed", "trees"],
+    "iso_scores": [name for name in TABLES if name.startswith(("nodes_", "at_"))],
 }
+for _name in TABLES:
+    _kind, _, _level = _name.rpartition("_")
+    if _kind == "nodes":
+        NEEDS[_name] = [f"rows_{_level}", "sizes"]
+    elif _kind in ("rows", "at") and _level != "0":
+        NEEDS[_name] = [f"{_kind}_{int(_level) - 1}", f"nodes_{int(_level) - 1}"]
 
 
 def _with(*names: str) -> str:
@@ -386,7 +442,7 @@ oracle("ano_review_budget", """
     SELECT doc_id, CAST(r <= greatest(1, floor(0.05 * n)) AS int) AS flagged FROM ranked""", "scorable")
 
 
-def _compare(score: str) -> str:
+def _compare(score: str, table: str = "z_scores") -> str:
     return f"""
     SELECT '{score}' AS score, k, CAST(greatest(1, floor(0.05 * n)) AS bigint) AS budget,
            round(auc, 9) AS roc_auc, round(ap, 9) AS avg_precision, round(top_k / k, 9) AS precision_at_k,
@@ -394,17 +450,23 @@ def _compare(score: str) -> str:
     FROM (SELECT CAST(sum(y) AS bigint) AS k, count(*) AS n, sum(CASE WHEN r <= p THEN y END) AS top_k,
                  sum(CASE WHEN r <= greatest(1, floor(0.05 * m)) THEN y END) AS top_b
           FROM (SELECT is_anomaly AS y, row_number() OVER (ORDER BY {score} DESC, sha256(doc_id || '#tie'), doc_id) AS r,
-                       sum(is_anomaly) OVER () AS p, count(*) OVER () AS m FROM z_scores)),
+                       sum(is_anomaly) OVER () AS p, count(*) OVER () AS m FROM {table})),
          (SELECT sum(y * (below + ties / 2.0)) / (sum(y) * sum(1 - y)) AS auc
           FROM (SELECT is_anomaly AS y, sum(1 - is_anomaly) OVER (ORDER BY {score} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                          - sum(1 - is_anomaly) OVER (PARTITION BY {score}) AS below,
-                       sum(1 - is_anomaly) OVER (PARTITION BY {score}) AS ties FROM z_scores)),
+                       sum(1 - is_anomaly) OVER (PARTITION BY {score}) AS ties FROM {table})),
          (SELECT sum(y * tp / seen) / sum(y) AS ap
-          FROM (SELECT is_anomaly AS y, sum(is_anomaly) OVER w AS tp, count(*) OVER w AS seen FROM z_scores
+          FROM (SELECT is_anomaly AS y, sum(is_anomaly) OVER w AS tp, count(*) OVER w AS seen FROM {table}
                 WINDOW w AS (ORDER BY {score} DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))"""
 
 
 oracle("ano_compare", _compare("global_z") + " UNION ALL " + _compare("vendor_z"), "z_scores")
+oracle("ano_compare_forest", " UNION ALL ".join(_compare(score, "iso_scores") for score in ("global_z", "vendor_z", "iso_score")), "iso_scores")
+oracle("ano_isolation_forest", "SELECT doc_id, is_anomaly, iso_score FROM iso_scores", "iso_scores")
+oracle("ano_scores", """
+    , ranked AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY iso_score) - 1) / 2.0 AS r, count(*) OVER () AS n
+                 FROM iso_scores WINDOW w AS (ORDER BY iso_score DESC))
+    SELECT doc_id, iso_score, vendor_z, CAST(r <= greatest(1, floor(0.05 * n)) AS int) AS flagged FROM ranked""", "iso_scores")
 
 # ---- metrics
 

@@ -608,10 +608,15 @@ def ano_global_z(spark, d):
         "doc_id", F.round("global_z", 6).alias("global_z"))
 
 
+def iso_scored(spark, d) -> DataFrame:
+    """Rows with iso_score; features and scores in fixed digits, so that cuts and ranks do not hang on the last bit of a logarithm."""
+    rows = anomaly_features(spark, d).withColumns({c: F.round(c, 6) for c in ("log_total", *Z_SCORES)})
+    return cut_lineage(anomalies.with_iso_score(cut_lineage(rows)).withColumn("iso_score", F.round("iso_score", 9)))
+
+
 @query
 def ano_isolation_forest(spark, d):
-    rows = anomalies.with_iso_score(anomaly_features(spark, d))
-    return rows.select("doc_id", "is_anomaly", "iso_score")
+    return iso_scored(spark, d).select("doc_id", "is_anomaly", "iso_score")
 
 
 @query
@@ -622,7 +627,7 @@ def ano_review_budget(spark, d):
 
 @query
 def ano_scores(spark, d):
-    return anomalies.scores(cut_lineage(anomalies.with_iso_score(anomaly_features(spark, d))))
+    return anomalies.scores(iso_scored(spark, d))
 
 
 @query
@@ -636,8 +641,9 @@ def ano_compare(spark, d):
 
 @query
 def ano_compare_forest(spark, d):
-    rows = cut_lineage(anomalies.with_iso_score(anomaly_features(spark, d)))
-    return anomalies.compare(rows, [*Z_SCORES, "iso_score"])
+    table = anomalies.compare(iso_scored(spark, d), [*Z_SCORES, "iso_score"])
+    return table.select("score", "k", "budget", *[F.round(c, 9).alias(c) for c in
+                                                  ("roc_auc", "avg_precision", "precision_at_k", "recall_at_budget")])
 
 
 # ---- metrics

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +164,23 @@ def test_trees_draw_from_all_rows(spark):
     found = drawn.collect()
     assert [r.n for r in found] == [forest.SUBSAMPLE] * forest.TREES
     assert len({x for r in found for x in r.xs}) > 42_000      # of 51,200 draws; a pool of 65,536 rows would give 35,500
+
+
+def test_neighbouring_values_and_nan(spark):
+    """Between two neighbouring numbers a cut may round up to the larger one; NaN rows take no part and get no score."""
+    low = -0.6744907594765953
+    high = math.nextafter(low, 0)
+    rows = spark.createDataFrame([(str(k), low if k % 2 else high, 1.0) for k in range(400)] + [("x", float("nan"), 1.0), ("y", None, 1.0)],
+                                 "id string, a double, b double")
+    grown = forest.grow(rows, ["a", "b"], "id", 3, trees=40)
+    nodes = grown[2].toPandas()
+    assert set(nodes.loc[nodes.feature >= 0, "cut"]) == {low} and set(nodes.loc[nodes.feature < 0, "node"]) == {2, 3}
+    scored = {r.id: r.s for r in forest.score(rows, grown, "s").collect()}
+    assert scored["x"] is None and scored["y"] is None
+    assert len({scored[str(k)] for k in range(400)}) <= 2
+
+
+def test_draws_depend_on_all_parts():
+    seen = {forest.drawn(s, t, n, w) for s in (1, 2) for t in range(20) for n in range(1, 20) for w in ("cut", "feature")}
+    assert len(seen) == 2 * 20 * 19 * 2 and all(0 <= x < 1 for x in seen)
+    assert abs(sum(seen) / len(seen) - 0.5) < 0.03
