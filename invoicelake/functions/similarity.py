@@ -1,15 +1,27 @@
-"""Similarity ratio of two strings (longest matching blocks, as defined by Python's ``difflib``)."""
+"""Similarity ratio of two strings (longest matching blocks, as defined by Python's ``difflib``).
+
+The ratio is 2 M / S, with M matched characters in blocks and S the length of both strings. Two bounds make searches exact without comparing everything:
+
+* M is at most the number of shared letters.
+* Between two blocks lies an unmatched character of one side, so there are at most 1 + S - 2 M blocks, and a block of n characters holds n - q + 1 pieces of q
+  characters. Strings with at least M matched characters hence share at least M - (q - 1) (1 + S - 2 M) pieces (counted as often as they occur).
+  Of the pieces of one string, put in any order, all but that number less one must therefore contain a shared one.
+"""
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
+PIECES = (2, 3, 4)  # lengths of the pieces of an index of names (one digit each)
+SEED_NAMES = 8    # names of a batch compared in full for a text's first score
 ROUND = 16        # names compared before the others are checked against the best ratio again
 
 
@@ -70,3 +82,96 @@ class NameIndex:
             rest = np.delete(open_, first)
             open_ = rest[bound[rest] >= top]
         return (None, None, 0.0) if at < 0 else (*self.master[at], top)
+
+
+def shared_pieces(length: int, best: float, q: int) -> int:
+    """How many pieces of ``q`` characters a text of ``length`` shares with any other of ratio ``best`` or more, at least (maybe none)."""
+    if best <= 0:
+        return 0
+    least = math.inf
+    for other in range(math.ceil(length * best / (2 - best) - 1e-9), math.floor(length * (2 - best) / best + 1e-9) + 1):
+        both = length + other
+        matched = math.ceil(best * both / 2 - 1e-9)  # more matches only raise the number of shared pieces
+        least = min(least, matched - (q - 1) * (1 + both - 2 * matched))
+    return max(int(least), 0) if least < math.inf else 0
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def pieces_of(texts: pd.Series) -> pd.Series:
+    """The pieces of ``PIECES`` characters of a text, the n-th occurrence of a piece (after the first) marked by its number."""
+    def pieces(text: str) -> list[str]:
+        seen: dict[str, int] = {}
+        out = []
+        for q in PIECES:
+            for i in range(len(text) - q + 1):
+                piece = f"{q}{text[i:i + q]}"
+                seen[piece] = n = seen.get(piece, 0) + 1
+                out.append(piece if n == 1 else f"{piece}\0{n}")
+        return out
+    return texts.map(pieces)
+
+
+def telling_pieces(length: int, best: float, pieces: list[tuple[int, str]], most: float) -> tuple[list[str] | None, int]:
+    """Pieces (of (frequency, piece)) and a number: every name of ratio ``best`` or more holds so many of them.
+
+    The rarest pieces of the length that meets the fewest names; one more than needed, so that a name must hold two. None if the names met are more than ``most``.
+    """
+    chosen, cost, held = None, most, 1
+    for q in PIECES:
+        shared = shared_pieces(length, best, q)
+        if shared > 0:
+            own = sorted(p for p in pieces if p[1][0] == str(q))
+            at_least = min(shared, 2)
+            first = own[:len(own) - shared + at_least]
+            meets = sum(frequency for frequency, _ in first)
+            if meets <= cost:
+                chosen, cost, held = [piece for frequency, piece in first if frequency], meets, at_least
+    return chosen, held
+
+
+_BINS = 64
+
+
+def _letter_counts(texts: list[str]) -> np.ndarray:
+    """Letters per text in a few bins; letters that share a bin only raise a bound."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
+    counts = np.bincount(row * _BINS + codes % _BINS, minlength=len(texts) * _BINS).reshape(len(texts), _BINS)
+    return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.int64)
+
+
+def _bounded(name: pd.Series, text: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Upper bounds of the ratios, and both columns as places in their distinct values."""
+    (name_at, names), (text_at, texts) = pd.factorize(name), pd.factorize(text)
+    a, b = _letter_counts(list(names)), _letter_counts(list(texts))
+    size = a.sum(1)[name_at] + b.sum(1)[text_at]
+    shared = [np.minimum(a[name_at[k:k + 1024]], b[text_at[k:k + 1024]]).sum(1) for k in range(0, len(name_at), 1024)]
+    return 2.0 * np.concatenate([np.empty(0), *shared]) / np.maximum(size, 1), name_at, names, text_at, texts
+
+
+@F.pandas_udf(DoubleType())
+def ratio_from(name: pd.Series, text: pd.Series, least: pd.Series) -> pd.Series:
+    """Ratio of name and text where it may reach ``least``, NULL where the shared letters exclude that."""
+    bound, name_at, names, text_at, texts = _bounded(name, text)
+    out = np.full(len(name), np.nan)
+    open_ = np.flatnonzero(bound >= least.to_numpy() - 1e-12)
+    matcher, current = SequenceMatcher(None, "", ""), -1
+    for k in open_[np.argsort(text_at[open_], kind="stable")].tolist():
+        if text_at[k] != current:
+            current = text_at[k]
+            matcher.set_seq2(texts[current])
+        matcher.set_seq1(names[name_at[k]])
+        out[k] = matcher.ratio()
+    return pd.Series(out).astype("Float64").where(~np.isnan(out))
+
+
+ratio_from = ratio_from.asNondeterministic()
+
+
+def first_scores(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(top, best): of some pairs (top, name) the ratios of each text's most promising names, lower bounds of its best one."""
+    for frame in frames:
+        if len(frame):
+            bound, *_ = _bounded(frame["name"], frame["top"])
+            most = frame.assign(bound=bound).sort_values("bound", kind="stable").groupby("top").tail(SEED_NAMES)
+            yield pd.DataFrame({"top": most["top"], "best": [SequenceMatcher(None, a, b).ratio() for a, b in zip(most["name"], most["top"])]})

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from invoicelake.functions import text as T
-from invoicelake.functions.similarity import NameIndex
+from invoicelake.functions.similarity import NameIndex, first_scores, pieces_of, ratio_from, telling_pieces
 from invoicelake.session import cut_lineage
 
 # Limits of the validation rules.
@@ -19,8 +20,10 @@ GST_RATE = 0.18
 MIN_CONFIDENCE = 60
 
 REQUIRED = ["invoice_no", "invoice_date", "gstin", "vendor_id", "subtotal", "gst", "total"]
+SEEDS = 3                  # pieces of a header that give its first score
+MOST_MET = 0.5             # share of the names the pieces of one header may lead to
 NAMES_PER_TASK = 20_000    # names one task of the search holds
-HEADERS_PER_TASK = 1_000   # headers one task of the search compares with its names
+HEADERS_PER_TASK = 600     # headers one task of the search compares with its names
 
 
 def printed_fields(text: str | Column = "text") -> dict[str, Column]:
@@ -45,25 +48,75 @@ def match_vendors(docs: DataFrame, header: str, master: DataFrame, threshold: fl
                   names_per_task: int = NAMES_PER_TASK, headers_per_task: int = HEADERS_PER_TASK) -> DataFrame:
     """Add vendor_id, vendor_name and vendor_match: the most similar vendor name of every header.
 
-    A score under the threshold gives no vendor but is reported. Headers spelled exactly like a name are settled by a
-    join. The other distinct headers meet all names, split over tasks by both sides, and the best one wins; only they reach
-    Python, and letter counts keep most names from being compared in full. One way for every size.
+    A score under the threshold gives no vendor but is reported. Headers spelled exactly like a name are settled by a join. The other distinct headers
+    go through an index from pieces of characters to names: the names that hold one of a header's rarest pieces give a first score, and with that score a
+    proven count of shared pieces (``functions.similarity``) tells which few pieces lead to every name that is as good. Headers for which those pieces would lead to
+    more than ``MOST_MET`` of all names, since they resemble none, meet the names in blocks (``_by_blocks``). All ways are exact.
     """
     known = (master.groupBy(F.lower("vendor_name").alias("top"))
              .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit"))
              .select("top", F.struct("hit.vendor_id", "hit.vendor_name", F.lit(1.0).alias("score")).alias("_match")))
+    names = cut_lineage(master.filter("vendor_name IS NOT NULL").groupBy(F.lower("vendor_name").alias("name"))
+                        .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit")))
     tops = docs.select(F.col(header).alias("top")).filter(F.col("top").isNotNull()).distinct()
     rest = cut_lineage(tops.join(known.select("top"), "top", "left_anti"))
-    parts = max(1, math.ceil(master.count() / names_per_task))
-    slices = max(1, math.ceil(rest.count() / headers_per_task))
+    tasks = max(1, math.ceil(rest.count() / headers_per_task))  # comparing costs more than the few bytes of the pairs tell
+    index = cut_lineage(names.repartition(max(1, math.ceil(names.count() / names_per_task * 8)), "name")
+                        .select("name", F.explode(pieces_of("name")).alias("piece")))
+    frequency = index.groupBy("piece").agg(F.count("*").alias("names"))
+    told = (rest.repartition(tasks, "top").select("top", F.explode_outer(pieces_of("top")).alias("piece")).join(frequency, "piece", "left")
+            .groupBy("top").agg(F.collect_list(F.coalesce("piece", F.lit(""))).alias("pieces"), F.collect_list(F.coalesce("names", F.lit(0))).alias("names")))
+
+    def rarest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            first = [[p for _, p in sorted(x for x in zip(n, pieces) if x[0])[:SEEDS]] for n, pieces in zip(frame["names"], frame["pieces"])]
+            yield frame.assign(seeds=first)[["top", "pieces", "names", "seeds"]]
+    told = cut_lineage(told.repartition(tasks, "top").mapInPandas(rarest, "top string, pieces array<string>, names array<long>, seeds array<string>"))
+
+    def met(wanted: DataFrame) -> DataFrame:
+        """(top, best, name): the names that hold ``held`` of the pieces of (top, best, held, piece)."""
+        return (wanted.join(index, "piece").select("top", "best", "held", "name").repartition(tasks, "top")
+                .groupBy("top", "best", "held", "name").count().filter("count >= held"))
+
+    seeds = met(told.select("top", F.lit(0.0).alias("best"), F.lit(1).alias("held"), F.explode("seeds").alias("piece")))
+    first = seeds.select("top", "name").mapInPandas(first_scores, "top string, best double").groupBy("top").agg(F.max("best").alias("best"))
+    total = names.count()
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            chosen = [telling_pieces(len(top), best, [x for x in zip(n, pieces) if x[1]], MOST_MET * total)
+                      for top, best, n, pieces in zip(frame["top"], frame["best"], frame["names"], frame["pieces"])]
+            yield frame.assign(chosen=[c for c, _ in chosen], held=[h for _, h in chosen])[["top", "best", "chosen", "held"]]
+
+    plan = cut_lineage(told.drop("seeds").join(first, "top", "left").fillna(0.0, ["best"]).repartition(tasks, "top").mapInPandas(
+        choose, "top string, best double, chosen array<string>, held int"))
+    scored = met(plan.select("top", "best", "held", F.explode("chosen").alias("piece"))).select(
+        "top", "name", "best", ratio_from("name", "top", "best").alias("score"))
+    indexed = scored.filter(F.col("score") >= F.col("best") - 1e-12).join(names, "name").select("top", "hit.vendor_id", "hit.vendor_name", "score")
+    blocks = _by_blocks(cut_lineage(plan.filter("chosen IS NULL").select("top")), names.select("hit.*"), names_per_task, headers_per_task)
+    best = (indexed.unionByName(blocks).groupBy("top")
+            .agg(F.min(F.struct((-F.col("score")).alias("minus"), F.coalesce("vendor_id", F.lit("￿")).alias("i"),
+                                F.coalesce("vendor_name", F.lit("￿")).alias("n"), "vendor_id",
+                                "vendor_name", "score")).alias("b"))
+            .select("top", F.struct("b.vendor_id", "b.vendor_name", "b.score").alias("_match")))
+    matched = known.unionByName(best).withColumnRenamed("top", header)
+    return _with_vendor(docs.join(matched, header, "left").select(*docs.columns, "_match"), threshold)
+
+
+def _by_blocks(tops: DataFrame, names: DataFrame, names_per_task: int, headers_per_task: int) -> DataFrame:
+    """(top, vendor_id, vendor_name, score): the best name of every block of names, for headers that resemble none."""
+    parts = max(1, math.ceil(names.count() / names_per_task))
+    slices = math.ceil(tops.count() / headers_per_task)
+    schema = "top string, vendor_id string, vendor_name string, score double"
+    if not slices:
+        return tops.sparkSession.createDataFrame([], schema)
 
     def spread(df: DataFrame, own: str, other: str, n_own: int, n_other: int, *keys: str) -> DataFrame:
         return (df.withColumn(own, F.pmod(F.xxhash64(*keys), F.lit(n_own)))
                 .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long")))))
 
-    left = spread(rest, "slice", "part", slices, parts, "top")
-    right = spread(master.select("vendor_id", "vendor_name"), "part", "slice", parts, slices,
-                   "vendor_id", "vendor_name")
+    left = spread(tops, "slice", "part", slices, parts, "top")
+    right = spread(names, "part", "slice", parts, slices, "vendor_id", "vendor_name")
 
     def search(headers, names):
         index = NameIndex(list(zip(names["vendor_id"], names["vendor_name"])))
@@ -71,15 +124,8 @@ def match_vendors(docs: DataFrame, header: str, master: DataFrame, threshold: fl
         columns = ["top", "vendor_id", "vendor_name", "score"]
         return pd.DataFrame(found, columns=columns, dtype=object).astype({"score": float})
 
-    candidates = (left.groupBy("part", "slice").cogroup(right.groupBy("part", "slice"))
-                  .applyInPandas(search, "top string, vendor_id string, vendor_name string, score double"))
-    best = (candidates.groupBy("top")
-            .agg(F.min(F.struct((-F.col("score")).alias("minus"), F.coalesce("vendor_id", F.lit("￿")).alias("i"),
-                                F.coalesce("vendor_name", F.lit("￿")).alias("n"), "vendor_id",
-                                "vendor_name", "score")).alias("b"))
-            .select("top", F.struct("b.vendor_id", "b.vendor_name", "b.score").alias("_match")))
-    matched = known.unionByName(best).withColumnRenamed("top", header)
-    return _with_vendor(docs.join(matched, header, "left").select(*docs.columns, "_match"), threshold)
+    return (left.groupBy("part", "slice").cogroup(right.groupBy("part", "slice"))
+            .applyInPandas(search, schema))
 
 
 def _with_vendor(matched: DataFrame, threshold: float) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pytest
@@ -5,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from invoicelake.functions import similarity
 from invoicelake.functions import text as T
 from invoicelake.functions.similarity import NameIndex, ratio
 from invoicelake.operators import extract, ocr
@@ -101,6 +104,42 @@ def test_parts_equal_whole(spark, rows):
             assert r.vendor_match == want[2] and r.vendor_id == (want[0] if want[2] >= 0.8 else None)
 
 
+def matched_blocks(a, b):
+    return sum(block.size for block in SequenceMatcher(None, a, b).get_matching_blocks())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1 ", max_size=14), st.text(alphabet="ab1 ", max_size=14))
+def test_shared_pieces_are_a_lower_bound(a, b):
+    best = SequenceMatcher(None, a, b).ratio()
+    for q in similarity.PIECES:
+        def grams(text):
+            return Counter(text[i:i + q] for i in range(len(text) - q + 1))
+        assert sum((grams(a) & grams(b)).values()) >= similarity.shared_pieces(len(b), best, q)
+
+
+def test_index_equals_full_search(spark):
+    """Headers that resemble names, nothing, or have odd characters; names with the same spelling, few and many pieces met."""
+    draw = random.Random(5)
+    stems = ["north star", "alpha works", "müller & söhne", "东方贸易公司", "a", "zz", "steel steel steel"]
+    names = [(f"V{k:03d}", f"{draw.choice(stems)} {draw.randint(0, 400)}".title() if k % 9 else draw.choice(stems)) for k in range(300)]
+    heads = []
+    for k in range(160):
+        text = list(draw.choice(names)[1].lower())
+        for _ in range(draw.randint(0, 4)):
+            place = draw.randrange(len(text) + 1)
+            text[place:place + draw.randint(0, 2)] = draw.choice(["", "x", "0", "ab"])
+        heads.append((k, "".join(text)))
+    heads += [(1000, "qqqq"), (1001, ""), (1002, None), (1003, "9 8 7 6"), (1004, "north " * 400)]
+    master = spark.createDataFrame(names, "vendor_id string, vendor_name string")
+    found = extract.match_vendors(spark.createDataFrame(heads, "id int, header string"), "header", master).collect()
+    assert len(found) == len(heads)
+    for r in found:
+        want = brute(names, r.header) if r.header is not None else (None, None, 0.0)
+        assert r.vendor_match == pytest.approx(want[2], abs=1e-12)
+        assert (r.vendor_id, r.vendor_name) == (want[:2] if want[2] >= 0.8 else (None, None)), r
+
+
 def test_ratio_of_nulls(spark):
     df = spark.createDataFrame([("ab", "ab"), ("abc", "abd"), (None, "a"), ("", "")], "a string, b string")
     assert [r[0] for r in df.select(ratio("a", "b")).collect()] == [1.0, pytest.approx(2 / 3), None, 1.0]
