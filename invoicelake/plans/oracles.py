@@ -415,9 +415,12 @@ oracle("dup_features", """
       FROM docs a JOIN docs b ON a.vendor_id = b.vendor_id AND a.doc_id < b.doc_id)
     SELECT doc_a, doc_b, count(*) AS pairs, round(diff, 9) AS amount_diff, CAST(gap AS int) AS date_gap, CAST(same AS int) AS is_dup
     FROM pairs WHERE diff <= 0.2 AND gap <= 60 GROUP BY doc_a, doc_b, diff, gap, same""", "prepared")
+oracle("dup_gap_classes", """
+    SELECT CAST(abs(date_diff('day', a.date, b.date)) AS int) AS date_gap, CAST(a.true_base = b.true_base AS int) AS is_dup, count(*) AS pairs
+    FROM prepared a JOIN prepared b ON a.vendor_id = b.vendor_id AND a.doc_id < b.doc_id GROUP BY 1, 2""", "prepared")
 oracle("dup_training_weights", "SELECT count(*) AS pairs, count(*) FILTER (WHERE same) AS true_pairs FROM couples", "couples")
 oracle("dup_flagged_copies", """
-    SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM prepared a JOIN prepared b ON b.doc_id = a.doc_id || 'C'""", "prepared")
+    SELECT count(*) AS planted, count(*) AS caught, 0::BIGINT AS missed, true AS few_others FROM prepared a JOIN prepared b ON b.doc_id = a.doc_id || 'C'""", "prepared")
 oracle("dup_exact_rule", """
     SELECT vendor_id, date, total, count(*) AS documents, min(doc_id) AS first_id FROM prepared
     GROUP BY 1, 2, 3 HAVING count(*) > 1""", "prepared")
@@ -589,7 +592,10 @@ _THREE_WAY = """
 oracle("clf_split_counts", f"SELECT split, label, count(*) AS n FROM ({_THREE_WAY}) GROUP BY split, label")
 oracle("slv_stamp", "SELECT doc_id, true AS stamped FROM extracted", "extracted")
 oracle("fx_vendor_match_none", "SELECT p_partkey AS header_id, CAST(NULL AS varchar) AS vendor_id, true AS low FROM part")
-oracle("fx_vendor_match_exact", "SELECT p_partkey AS header_id, p_name AS vendor_id, 1.0 AS vendor_match FROM part WHERE p_partkey % 4 IN (0, 2)")
+oracle("fx_vendor_match_exact", """
+    WITH h AS (SELECT p_partkey AS header_id, CASE p_partkey % 4 WHEN 1 THEN 'x' || lower(substr(p_name, 2)) WHEN 3 THEN lower(reverse(p_name)) ELSE lower(p_name) END AS header FROM part),
+    n AS (SELECT lower(p_name) AS header, min(p_name) AS vendor_id FROM part GROUP BY 1)
+    SELECT header_id, vendor_id, vendor_id IS NOT NULL AS certain, true AS scored FROM h LEFT JOIN n USING (header)""")
 oracle("spl_three_way", """
     SELECT vec_id, CASE WHEN r <= floor(n * 0.7 + 1e-9) THEN 'train'
                         WHEN r <= floor(n * 0.7 + 1e-9) + floor(n * 0.15 + 1e-9) THEN 'val' ELSE 'test' END AS split

@@ -383,10 +383,12 @@ def fx_vendor_match_spellings(spark, d):
 
 @query
 def fx_vendor_match_exact(spark, d):
-    """Headers of which only case or the invoice title differs from a name: their vendor is certain."""
-    rows = fx.headers(spark, d).filter("header_id % 4 IN (0, 2)").select("header_id", T.vendor_header(F.col("text")).alias("header"))
+    """Every header: its vendor where it is spelled like a name apart from case and the invoice title, otherwise only that it has a score below 1."""
+    rows = fx.headers(spark, d).select("header_id", T.vendor_header(F.col("text")).alias("header"))
     found = extract.match_vendors(rows, "header", fx.part_vendors(spark, d))
-    return found.select("header_id", "vendor_id", F.round("vendor_match", 9).alias("vendor_match"))
+    certain = F.col("vendor_match") == 1
+    return found.select("header_id", F.when(certain, F.col("vendor_id")).alias("vendor_id"), certain.alias("certain"),
+                        F.col("vendor_match").between(0, 1).alias("scored"))
 
 
 @query
@@ -539,6 +541,12 @@ def dup_features(spark, d):
         "doc_a", "doc_b", F.col("pairs").cast("long").alias("pairs"), F.round("amount_diff", 9).alias("amount_diff"), "date_gap", "is_dup")
 
 
+@query
+def dup_gap_classes(spark, d):
+    """All pairs by date gap and answer key."""
+    return duplicates.gap_classes(prepared(spark, d)).select("date_gap", "is_dup", F.col("pairs").cast("long").alias("pairs"))
+
+
 @query
 def dup_features_similarity(spark, d):
     rows = cut_lineage(duplicates.profiles(duplicates.prepare(loaded(spark, d))))
@@ -568,9 +576,12 @@ def dup_training_weights(spark, d):
 
 @query
 def dup_flagged_copies(spark, d):
-    """The planted copies among the flagged pairs."""
-    copies = duplicates.detect(prepared(spark, d)).flagged.filter("doc_b = concat(doc_a, 'C')")
-    return copies.select("doc_a", "doc_b")
+    """Planted copies, how many of them the flagged pairs hold, and whether other flagged pairs are few (their number is in ``dup_model_cv``)."""
+    docs = prepared(spark, d)
+    copies = docs.select(F.concat("doc_id", F.lit("C")).alias("copy")).join(docs.select(F.col("doc_id").alias("copy")), "copy")
+    flagged = duplicates.detect(docs).flagged.agg(F.count_if(F.col("doc_b") == F.concat("doc_a", F.lit("C"))).alias("caught"), F.count("*").alias("flagged"))
+    return copies.agg(F.count("*").alias("planted")).join(flagged).select(
+        "planted", "caught", (F.col("planted") - F.col("caught")).alias("missed"), ((F.col("flagged") - F.col("caught")) * 20 <= F.col("flagged")).alias("few_others"))
 
 
 @query
