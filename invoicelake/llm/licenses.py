@@ -1,13 +1,22 @@
 """Licence scan in DataFrame operations: sparse TF-IDF cosine to templates, then inheritance from the nearest directory above.
 
-Every line of a file is a header candidate and is compared with the templates as a set of words; weights are the inverse document frequencies of
-the template words over all files, and a word of no template weighs as much as one that no file has. The best template of at least ``LEAST`` is the
-file's own licence. A file named like a licence, or one whose first line is a notice, speaks for its directory. A file without a licence of its own
-takes that of the nearest directory at or above its own that has one (its best notice, then the smallest licence name and doc_id).
+Compared with the templates, as sets of words, are the units of a file:
+
+* every line,
+* every block of neighbouring lines that are all comments or all other text (blank lines end a block), such as a header wrapped over several lines,
+* the whole text of a file that is named like a licence.
+
+A word weighs ``ln((files + 1) / (files with the word + 1)) + 1``, template word or not. Weights lie at 1 or above, so a unit can only reach ``LEAST`` if its template
+words, at their real weights, can carry all its other words at weight 1. The units that can are few, and only for their words are files counted.
+
+The best template of at least ``LEAST`` is the file's own licence. A file named like a licence, or one whose first line or block is a notice, speaks
+for its directory. A file without a licence of its own takes that of the nearest directory at or above its own that has one (its best notice, then the
+smallest licence name and doc_id).
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -16,77 +25,155 @@ from pyspark.sql import functions as F
 from invoicelake.llm.common import stored
 
 LEAST = 0.75
-# public notices by SPDX name
+CLASSES = 6  # of template words by weight, for the bound
+_GNU = ("is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either "
+        "version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. ")
+_GNU_END = "You should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>."
+_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+          "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+          "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+          "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+          "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_BSD = ("Copyright (c). All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. ")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+          "specific prior written permission. ")
+_GENERAL, _LESSER, _AFFERO = "General Public License", "Lesser General Public License", "Affero General Public License"
+# fixed values: public notices, file headers and the texts of short licences by SPDX name; of the long ones the title stands for the file
 TEMPLATES = {
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-2-Clause": "Redistribution under the BSD 2-Clause License is permitted.",
-    "BSD-3-Clause": "Redistribution under the BSD 3-Clause License is permitted.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Released into the public domain under CC0 1.0.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "ISC": "Released under the ISC License.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
-    "Proprietary": "All rights reserved.",
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _GNU.format(_AFFERO, 3) + _GNU_END.format(_AFFERO),
+                 "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+                   "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a "
+                   "copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed "
+                   "under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+                   "for the specific language governing permissions and limitations under the License."],
+    "BSD-2-Clause": ["Redistribution under the BSD 2-Clause License is permitted.", _BSD + _AS_IS],
+    "BSD-3-Clause": ["Redistribution under the BSD 3-Clause License is permitted.", _BSD + _BSD_3 + _AS_IS],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC0-1.0": ["Released into the public domain under CC0 1.0.", "Creative Commons Legal Code CC0 1.0 Universal"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _GNU.format(_GENERAL, 2) + _GNU_END.format(_GENERAL),
+                "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _GNU.format(_GENERAL, 3) + _GNU_END.format(_GENERAL),
+                "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "ISC": ["Released under the ISC License.",
+            "ISC License Copyright (c) Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES "
+            "WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+            "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR "
+            "OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _GNU.format(_LESSER, 3) + _GNU_END.format(_LESSER),
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "MIT": ["Released under the MIT License.",
+            "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+            "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+            "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
+            "above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS "
+            "IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+            "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+            "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "MPL-2.0": ["Licensed under the Mozilla Public License, Version 2.0.", "Mozilla Public License Version 2.0",
+                "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can "
+                "obtain one at https://mozilla.org/MPL/2.0/."],
+    "Proprietary": ["All rights reserved."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
+for _name, _texts in TEMPLATES.items():
+    if _name != "Proprietary":
+        _texts.append(f"SPDX-License-Identifier: {_name}")
+        if "GPL" in _name:
+            _texts += [f"SPDX-License-Identifier: {_name}-{kind}" for kind in ("only", "or-later")]
+NAMES = r"(?i)(^|/)((un)?licen[cs]e|copying|notice)[^/]*$"
+COMMENT = r"^[ \t]*(#|//|/?\*|--|;|%|<!--|dnl |rem )"
 
 
-def template_words(templates: dict[str, str]) -> list[tuple[str, str]]:
-    return [(name, word) for name, text in sorted(templates.items()) for word in sorted(set(re.findall("[a-z0-9]+", text.lower())))]
+def template_words(templates: dict[str, list[str]]) -> list[tuple[str, int, str]]:
+    """(licence, number of the template, word)."""
+    return [(name, k, word) for name, texts in sorted(templates.items()) for k, text in enumerate(texts)
+            for word in sorted(set(re.findall("[a-z0-9]+", text.lower())))]
 
 
-def _line_words(line: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(line, "[^a-z0-9]+", -1), lambda w: w != ""))
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(text, "[^a-z0-9]+", -1), lambda w: w != ""))
 
 
-def _weight(n_files: Column, df: Column) -> Column:
-    return F.log((n_files + 1) / (df + 1)) + 1
+def _body() -> Column:
+    return F.lower(F.coalesce("text", F.lit("")))
 
 
-def _digest(files: DataFrame, vocabulary: list[str], least: float) -> DataFrame:
-    """One pass over the texts: the template words of each file, and its lines that can reach ``least``.
+def weight(n_files: float, df: float) -> float:
+    return math.log((n_files + 1) / (df + 1)) + 1
 
-    Outside words weigh most, so a line can only reach it if its squared share of template words can.
-    """
-    words = F.array(*map(F.lit, vocabulary))
-    lines = F.split(F.lower(F.coalesce("text", F.lit(""))), "\n", -1)
-    rows = files.select("doc_id", "path", F.transform(lines, lambda line, i: F.struct(i.alias("line"), _line_words(line).alias("words"))).alias("lines"))
-    rows = rows.select("doc_id", "path", F.transform("lines", lambda x: F.struct(
-        x["line"].alias("line"), F.array_intersect(x["words"], words).alias("known"), F.size(x["words"]).alias("n"))).alias("lines"))
-    return rows.select("doc_id", "path", F.array_distinct(F.flatten(F.transform("lines", lambda x: x["known"]))).alias("known"),
-                       F.filter("lines", lambda x: (x["n"] > 0) & (F.size(x["known"]) >= least * least * x["n"])).alias("lines"))
+
+def _units(files: DataFrame) -> DataFrame:
+    """``file, doc_id, path, units``: the word sets of what is compared, ``top`` telling the first line and block."""
+    lines = F.split(F.replace(_body(), F.lit("\x01"), F.lit(" ")), "\n", -1)
+    rows = files.select("file", "doc_id", "path", lines.alias("lines"))
+    kind = F.transform("lines", lambda x: F.when(~x.rlike(r"[^ \t\r]"), "b").when(x.rlike(COMMENT), "c").otherwise("p"))
+    rows = rows.select("file", "doc_id", "path", "lines", kind.alias("kinds"))
+    # arrays used inside a function are referenced a second time, so that Spark computes them once per row
+    joined = F.transform("lines", lambda x, i: F.concat(F.when(i == 0, "").when(F.get("kinds", i - 1) == F.get("kinds", i), "\n").otherwise("\x01"), x))
+    blocks = F.filter(F.split(F.array_join(joined, ""), "\x01", -1), lambda x: x.rlike("[a-z0-9]"))
+
+    def unit(top: Column, text: Column) -> Column:
+        return F.struct(top.alias("top"), _words(text).alias("words"))
+    whole = F.when(F.coalesce(F.regexp_like("path", F.lit(NAMES)), F.lit(False)), F.array(unit(F.lit(False), F.array_join("lines", "\n"))))
+    several = F.filter(F.transform(blocks, lambda x, i: F.struct((i == 0).alias("top"), x.alias("text"))), lambda x: F.instr(x["text"], "\n") > 0)
+    return rows.select("file", "doc_id", "path", F.concat(
+        F.transform("lines", lambda x, i: unit(i == 0, x)), F.transform(several, lambda x: unit(x["top"], x["text"])),
+        F.coalesce(whole, F.array().cast("array<struct<top:boolean,words:array<string>>>"))).alias("units"))
+
+
+def _files_with(files: DataFrame, words: Column | None = None) -> DataFrame:
+    """(word, df): how many files have a word; a file counts once."""
+    found = _words(_body())
+    return files.select(F.explode(found if words is None else F.array_intersect(found, words)).alias("word"))
 
 
-def notices(files: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """The files (``file, doc_id, path``) and their best notices (``file, licence, similarity, first_line``); all files are counted."""
     spark, pairs = files.sparkSession, template_words(templates or TEMPLATES)
-    rows = stored(_digest(files, sorted({word for _, word in pairs}), least).withColumn("file", F.monotonically_increasing_id()), "licence-lines")
-    counted = rows.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    total = rows.agg(F.count(F.lit(1)).alias("files")).first()["files"]
+    files = files.select("doc_id", "path", "text")
+    vocabulary = sorted({word for _, _, word in pairs})
+    known = F.array(*map(F.lit, vocabulary))
+    total = files.count()
+    counted = _files_with(files, known).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    df = dict.fromkeys(vocabulary, 0) | {row["word"]: row["df"] for row in counted.collect()}  # as many as the templates have words
+    squares = sorted((weight(total, df[word]) ** 2, word) for word in vocabulary)
+    part = -(-len(squares) // CLASSES)
+    classes = [squares[k:k + part] for k in range(0, len(squares), part)]
+
+    def possible(unit: Column) -> Column:
+        inside = [F.size(F.array_intersect(unit["words"], F.array(*(F.lit(word) for _, word in group)))) for group in classes]
+        most = sum((n * F.lit(group[-1][0]) for n, group in zip(inside, classes)), F.lit(0.0))
+        return (most > 0) & (most >= least * least * (most + F.size(unit["words"]) - sum(inside, F.lit(0))) - 1e-9)
+    tagged = files.withColumn("file", F.monotonically_increasing_id())
+    rows = stored(_units(tagged).select("file", "doc_id", "path", F.filter("units", possible).alias("units")), "licence-units")
+    units = rows.select("file", F.posexplode("units").alias("unit", "x")).select("file", "unit", "x.top", "x.words")
+    terms = units.select("file", "unit", "top", F.explode("words").alias("word"))
+    outside = stored(terms.select("word").distinct().filter(~F.col("word").isin(vocabulary)), "licence-words")
     n = F.lit(total).cast("double")
-    table = spark.createDataFrame(pairs, "licence string, word string")  # a row per template word
-    weights = (table.join(counted, "word", "left").withColumn("w2", F.pow(_weight(n, F.coalesce("df", F.lit(0))), 2)))
-    weights = weights.join(weights.groupBy("licence").agg(F.sum("w2").alias("template2")), "licence")
-    single = weights.groupBy("word").agg(F.first("w2").alias("own2"))
-    lines = rows.select("file", F.explode("lines").alias("x")).select("file", "x.line", "x.known", "x.n")
-    terms = lines.select("file", "line", (F.col("n") - F.size("known")).alias("outside"), F.explode("known").alias("word"))
-    norms = terms.join(single, "word").groupBy("file", "line").agg(
-        (F.sum("own2") + F.max("outside") * F.pow(_weight(n, F.lit(0)), 2)).alias("line2"))
-    dots = terms.join(weights, "word").groupBy("file", "line", "licence").agg(F.sum("w2").alias("dot"), F.max("template2").alias("template2"))
-    scored = dots.join(norms, ["file", "line"]).withColumn("similarity", F.round(F.col("dot") / F.sqrt(F.col("line2") * F.col("template2")), 6))
+    own = F.pow(F.log((n + 1) / (F.col("df") + 1)) + 1, 2)
+    rare = _files_with(files).join(outside, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    inside = spark.createDataFrame(list(df.items()), "word string, df long")
+    single = stored(rare.unionByName(inside).select("word", own.alias("w2")), "licence-weights")
+    table = spark.createDataFrame(pairs, "licence string, template int, word string").join(single, "word")
+    table = table.join(table.groupBy("licence", "template").agg(F.sum("w2").alias("template2")), ["licence", "template"])
+    norms = terms.join(single, "word").groupBy("file", "unit").agg(F.sum("w2").alias("unit2"), F.max("top").alias("top"))
+    dots = terms.join(table, "word").groupBy("file", "unit", "licence", "template").agg(F.sum("w2").alias("dot"), F.max("template2").alias("template2"))
+    scored = dots.join(norms, ["file", "unit"]).withColumn("similarity", F.round(F.col("dot") / F.sqrt(F.col("unit2") * F.col("template2")), 6))
     best = scored.filter(F.col("similarity") >= least).groupBy("file").agg(
-        F.min(F.struct((-F.col("similarity")).alias("s"), "licence")).alias("best"), F.max((F.col("line") == 0)).alias("first_line"))
+        F.min(F.struct((-F.col("similarity")).alias("s"), "licence")).alias("best"), F.max("top").alias("first_line"))
     return rows.select("file", "doc_id", "path"), best.select("file", F.col("best.licence").alias("licence"),
                                                               (-F.col("best.s")).alias("similarity"), "first_line")
 
 
-def scan(files: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
+def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, least: float = LEAST) -> DataFrame:
     """One row per file: ``doc_id, path, licence, similarity, via, from_doc_id``; via is own, inherited or none.
 
     ``files`` has doc_id, path (``a/b/name``; NULL: no directory) and text (NULL: empty). Rows that repeat an id are files of their own.

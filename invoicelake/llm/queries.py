@@ -139,22 +139,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)"""
 
-_TEMPLATES = ", ".join(f"('{name}', '{word}')" for name, word in licenses.template_words(licenses.TEMPLATES))
+_TEMPLATES = ", ".join(f"('{name}', {k}, '{word}')" for name, k, word in licenses.template_words(licenses.TEMPLATES))
+_LINE_KIND = f"CASE WHEN NOT regexp_matches(x, '[^ \\t\\r]') THEN 'b' WHEN regexp_matches(x, '{licenses.COMMENT}') THEN 'c' ELSE 'p' END"
 LLM_ORACLES["op4_licenses"] = f"""
 WITH f AS (SELECT doc_id, coalesce(source, '') || '/' || CASE WHEN doc_id % 1000 = 0 THEN '' WHEN doc_id % 100 = 0 THEN (doc_id // 1000) || '/'
-    ELSE (doc_id // 1000) || '/' || (doc_id // 100) || '/' END || doc_id AS path, string_split(lower(coalesce(text, '')), chr(10)) AS lines FROM documents),
-t(licence, word) AS (VALUES {_TEMPLATES}),
-l AS (SELECT doc_id, unnest(lines) AS x, unnest(range(len(lines))) AS line FROM f),
-w AS (SELECT DISTINCT doc_id, line, word FROM (SELECT doc_id, line, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS word FROM l)),
-d AS (SELECT word, count(DISTINCT doc_id) AS df FROM w WHERE word IN (SELECT word FROM t) GROUP BY word),
+    ELSE (doc_id // 1000) || '/' || (doc_id // 100) || '/' END || doc_id AS path, string_split(replace(lower(coalesce(text, '')), chr(1), ' '), chr(10)) AS lines FROM documents),
+t(licence, template, word) AS (VALUES {_TEMPLATES}),
+b0 AS (SELECT doc_id, lines, list_transform(lines, lambda x: {_LINE_KIND}) AS kinds FROM f),
+b1 AS (SELECT doc_id, list_filter(string_split(array_to_string(list_transform(lines, lambda x, i:
+    CASE WHEN i = 1 THEN '' WHEN kinds[i - 1] = kinds[i] THEN chr(10) ELSE chr(1) END || x), ''), chr(1)), lambda x: regexp_matches(x, '[a-z0-9]')) AS blocks FROM b0),
+l AS (SELECT doc_id, unnest(lines) AS x, unnest(range(len(lines))) AS unit, unnest(range(len(lines))) = 0 AS top FROM f
+  UNION ALL SELECT doc_id, x, -1 - k, k = 0 FROM (SELECT doc_id, unnest(blocks) AS x, unnest(range(len(blocks))) AS k FROM b1) WHERE contains(x, chr(10))
+  UNION ALL SELECT doc_id, array_to_string(lines, chr(10)), 1000000000, false FROM f WHERE regexp_matches(path, '{licenses.NAMES}')),
+w AS (SELECT DISTINCT doc_id, unit, word FROM (SELECT doc_id, unit, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS word FROM l)),
+d AS (SELECT word, count(DISTINCT doc_id) AS df FROM w GROUP BY word),
 n AS (SELECT count(*)::DOUBLE AS n FROM documents),
-k AS (SELECT t.*, pow(ln((n + 1) / (coalesce(df, 0) + 1)) + 1, 2) AS w2 FROM t LEFT JOIN d USING (word), n),
-kn AS (SELECT licence, sum(w2) AS t2 FROM k GROUP BY licence),
-o AS (SELECT word, any_value(w2) AS w2 FROM k GROUP BY word),
-ln AS (SELECT doc_id, line, sum(coalesce(w2, pow(ln(n + 1) + 1, 2))) AS l2 FROM w LEFT JOIN o USING (word), n GROUP BY ALL),
-s AS (SELECT doc_id, line, licence, round(dot / sqrt(l2 * t2), 6) AS sim FROM
-  (SELECT doc_id, line, licence, sum(w2) AS dot FROM w JOIN k USING (word) GROUP BY ALL) JOIN ln USING (doc_id, line) JOIN kn USING (licence)),
-b AS (SELECT doc_id, min_by(licence, (-sim, licence)) AS licence, max(sim) AS sim, bool_or(line = 0) AS top FROM s WHERE sim >= 0.75 GROUP BY doc_id),
+o AS (SELECT word, pow(ln((n + 1) / (coalesce(df, 0) + 1)) + 1, 2) AS w2 FROM (SELECT word FROM d UNION SELECT word FROM t) LEFT JOIN d USING (word), n),
+k AS (SELECT t.*, w2 FROM t JOIN o USING (word)),
+kn AS (SELECT licence, template, sum(w2) AS t2 FROM k GROUP BY ALL),
+ln AS (SELECT doc_id, unit, sum(w2) AS l2 FROM w JOIN o USING (word) GROUP BY ALL),
+s AS (SELECT doc_id, unit, licence, round(dot / sqrt(l2 * t2), 6) AS sim FROM
+  (SELECT doc_id, unit, licence, template, sum(w2) AS dot FROM w JOIN k USING (word) GROUP BY ALL) JOIN ln USING (doc_id, unit) JOIN kn USING (licence, template)),
+b AS (SELECT doc_id, min_by(licence, (-sim, licence)) AS licence, max(sim) AS sim, bool_or(top) AS top FROM s JOIN l USING (doc_id, unit) WHERE sim >= 0.75 GROUP BY doc_id),
 m AS (SELECT f.doc_id, path, licence, sim, top, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM f LEFT JOIN b USING (doc_id)),
 g AS (SELECT dir, min_by(struct_pack(licence := licence, sim := sim, doc := doc_id), (-sim, licence, doc_id)) AS g FROM m WHERE licence IS NOT NULL AND top GROUP BY dir),
 r AS (SELECT m.dir, max_by(g.g, length(g.dir)) AS g FROM (SELECT DISTINCT dir FROM m) m JOIN g ON m.dir = g.dir OR starts_with(m.dir, g.dir || '/') GROUP BY m.dir)
