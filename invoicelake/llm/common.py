@@ -44,6 +44,35 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
                        F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one where a table has that column already."""
+    while name.lower() in {column.lower() for column in columns}:
+        name += "_"
+    return name
+
+
+def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for every row, and the name of that column: rows that share an id, have none, or are equal are told apart.
+
+    The number is the row's place in the scan, so ``docs`` has to be a table read from files, whose places do not change.
+    """
+    name = unused("__row", docs.columns)
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def without_rows(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` (see ``with_row``) without the rows whose numbers are in the first column of ``dropped``."""
+    return docs.join(dropped.toDF(row), row, "left_anti").select(*(c for c in docs.columns if c != row))
+
+
+def later_copies(docs: DataFrame, row: str, groups: DataFrame) -> DataFrame:
+    """Of ``groups`` (doc_id: the number of a row, group) all rows but the first of each group, by doc_id (none last), then place."""
+    ids = docs.select(F.col(row).alias("at"), F.col("doc_id").alias("id"))
+    member = groups.select(F.col("doc_id").alias("at"), "group").join(ids, "at")
+    first = member.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at")).alias("first"))
+    return member.select("at").join(first.select(F.col("first.at").alias("at")), "at", "left_anti")
+
+
 def same(left: Column, right: Column) -> Column:
     """Equal keys; a NULL id is an id like any other."""
     return left.eqNullSafe(right)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import stored
+from invoicelake.llm.common import stored, with_row, without_rows
 
 GRAM = 5
 WINDOW = 6
@@ -118,6 +118,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents, all columns as they are. Rows without an id cannot be told apart and stay."""
-    bad = contamination(docs, benchmark).filter("n_hit > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["__bad"], "left_anti")
+    """``docs`` without the contaminated rows, all columns as they are. Every row has its own verdict, whatever its id; ``docs`` is a table read from files."""
+    rows, row = with_row(docs)
+    found = contamination(rows.select(F.col(row).alias("doc_id"), "text"), benchmark)
+    return without_rows(rows, row, found.filter("n_hit > 0").select("doc_id"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import byte_rows, same, stored, texts
+from invoicelake.llm.common import byte_rows, later_copies, same, stored, texts, with_row, without_rows
 
 DIGEST_BYTES = 16
 CHUNK_BITS = 11  # a boundary every 2,048 bytes on average
@@ -134,8 +134,9 @@ def groups(docs: DataFrame, size: int = DIGEST_BYTES) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without the copies; all columns as they are.
 
-    An id goes when none of its rows stays; rows without an id cannot be told apart and stay.
+    Every row has its own verdict: of equal texts one row stays, the one with the smallest doc_id (rows without an id last), then the first in the
+    table. ``docs`` is a table read from files.
     """
-    dropped = (groups(docs).filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__dropped"))
-               .agg(F.max("kept").alias("stays")).filter(~F.col("stays")))
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    rows, row = with_row(docs)
+    copies = groups(rows.select(F.col(row).alias("doc_id"), "text")).filter("group_size > 1").withColumnRenamed("keep_id", "group")
+    return without_rows(rows, row, later_copies(rows, row, stored(copies.select("doc_id", "group"), "members")))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import byte_rows, mixed, row_groups, stored, texts, word_codes
+from invoicelake.llm.common import byte_rows, later_copies, mixed, row_groups, stored, texts, with_row, without_rows, word_codes
 
 SHINGLE = 5
 SHARE = 0.4
@@ -340,7 +340,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, the smallest id; all columns as they are. Rows without an id stay."""
-    dropped = (near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__dropped"))
-               .agg(F.min("component_id").alias("kept_id"), F.max((F.col("component_id") == F.col("doc_id"))).alias("stays")).filter("NOT stays"))
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    """``docs`` with one row of each component, the one with the smallest doc_id (rows without an id last), then the first in the table; all columns as
+    they are. Every row has its own verdict; texts without words stay. ``docs`` is a table read from files.
+    """
+    rows, row = with_row(docs)
+    near = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).filter("n_shingles > 0")
+    near = stored(near.select("doc_id", F.col("component_id").alias("group")), "near")
+    several = near.groupBy("group").count().filter("count > 1").select("group")
+    return without_rows(rows, row, later_copies(rows, row, near.join(several, "group", "left_semi")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from invoicelake.llm.common import _BYTE_CODE, _STEP, byte_rows, held_out, mixed, row_groups, word_codes
+from invoicelake.llm.common import _BYTE_CODE, _STEP, byte_rows, held_out, mixed, row_groups, unused, word_codes
 from invoicelake.llm.labelled import logistic, platt, sampled_features, training_ids
 
 BITS = 18
@@ -190,4 +190,5 @@ def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that score at least ``cut``, all columns as they are; no row is moved."""
     model = fit(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), labels)
-    return scores(docs, model, "__score").filter(F.col("__score") >= cut).drop("__score")
+    name = unused("__score", docs.columns)
+    return scores(docs, model, name).filter(F.col(name) >= cut).drop(name)
