@@ -24,6 +24,7 @@ INK = 128
 PAD = 40
 SIDE = 128
 POOL = 4
+MARK = 251
 
 
 def to_pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
@@ -78,8 +79,9 @@ def shrink(image: np.ndarray, height: int, width: int) -> np.ndarray:
 
 def row_spread(points: np.ndarray, angle: float, height: int, width: int) -> float:
     """Variance of the ink per row when the ink points (x, y from the middle) are turned by ``angle`` degrees."""
-    turned = points @ (np.exp(1j * np.deg2rad(angle)) * np.array([1, 1j])).conj()
-    across, down = np.rint(turned.real + width / 2), np.rint(turned.imag + height / 2)
+    cosine, sine = np.cos(np.deg2rad(angle)), np.sin(np.deg2rad(angle))
+    x, y = points.T
+    across, down = np.rint(x * cosine - y * sine + width / 2), np.rint(height / 2 - (x * sine + y * cosine))
     seen = down[(across >= 0) & (across < width) & (down >= 0) & (down < height)].astype(int)
     return float(np.bincount(seen, minlength=height).var())
 
@@ -117,8 +119,16 @@ def pooled(image: np.ndarray) -> np.ndarray:
     return ink.reshape(n, POOL, n, POOL).mean(axis=(1, 3)).ravel().astype(np.float32)
 
 
+def pixel_sums(image: np.ndarray) -> tuple[int, int]:
+    """Sum of the pixels, and the sum weighted by their places (mod ``MARK``), which tells moved pixels."""
+    flat = image.ravel().astype(np.int64)
+    return int(flat.sum()), int(flat @ (np.arange(len(flat)) % MARK))
+
+
 # what is measured, from the grey picture and the stretched one
 MEASURES = {
+    "gray": ("gray_sum long, gray_mark long", lambda grey, clear: pixel_sums(grey)),
+    "contrast": ("contrast_sum long, contrast_mark long", lambda grey, clear: pixel_sums(clear)),
     "skew_angle": ("skew_angle double", lambda grey, clear: (skew_angle(clear),)),
     "blur_score": ("blur_score double", lambda grey, clear: (blur_score(grey),)),
     "otsu": ("otsu int", lambda grey, clear: (otsu(clear),)),
@@ -151,7 +161,7 @@ def measure(images: DataFrame, *wanted: str) -> DataFrame:
             rows = [_measure(wanted, len(measured) - 1, *r) for r in zip(frame["height"], frame["width"], frame["channels"], frame["data"])]
             for i, (column, kind) in enumerate(measured):
                 cells = pd.Series([r[i] for r in rows], index=out.index, dtype=object)
-                out[column] = cells.astype("Int32") if kind == "int" else cells
+                out[column] = cells.astype({"int": "Int32", "long": "Int64"}.get(kind, "object"))
             yield out
 
     return images.mapInPandas(batches, schema)

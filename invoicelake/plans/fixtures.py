@@ -6,7 +6,14 @@ Money is built from whole cents, which keeps every double identical in both engi
 
 from __future__ import annotations
 
+import math
+import struct
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 # The damage planted in a document, by o_orderkey % 10, and what extraction must then report.
 DAMAGE = {
@@ -168,6 +175,22 @@ SELECT page, 256 AS height, 256 AS width, CASE WHEN page % 2 = 1 THEN 3 ELSE 1 E
                                                ELSE concat(lpad(hex(v), 2, '0'), lpad(hex(v), 2, '0'), '00') END), '')) AS data
 FROM grey
 """
+# Lines of text, 12 pixels wide, that rise or fall by -8 to 8 degrees on a page of 128 x 128 pixels; the ink is a vector's.
+SLOPES = ", ".join(f"{math.tan(math.radians(2 * k - 8))!r}e0" for k in range(9))
+TURNED_SQL = f"""
+WITH pages AS (
+  SELECT CAST(floor(vec_id / 100) AS int) AS page, transform(embedding, x -> CAST(greatest(0, least(255, floor((CAST(x AS double) + 1) * 128))) AS int)) AS p,
+         element_at(array({SLOPES}), CAST(floor(vec_id / 100) % 9 AS int) + 1) AS slope
+  FROM {{embeddings}} WHERE vec_id % 100 = 0)
+SELECT page, 128 AS height, 128 AS width, 1 AS channels, unhex(array_join(transform(sequence(0, 16383), i ->
+  CASE WHEN pmod(floor((floor(i / 128) + i % 128 * slope) / 12), 2) = 0 THEN lpad(hex(CAST(floor(p[i % 64] / 4) AS int)), 2, '0') ELSE 'FF' END), '')) AS data
+FROM pages
+"""
+TURNED_PIXELS_DUCK = f"""
+SELECT page, i % 128 AS x, i // 128 AS y, CASE WHEN CAST(floor((i // 128 + i % 128 * slope) / 12) AS int) % 2 = 0 THEN p // 4 ELSE 255 END AS p
+FROM (SELECT page, unnest(range(16384)) AS i, [{SLOPES}][page % 9 + 1] AS slope FROM (SELECT vec_id // 100 AS page FROM embeddings WHERE vec_id % 100 = 0))
+JOIN (SELECT vec_id // 100 AS page, i AS cell, p FROM pixels WHERE vec_id % 100 = 0) USING (page) WHERE cell = i % 64
+"""
 PAGE_PIXELS_DUCK = """
 SELECT page AS vec_id, x, y, CASE WHEN p IS NULL THEN 255 WHEN page % 2 = 1 THEN CAST(floor(p * 0.114e0 + p * 0.587e0 + 0.5) AS int) ELSE p END AS p
 FROM (SELECT page, i % 256 AS x, i // 256 AS y FROM (SELECT page, unnest(range(65536)) AS i FROM (SELECT DISTINCT vec_id // 100 AS page FROM embeddings)))
@@ -235,6 +258,23 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(PAGES_SQL, embeddings=table(spark, folder, "embeddings"))
 
 
+def turned(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(TURNED_SQL, embeddings=table(spark, folder, "embeddings"))
+
+
+@F.pandas_udf(BinaryType())
+def png(height: pd.Series, width: pd.Series, data: pd.Series) -> pd.Series:
+    """Grey pixels as the bytes of a PNG file."""
+    def part(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    def file(h: int, w: int, pixels: bytes) -> bytes:
+        lines = b"".join(b"\0" + pixels[y * w:(y + 1) * w] for y in range(h))
+        return (b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(lines))
+                + part(b"IEND", b""))
+    return pd.Series([file(int(h), int(w), bytes(d)) for h, w, d in zip(height, width, data)])
+
+
 def ocr_text(spark: SparkSession, folder: str, damaged: str = "true") -> DataFrame:
     """Printed invoice text with the damage of ``DAMAGE``; ``damaged`` is a SQL condition on ``k``."""
     return spark.sql(f"""

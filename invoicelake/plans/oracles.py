@@ -129,6 +129,7 @@ TABLES = {
                CASE WHEN original <> doc_id THEN original END AS duplicate_of
         FROM ided i JOIN originals USING (sha256) WHERE NOT earlier""",
     "pixels": fx.PIXELS_DUCK,
+    "turned_pixels": fx.TURNED_PIXELS_DUCK,
     "page_pixels": fx.PAGE_PIXELS_DUCK,
     "clear": """
         SELECT vec_id, i, CAST(round_even(CAST(p AS float) * scale - CAST(low AS float) * scale, 0) AS int) AS p
@@ -203,7 +204,7 @@ NEEDS = {
     "vendors": ["invoices"], "graded": ["extracted", "registry", "truth"], "marks": ["graded"], "prepared": ["graded"],
     "couples": ["prepared"], "scorable": ["graded"], "with_median": ["scorable"], "with_mad": ["with_median"],
     "z_scores": ["with_mad"], "ided": ["docs"], "originals": ["ided"], "new_rows": ["ided", "originals"],
-    "clear": ["pixels"], "page_pixels": ["pixels"], "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
+    "clear": ["pixels"], "page_pixels": ["pixels"], "turned_pixels": ["pixels"], "runs": ["predictions"], "split": ["truth"], "hybrid": ["extracted", "second"], "shown": ["truth"], "hits": ["shown"],
     "texts": ["truth"], "found": ["texts"], "kept_spans": ["found"],
     "keyed": ["z_scores"], "rows_0": ["keyed", "trees"], "sizes": ["rows_0"], "at_0": ["keyed", "trees"],
     "iso_scores": [name for name in TABLES if name.startswith(("nodes_", "at_"))],
@@ -249,6 +250,9 @@ oracle("src_path_sql", """
 oracle("src_csv_truth", """
     SELECT file, invoice_no, vendor_id, vendor_name, gstin, invoice_date, subtotal, gst, total, is_duplicate, is_anomaly
     FROM truth""", "truth")
+oracle("src_csv_quarantine", """
+    SELECT file, subtotal, true AS kept, false AS told FROM truth
+    UNION ALL SELECT file, NULL, false, true FROM truth WHERE is_duplicate = 1""", "truth")
 oracle("snk_partitioned", "SELECT CAST(date_trunc('month', d) AS date) AS ingest_date, count(*) AS n FROM truth GROUP BY 1", "truth")
 oracle("snk_overwrite", "SELECT doc_id, flags FROM extracted WHERE needs_review = 1", "extracted")
 oracle("merge_insert_only", """
@@ -330,6 +334,33 @@ oracle("img_otsu", """
     SELECT vec_id, t AS otsu FROM cuts WHERE above > 0
     QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(below * above * (dark - light) * (dark - light), 6) DESC, t) = 1""", "clear")
 oracle("img_content_box", "SELECT DISTINCT vec_id, 0 AS x0, 0 AS y0, 8 AS x1, 8 AS y1 FROM clear", "clear")
+_CLEAR = """
+    , clear AS (
+      SELECT {key}, x, y, CAST(round_even(CAST(p AS float) * scale - CAST(low AS float) * scale, 0) AS int) AS p
+      FROM {table} JOIN (SELECT {key}, min(p) AS low, CAST(255.0e0 / (max(p) - min(p)) AS float) AS scale FROM {table} GROUP BY {key}) USING ({key}))"""
+oracle("src_images", """
+    SELECT vec_id || '.png' AS file, 8 AS height, 8 AS width, CAST(sum(p) AS bigint) AS gray_sum, CAST(sum(p * i) AS bigint) AS gray_mark, false AS broken FROM pixels GROUP BY vec_id
+    UNION ALL SELECT 'broken.png', NULL, NULL, NULL, NULL, true""", "pixels")
+oracle("img_gray", "SELECT vec_id AS page, CAST(sum(p) AS bigint) AS gray_sum, CAST(sum(p * ((y * 256 + x) % 251)) AS bigint) AS gray_mark FROM page_pixels GROUP BY vec_id",
+       "page_pixels")
+oracle("img_contrast", _CLEAR.format(key="vec_id", table="page_pixels") + """
+    SELECT vec_id AS page, CAST(sum(p) AS bigint) AS contrast_sum, CAST(sum(p * ((y * 256 + x) % 251)) AS bigint) AS contrast_mark FROM clear GROUP BY vec_id""", "page_pixels")
+# the ink of every angle per row of the shrunk page, and the angle at which the rows differ most
+oracle("img_skew_angle", _CLEAR.format(key="page", table="turned_pixels") + """,
+    small AS (SELECT page, x // 4 AS x, y // 4 AS y, CAST(round_even(avg(p), 0) AS int) AS p FROM clear GROUP BY ALL),
+    h AS (SELECT page, p, count(*) AS n FROM small GROUP BY ALL),
+    cuts AS (SELECT a.page, a.p AS t, sum(b.n) FILTER (WHERE b.p <= a.p) AS below, sum(b.n) FILTER (WHERE b.p > a.p) AS above,
+                    sum(b.n * b.p) FILTER (WHERE b.p <= a.p) AS low, sum(b.n * b.p) FILTER (WHERE b.p > a.p) AS high
+             FROM h a JOIN h b USING (page) GROUP BY a.page, a.p),
+    o AS (SELECT page, t FROM cuts WHERE above > 0 QUALIFY row_number() OVER (
+      PARTITION BY page ORDER BY round(below::DOUBLE * above * pow(low / below::DOUBLE - high / above::DOUBLE, 2), 3) DESC, t) = 1),
+    ink AS (SELECT page, x - 16 AS x, y - 16 AS y FROM small JOIN o USING (page) WHERE p <= t),
+    moved AS (SELECT page, angle, round_even(x * cos(radians(angle)) - y * sin(radians(angle)) + 16, 0) AS across,
+                     round_even(16 - (x * sin(radians(angle)) + y * cos(radians(angle))), 0) AS down
+              FROM ink, (SELECT unnest(range(41)) * 0.5e0 - 10 AS angle)),
+    profile AS (SELECT page, angle, down, count(*) AS n FROM moved WHERE across BETWEEN 0 AND 31 AND down BETWEEN 0 AND 31 GROUP BY ALL),
+    spread AS (SELECT page, angle, sum(n * n) / 32.0e0 - pow(sum(n) / 32.0e0, 2) AS v FROM profile GROUP BY ALL)
+    SELECT page, angle AS skew_angle FROM spread QUALIFY row_number() OVER (PARTITION BY page ORDER BY round(v, 6) DESC, angle) = 1""", "turned_pixels")
 oracle("img_page_box", """
     , clear AS (
       SELECT vec_id, x, y, CAST(round_even(CAST(p AS float) * scale - CAST(low AS float) * scale, 0) AS int) AS p
@@ -605,3 +636,4 @@ oracle("lab_resolve_overlaps", "SELECT doc_id, label, s, e FROM kept_spans", "ke
 oracle("lab_complete_only", """
     SELECT count(*) FILTER (WHERE n = 7) AS kept, count(*) FILTER (WHERE n < 7) AS skipped
     FROM (SELECT doc_id, count(*) AS n FROM kept_spans GROUP BY doc_id)""", "kept_spans")
+ORACLES["snk_csv"] = ORACLES["ev_ocr_contains"]

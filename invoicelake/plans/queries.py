@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from invoicelake import schemas
 from invoicelake.plans import fixtures as fx
 from invoicelake.functions import text as T
 from invoicelake.operators import (anomalies, classify, duplicates, evaluation, extract, gold, images, labels, merge,
@@ -162,6 +163,29 @@ def src_csv_truth(spark, d):
     return tables.read_truth_csv(spark, path)
 
 
+@query
+def src_csv_quarantine(spark, d):
+    """The answer key as CSV with copies' lines once more, their subtotal unreadable: rows that fit, and the lines that do not."""
+    path = scratch(spark)
+    rows = truth_columns(spark, d)
+    tables.write_csv(rows, path)
+    bad = rows.filter("is_duplicate = 1").withColumn("subtotal", F.concat(F.lit("Rs "), F.col("subtotal").cast("string")))
+    bad.write.mode("append").csv(path, header=True)
+    good, quarantine = tables.read_csv_checked(spark, path, schemas.TRUTH)
+    return good.select("file", "subtotal", F.lit(True).alias("kept"), F.lit(False).alias("told")).unionByName(quarantine.select(
+        F.element_at(F.split("line", ","), 1).alias("file"), F.lit(None).cast("double").alias("subtotal"), F.lit(False).alias("kept"),
+        F.contains("line", F.lit(",Rs ")).alias("told")))
+
+
+@query
+def snk_csv(spark, d):
+    """A report per file and version, written as CSV and read back."""
+    path = scratch(spark)
+    report = ev_ocr_contains(spark, d)
+    tables.write_csv(report, path)
+    return spark.read.schema(report.schema).csv(path, header=True)
+
+
 @query
 def snk_partitioned(spark, d):
     path = scratch(spark)
@@ -297,6 +321,35 @@ def snk_landing(spark, d):
 
 # ---- image measurements
 
+@query
+def src_images(spark, d):
+    """Pictures written as files and read by Spark's image source; one file is no picture and keeps a row."""
+    folder = f"{scratch(spark)}/pictures"
+    rows = fx.pictures(spark, d).select(F.concat(F.lit(f"{folder}/"), "vec_id", F.lit(".png")).alias("path"), fx.png("height", "width", "data").alias("content"))
+    broken = spark.range(1).select(F.lit(f"{folder}/broken.png").alias("path"), F.lit(b"no picture").alias("content"))
+    files.write_files(rows.unionByName(broken))
+    found = files.read_images(spark, folder).withColumns({"h": F.col("height"), "w": F.col("width")})
+    return images.measure(found, "gray").select(files.file_name_of("path").alias("file"), F.col("h").alias("height"), F.col("w").alias("width"),
+                                                "gray_sum", "gray_mark", F.col("error").isNotNull().alias("broken"))
+
+
+@query
+def img_gray(spark, d):
+    """Grey pages, half of them from coloured ones."""
+    return images.measure(fx.pages(spark, d), "gray").select("page", "gray_sum", "gray_mark")
+
+
+@query
+def img_contrast(spark, d):
+    return images.measure(fx.pages(spark, d), "contrast").select("page", "contrast_sum", "contrast_mark")
+
+
+@query
+def img_skew_angle(spark, d):
+    """Pages whose lines rise or fall."""
+    return images.measure(fx.turned(spark, d), "skew_angle").select("page", "skew_angle")
+
+
 @query
 def img_blur_score(spark, d):
     return images.measure(fx.pictures(spark, d), "blur_score").select("vec_id", F.round("blur_score", 6).alias("blur_score"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoicelake import schemas
+from invoicelake.session import cut_lineage
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -19,6 +20,15 @@ def read_typed(spark: SparkSession, path: str, schema: str, form: str = "parquet
     return nan_to_null(spark.read.schema(schema).options(**options).format(form).load(path))
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of CSV files: the lines that fit the declared schema, and ``line``, the text of all others.
+
+    The files are read once. A line with too few or too many fields or a value that is not of its type goes to the quarantine as a whole.
+    """
+    checked = cut_lineage(read_typed(spark, path, f"{schema}, _line string", "csv", header="true", mode="PERMISSIVE", columnNameOfCorruptRecord="_line"))
+    return checked.filter("_line IS NULL").drop("_line"), checked.filter("_line IS NOT NULL").select(F.col("_line").alias("line"))
+
+
 def read_truth_csv(spark: SparkSession, path: str) -> DataFrame:
     """The answer key."""
     return read_typed(spark, path, schemas.TRUTH, "csv", header="true")
