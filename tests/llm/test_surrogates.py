@@ -110,3 +110,29 @@ def test_nothing_is_left_of_long_entities(spark):
         assert gone not in three
     assert "AbAb" not in four and " Cd" not in four and "Stone" not in four and "Hill" not in four and "Don alone" not in four
     assert re.match(r"Frau Dr\. (\w+)", five).group(1) in surrogates.GIVEN["latin", "f"] and "Luz" not in five and "Xy" not in five
+
+
+def test_mentions_without_a_title_and_neutral_titles(spark):
+    rows = [(1, "Mr John Smith came; Smith left, John Smith too. Smithson stays."), (2, "Dr. Anna Brown and Frau Dr. Anna Brown; later Anna Brown."),
+            (3, "Prof. Kim Doe"), (4, "Dr. Παπαδόπουλος, Mr 王小明 left. 王小明!"), (5, "Smith and John Smith without a title")]
+    out = run(spark, rows)
+    one = re.fullmatch(r"Mr (\w+) (\w+) came; (\w+) left, (\w+ \w+) too\. Smithson stays\.", text(out, 1))
+    assert one.group(3) == one.group(2) != "Smith" and one.group(4) == f"{one.group(1)} {one.group(2)}"
+    two = re.fullmatch(r"Dr\. (\w+ \w+) and Frau Dr\. (\w+ \w+); later (\w+ \w+)\.", text(out, 2))
+    assert len(set(two.groups())) == 1 and two.group(1).split()[0] in surrogates.GIVEN["latin", "f"]
+    assert text(out, 3).split()[1] in surrogates.GIVEN["latin", "n"]
+    four = re.fullmatch(r"Dr\. ([\u0370-\u03ff]{12}), Mr ([\u4e00-\u9fff]{3}) left\. (\S+)!", text(out, 4))
+    assert four.group(2) == four.group(3) != "王小明" and four.group(1) != "Παπαδόπουλος"
+    assert text(out, 5) == rows[4][1]
+
+
+def test_more_forms(spark):
+    rows = [(1, "password=ab,cdefgh, then pwd: x1 and password:y2 {\"password\": \"z3\"}"), (2, "sk-abcdefghij0123456789 ghp_abcdefghij0123456789AB end"),
+            (3, "from 2001:0db8:85a3:0000:0000:8a2e:0370:7334 or fe80::1a2b at 12:30:45 std::vector"), (4, "call 0171 2345678 now"),
+            (5, "order 4000038985693384 is no card, 4111 1111 1111 1111 is"), (6, "to " + "a" * 100 + "@" + "sub." * 12 + "verylongtopleveldomainname. End")]
+    out = run(spark, rows)
+    for secret in ("ab,cdefgh", "x1", "y2", "z3", "abcdefghij", "85a3", "fe80::1a2b", "2345678", "4111 1111", "aaaa", "sub.sub"):
+        assert all(secret not in r["text"] for r in out)
+    assert text(out, 3).endswith(" at 12:30:45 std::vector") and re.search(r" or [0-9a-f]{4}::[0-9a-f]{4} at", text(out, 3))
+    assert "order 4000038985693384 is no card" in text(out, 5) and [r["n_entities"] for r in out if r["doc_id"] == 5] == [1]
+    assert text(out, 6).endswith(".verylongtopleveldomainname. End")
