@@ -6,8 +6,9 @@ Compared with the templates, as sets of words, are the units of a file:
 * every block of neighbouring lines that are all comments or all other text (blank lines end a block), such as a header wrapped over several lines,
 * the whole text of a file that is named like a licence.
 
-A word weighs ``ln((files + 1) / (files with the word + 1)) + 1``, template word or not. Weights lie at 1 or above, so a unit can only reach ``LEAST`` if its template
-words, at their real weights, can carry all its other words at weight 1. The units that can are few, and only for their words are files counted.
+A word weighs ``ln((files + 1) / (files with the word + 1)) + 1``, template word or not. Weights lie at 1 or above, so with K the squared weights of its template words a
+unit of m other words has a squared length of K + m at least, a product with a template of K at most, and a cosine of K / sqrt((K + m) T) at most, T being the smallest
+squared length of a template. The units for which that reaches ``LEAST`` are few, and only their words need weights.
 
 The best template of at least ``LEAST`` is the file's own licence. A file named like a licence, or one whose first line or block is a notice, speaks
 for its directory. A file without a licence of its own takes that of the nearest directory at or above its own that has one (its best notice, then the
@@ -145,13 +146,18 @@ def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, lea
     counted = _files_with(files, known).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     df = dict.fromkeys(vocabulary, 0) | {row["word"]: row["df"] for row in counted.collect()}  # as many as the templates have words
     squares = sorted((weight(total, df[word]) ** 2, word) for word in vocabulary)
+    of_word = {word: square for square, word in squares}
+    lengths: dict[tuple[str, int], float] = {}
+    for name, k, word in pairs:
+        lengths[name, k] = lengths.get((name, k), 0.0) + of_word[word]
     part = -(-len(squares) // CLASSES)
     classes = [squares[k:k + part] for k in range(0, len(squares), part)]
 
     def possible(unit: Column) -> Column:
         inside = [F.size(F.array_intersect(unit["words"], F.array(*(F.lit(word) for _, word in group)))) for group in classes]
         most = sum((n * F.lit(group[-1][0]) for n, group in zip(inside, classes)), F.lit(0.0))
-        return (most > 0) & (most >= least * least * (most + F.size(unit["words"]) - sum(inside, F.lit(0))) - 1e-9)
+        length = most + F.size(unit["words"]) - sum(inside, F.lit(0))
+        return (most > 0) & (most >= least * least * length - 1e-9) & (most * most >= least * least * min(lengths.values()) * length * (1 - 1e-9))
     tagged = files.withColumn("file", F.monotonically_increasing_id())
     rows = stored(_units(tagged).select("file", "doc_id", "path", F.filter("units", possible).alias("units")), "licence-units")
     units = rows.select("file", F.posexplode("units").alias("unit", "x")).select("file", "unit", "x.top", "x.words")
@@ -159,7 +165,8 @@ def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, lea
     outside = stored(terms.select("word").distinct().filter(~F.col("word").isin(vocabulary)), "licence-words")
     n = F.lit(total).cast("double")
     own = F.pow(F.log((n + 1) / (F.col("df") + 1)) + 1, 2)
-    rare = _files_with(files).join(outside, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    # summed in the tasks before words move, so this holds for any number of them
+    rare = _files_with(files).groupBy("word").agg(F.count(F.lit(1)).alias("df")).join(outside, "word", "left_semi")
     inside = spark.createDataFrame(list(df.items()), "word string, df long")
     single = stored(rare.unionByName(inside).select("word", own.alias("w2")), "licence-weights")
     table = spark.createDataFrame(pairs, "licence string, template int, word string").join(single, "word")
