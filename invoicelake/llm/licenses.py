@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from invoicelake.llm.common import stored
 
 LEAST = 0.75
-CLASSES = 6  # of template words by weight, for the bound
+CLASS_RATIO = 1.25  # squared weights of the template words of one class differ by this at most, for the bound
 _GNU = ("is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either "
         "version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. ")
@@ -150,30 +150,44 @@ def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, lea
     lengths: dict[tuple[str, int], float] = {}
     for name, k, word in pairs:
         lengths[name, k] = lengths.get((name, k), 0.0) + of_word[word]
-    part = -(-len(squares) // CLASSES)
-    classes = [squares[k:k + part] for k in range(0, len(squares), part)]
+    classes: list[list[tuple[float, str]]] = []
+    for square, word in squares:
+        if not classes or square > classes[-1][0][0] * CLASS_RATIO:
+            classes.append([])
+        classes[-1].append((square, word))
+
+    known_part = F.transform("units", lambda u: F.struct(u["top"].alias("top"), u["words"].alias("words"), F.array_intersect(u["words"], known).alias("known")))
+    sized = F.transform(F.filter(known_part, lambda u: F.size(u["known"]) > 0), lambda u: F.struct(
+        u["top"].alias("top"), u["words"].alias("words"), F.size(u["known"]).alias("n"),
+        F.array(*(F.size(F.array_intersect(u["known"], F.array(*(F.lit(word) for _, word in group)))) for group in classes)).alias("counts")))
+
+    squared = F.array(*(F.lit(length) for length in sorted(set(lengths.values()))))
 
     def possible(unit: Column) -> Column:
-        inside = [F.size(F.array_intersect(unit["words"], F.array(*(F.lit(word) for _, word in group)))) for group in classes]
-        most = sum((n * F.lit(group[-1][0]) for n, group in zip(inside, classes)), F.lit(0.0))
-        length = most + F.size(unit["words"]) - sum(inside, F.lit(0))
-        return (most > 0) & (most >= least * least * length - 1e-9) & (most * most >= least * least * min(lengths.values()) * length * (1 - 1e-9))
+        low, high = (sum((F.get(unit["counts"], F.lit(k)) * F.lit(group[end][0]) for k, group in enumerate(classes)), F.lit(0.0)) for end in (0, -1))
+        others = F.size(unit["words"]) - unit["n"]
+        return F.exists(squared, lambda t: (t >= least * least * (low + others) * (1 - 1e-9)) & (t * least * least * (high + others) * (1 - 1e-9) <= high * high))
+    kept = F.transform(F.filter(sized, possible), lambda u: F.struct(u["top"].alias("top"), u["words"].alias("words")))
     tagged = files.withColumn("file", F.monotonically_increasing_id())
-    rows = stored(_units(tagged).select("file", "doc_id", "path", F.filter("units", possible).alias("units")), "licence-units")
+    rows = stored(_units(tagged).select("file", "doc_id", "path", kept.alias("units")), "licence-units")
     units = rows.select("file", F.posexplode("units").alias("unit", "x")).select("file", "unit", "x.top", "x.words")
-    terms = units.select("file", "unit", "top", F.explode("words").alias("word"))
-    outside = stored(terms.select("word").distinct().filter(~F.col("word").isin(vocabulary)), "licence-words")
-    n = F.lit(total).cast("double")
-    own = F.pow(F.log((n + 1) / (F.col("df") + 1)) + 1, 2)
-    # summed in the tasks before words move, so this holds for any number of them
-    rare = _files_with(files).groupBy("word").agg(F.count(F.lit(1)).alias("df")).join(outside, "word", "left_semi")
-    inside = spark.createDataFrame(list(df.items()), "word string, df long")
-    single = stored(rare.unionByName(inside).select("word", own.alias("w2")), "licence-weights")
-    table = spark.createDataFrame(pairs, "licence string, template int, word string").join(single, "word")
-    table = table.join(table.groupBy("licence", "template").agg(F.sum("w2").alias("template2")), ["licence", "template"])
-    norms = terms.join(single, "word").groupBy("file", "unit").agg(F.sum("w2").alias("unit2"), F.max("top").alias("top"))
+    terms = units.select("file", "unit", "top", F.size("words").alias("size"), F.explode("words").alias("word"))
+    inside = F.broadcast(spark.createDataFrame(list(of_word.items()), "word string, w2 double"))  # a row per template word
+    table = F.broadcast(spark.createDataFrame([(name, k, word, of_word[word], lengths[name, k]) for name, k, word in pairs],
+                                              "licence string, template int, word string, w2 double, template2 double"))
+    own = terms.join(inside, "word").groupBy("file", "unit").agg(F.sum("w2").alias("known2"), (F.max("size") - F.count(F.lit(1))).alias("others"), F.max("top").alias("top"))
     dots = terms.join(table, "word").groupBy("file", "unit", "licence", "template").agg(F.sum("w2").alias("dot"), F.max("template2").alias("template2"))
-    scored = dots.join(norms, ["file", "unit"]).withColumn("similarity", F.round(F.col("dot") / F.sqrt(F.col("unit2") * F.col("template2")), 6))
+    # once more the bound, now with the products themselves
+    near = F.col("dot") >= least * (1 - 1e-9) * F.sqrt((F.col("known2") + F.col("others")) * F.col("template2"))
+    near = stored(dots.join(own, ["file", "unit"]).filter(near), "licence-candidates")
+    strange = stored(terms.join(near.select("file", "unit").distinct(), ["file", "unit"]).filter(~F.col("word").isin(vocabulary)).select("file", "unit", "word"), "licence-words")
+    # few words are asked for (Spark broadcasts them when they are small by their measured size), and they are counted in the tasks
+    rare = _files_with(files).join(strange.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    n = F.lit(total).cast("double")
+    rare = rare.select("word", F.pow(F.log((n + 1) / (F.col("df") + 1)) + 1, 2).alias("w2"))
+    rest = strange.join(rare, "word").groupBy("file", "unit").agg(F.sum("w2").alias("other2"))
+    unit2 = F.col("known2") + F.coalesce("other2", F.lit(0.0))
+    scored = near.join(rest, ["file", "unit"], "left").withColumn("similarity", F.round(F.col("dot") / F.sqrt(unit2 * F.col("template2")), 6))
     best = scored.filter(F.col("similarity") >= least).groupBy("file").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "licence")).alias("best"), F.max("top").alias("first_line"))
     return rows.select("file", "doc_id", "path"), best.select("file", F.col("best.licence").alias("licence"),
