@@ -54,15 +54,22 @@ def unused(name: str, columns: list[str]) -> str:
 def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a number for every row, and the name of that column: rows that share an id, have none, or are equal are told apart.
 
-    The number is the row's place in the scan, so ``docs`` has to be a table read from files, whose places do not change.
+    The number is the row's place in the scan, so ``docs`` has to be a table read from files. Scans are cut by the number of cores, which falls
+    when an executor is lost; the number of the first call is therefore kept for the session, so that places do not change between two reads.
     """
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.files.minPartitionNum", None) is None:
+        conf.set("spark.sql.files.minPartitionNum", str(docs.sparkSession.sparkContext.defaultParallelism))
     name = unused("__row", docs.columns)
     return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
 def without_rows(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
-    """``docs`` (see ``with_row``) without the rows whose numbers are in the first column of ``dropped``."""
-    return docs.join(dropped.toDF(row), row, "left_anti").select(*(c for c in docs.columns if c != row))
+    """``docs`` (see ``with_row``) without the rows whose numbers are in the first column of ``dropped``.
+
+    The numbers are a table of their own, so their size is known when the join is planned: Spark broadcasts a small one, and no text moves.
+    """
+    return docs.join(stored(dropped.toDF(row), "dropped"), row, "left_anti").select(*(c for c in docs.columns if c != row))
 
 
 def later_copies(docs: DataFrame, row: str, groups: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token ids as Arrow files of equal-length sequences and masks.
 
 A written folder has, for every shard, ``part-NNNNN.tokens.arrow`` (record batches of ``ROWS`` sequences, each a fixed-size list of
-``length`` ids and one of ``length`` mask bits; the last sequence of a shard is filled with 0 and masked) and
+``length`` ids and one of ``length`` mask bytes, 1 or 0; the last sequence of a shard is filled with 0 and masked) and
 ``part-NNNNN.docs.arrow`` (doc_id, first id in the shard, number of ids, in doc_id order). Fixed-size lists lie contiguously, so
 the sequence i of a shard is a slice of a memory-mapped file. Ids are unsigned 16-bit where the vocabulary allows it.
 
@@ -43,7 +43,7 @@ class _Writer:
 
     def __init__(self, sink: pa.NativeFile, length: int, wide: bool):
         self.length, self.type = length, pa.uint32() if wide else pa.uint16()
-        self.schema = pa.schema([("ids", pa.list_(self.type, length)), ("mask", pa.list_(pa.bool_(), length))])
+        self.schema = pa.schema([("ids", pa.list_(self.type, length)), ("mask", pa.list_(pa.uint8(), length))])
         self.file, self.held, self.count = pa.ipc.new_file(sink, self.schema), [], 0
 
     def add(self, ids: np.ndarray) -> None:
@@ -57,7 +57,7 @@ class _Writer:
             self.held, self.count = [rest[whole:]], len(rest) - whole
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = np.arange(len(ids)) < real
+        mask = (np.arange(len(ids)) < real).astype(np.uint8)
         self.file.write_batch(pa.RecordBatch.from_arrays(
             [pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length), pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length)],
             schema=self.schema))
@@ -72,7 +72,8 @@ class _Writer:
 def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """Encode all documents into ``folder``, which every executor must reach; returns ``shard, n_docs, n_tokens`` per shard.
 
-    NULL text is empty; documents with equal ids stand in the order of their texts; a NULL id comes first.
+    NULL text is empty; documents with equal ids stand in the order of their texts; a NULL id comes first. Ranges
+    may also be cut inside an id that many rows share, by the beginning of the text; the sort looks at whole texts.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = Encoder.of(tokenizer), TaskContext.get().partitionId()
@@ -101,7 +102,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH) ->
         for kind in ("tokens", "docs"):
             target.move(f"{name}.{kind}.arrow{own}", f"{name}.{kind}.arrow")
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_docs": [sum(len(x) for x in index)], "n_tokens": [total]})
-    rows = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = texts(docs).repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return stored(rows.mapInArrow(run, "shard int, n_docs long, n_tokens long"), "token-shards")
 
 
@@ -115,10 +116,10 @@ class Shard:
         self.length = self.tokens.schema.field("ids").type.list_size
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view of the file) and mask of sequence i."""
+        """Ids and mask of sequence i, both views of the file."""
         batch, row = self.tokens.get_batch(i // ROWS), i % ROWS
         view = slice(row * self.length, (row + 1) * self.length)
-        return batch.column(0).flatten().to_numpy()[view], batch.column(1).flatten()[view].to_numpy(zero_copy_only=False)
+        return batch.column(0).flatten().to_numpy()[view], batch.column(1).flatten().to_numpy()[view].view(bool)
 
     def ids(self, first: int, count: int) -> Iterator[np.ndarray]:
         """The ids from ``first`` on, in views of one batch each."""

@@ -1,4 +1,6 @@
+import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -124,3 +126,96 @@ def test_pooling_in_blocks_changes_nothing(monkeypatch):
             assert np.allclose(whole[k, i * toxicity.FILTERS:(i + 1) * toxicity.FILTERS], best, atol=1e-5)
     monkeypatch.setattr(toxicity, "BLOCK_WORDS", 16)
     assert np.allclose(net.pooled(words, counts), whole, atol=1e-6)
+
+
+def small_network(rng, words=30):
+    """A network in double precision over ``words`` rows, row 0 being the rare word."""
+    embedding = rng.normal(0, 0.5, (words, toxicity.DIMENSION))
+    embedding[0] = 0
+    filters = [rng.normal(0, 0.5, (w, toxicity.DIMENSION, toxicity.FILTERS)) for w in toxicity.WIDTHS]
+    size = toxicity.FILTERS * len(toxicity.WIDTHS)
+    return toxicity.Network(np.arange(words), embedding, filters, rng.normal(0, 0.1, size), rng.normal(0, 0.5, size), 0.2)
+
+
+def plain_loss(net, texts, labels, weights, kept):
+    """The loss of a batch, word by word and filter by filter."""
+    total = 0.0
+    for r, text in enumerate(texts):
+        vectors = [sum(net.embedding[row] for row in word) for word in text]
+        margin = net.offset
+        for i, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best, cell = 0.0, i * toxicity.FILTERS + f
+                for p in range(len(text) - width + 1):
+                    best = max(best, net.bias[cell] + sum(float(vectors[p + j] @ net.filters[i][j][:, f]) for j in range(width)))
+                margin += best * kept[r, cell] * net.output[cell]
+        total += weights[r] * (math.log1p(math.exp(-abs(margin))) + max(margin, 0) - labels[r] * margin) / len(texts)
+    return total + 0.5e-4 * float(net.output @ net.output)
+
+
+def test_one_gradient_step_against_a_plain_loop(monkeypatch):
+    rng = np.random.default_rng(5)
+    net = small_network(rng)
+    texts = [rng.integers(1, 30, (n, 1 + len(toxicity.PREFIXES))) for n in (0, 1, 2, 5, 11)]
+    labels, weights, kept = np.array([0, 1, 1, 0, 1]), rng.random(5) + 0.5, (rng.random((5, len(net.bias))) < 0.8) / 0.8
+    lengths = np.array([len(t) for t in texts])
+    grid = np.zeros((5, 11 + max(toxicity.WIDTHS) - 1, 1 + len(toxicity.PREFIXES)), np.int32)
+    for r, text in enumerate(texts):
+        grid[r, :len(text)] = text
+    whole = toxicity._gradient(net, grid, lengths, labels, weights, kept)
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 15)  # three words of each text at a time
+    slopes, offset = toxicity._gradient(net, grid, lengths, labels, weights, kept)
+    assert all(np.allclose(slopes[k], whole[0][k], atol=1e-12) for k in slopes)
+    step = 1e-6
+
+    def numerical(array, cell):
+        held, ends = array[cell], []
+        for sign in (1, -1):
+            array[cell] = held + sign * step
+            ends.append(plain_loss(net, texts, labels, weights, kept))
+        array[cell] = held
+        return (ends[0] - ends[1]) / 2 / step
+    for name, array in net.parameters().items():
+        cells = [tuple(int(rng.integers(0 if k else name == "embedding", n)) for k, n in enumerate(array.shape)) for _ in range(25)]
+        assert all(abs(slopes[name][cell] - numerical(array, cell)) < 1e-6 for cell in cells), name
+    net.offset += step
+    up = plain_loss(net, texts, labels, weights, kept)
+    net.offset -= 2 * step
+    assert abs(offset - (up - plain_loss(net, texts, labels, weights, kept)) / 2 / step) < 1e-6
+
+
+def test_training_holds_one_batch_beside_the_sample():
+    rng = np.random.default_rng(2)
+    lengths = [*rng.integers(5, 60, 64).tolist(), 1_000_000]
+    texts = [rng.integers(0, 1 << toxicity.BITS, (n, 1 + len(toxicity.PREFIXES))).astype(np.int32) for n in lengths]
+    tracemalloc.start()
+    toxicity._train(texts, np.arange(len(texts)) % 2, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * texts[-1].nbytes  # the features of the text are 16 MB; all its answers at once would be 250
+    groups = toxicity._batches(np.array(lengths), 32)
+    assert sorted(np.concatenate(groups).tolist()) == list(range(len(texts))) and [len(g) for g in groups] == [32, 32, 1]
+
+
+def test_ratios_and_dual_descent_against_plain_solvers():
+    rng = np.random.default_rng(9)
+    rows, labels = [rng.choice(40, 8, replace=False) for _ in range(14)], np.array([0, 1] * 7)
+    scale = quality._ratios(rows, labels)
+    counts = [[1.0] * quality.CELLS, [1.0] * quality.CELLS]
+    for row, label in zip(rows, labels):
+        for cell in row:
+            counts[label][cell] += 1
+    for cell in range(45):
+        assert abs(scale[cell] - math.log(counts[1][cell] / sum(counts[1]) / (counts[0][cell] / sum(counts[0])))) < 1e-9
+    signs, cost = np.where(labels == 1, 1.0, -1.0), np.full(14, 0.7)
+    x = np.zeros((14, 41))
+    for k, row in enumerate(rows):
+        x[k, row] = scale[row] / np.sqrt(np.square(scale[row]).sum())
+    x[:, 40] = 1  # the bias
+    gram = (signs[:, None] * x) @ (signs[:, None] * x).T
+    alpha = np.zeros(14)
+    for _ in range(200_000):
+        alpha = np.clip(alpha - (gram @ alpha - 1) / 30, 0, cost)
+    want = (alpha * signs) @ x
+    weights, bias = quality._descend(rows, signs, scale, cost, 2_000, 0)
+    assert np.allclose(weights[:40], want[:40], atol=0.01) and abs(bias - want[40]) < 0.01

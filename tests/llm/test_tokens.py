@@ -74,6 +74,29 @@ def test_sequences_and_masks(spark):
         assert np.concatenate(all_ids).tolist() == np.concatenate(list(file.ids(0, total))).tolist()
 
 
+def test_ids_and_masks_are_views_of_the_file(spark):
+    folder = new_folder(spark, "tokens")
+    shards = token_file.write(frame(spark, [(1, "word " * 4_000)]), folder, PATH, 128)
+    file, before = token_file.Shard(folder, shards.first()["shard"]), pa.total_allocated_bytes()
+    held = [file.sequence(i) for i in (0, 1, 0)]
+    for k in (0, 1):
+        assert np.shares_memory(held[0][k], held[2][k]) and not np.shares_memory(held[0][k], held[1][k])
+    assert pa.total_allocated_bytes() == before and held[0][1].dtype == bool
+
+
+def test_one_id_of_many_rows_is_cut_and_keeps_its_order(spark):
+    texts = sorted(f"{k:03d} {'x' * (k % 7)}" for k in range(400))
+    folder = new_folder(spark, "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_file.write(frame(spark, [(7, t) for t in reversed(texts)]).repartition(3), folder, PATH)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert shards.count() > 1
+    got = token_file.read(spark, folder, shards).orderBy("start").select("ids_crc32").collect()
+    assert [r[0] for r in got] == [zlib.crc32(ids) for ids in direct(texts)]
+
+
 def test_writing_again_leaves_the_same_files(spark):
     folder = new_folder(spark, "tokens")
     first = token_file.write(frame(spark, ROWS), folder, PATH).collect()
