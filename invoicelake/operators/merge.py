@@ -39,6 +39,14 @@ def newest_per_key(changes: DataFrame, key: str, version: str) -> DataFrame:
     return changes.groupBy(key).agg(newest).select("row.*")
 
 
+def applied(target: DataFrame, changes: DataFrame, key: str, at: str = "v") -> DataFrame:
+    """``target`` after ``changes`` (rows with ``op`` and the version in ``at``). Rows whose key did not change are only read past the changed
+    keys; a NULL key is a key like any other."""
+    newest = newest_per_key(changes, key, at).filter("op = 'UPSERT'").drop("op", at)
+    keys = changes.select(F.col(key).alias("__changed"))
+    return target.join(keys, F.col(key).eqNullSafe(F.col("__changed")), "left_anti").unionByName(newest)
+
+
 def as_of(changes: DataFrame, key: str, version: int, at: str = "v") -> DataFrame:
     """The table after ``version``, from its changes: rows with ``op`` (UPSERT or DELETE) and the version in ``at``."""
     newest = newest_per_key(changes.filter(F.col(at) <= version), key, at)

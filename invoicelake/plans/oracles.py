@@ -274,6 +274,27 @@ oracle("table_version_as_of", """
     UNION ALL SELECT 1, count(*), max(o_totalprice), CAST(sum(o_orderkey) AS bigint) FROM merged
     UNION ALL SELECT 2, count(*), max(o_totalprice), CAST(sum(o_orderkey) AS bigint) FROM kept""", "target", "later")
 
+oracle("table_stored_history", """
+    SELECT CAST(0 AS bigint) AS version, 'CREATE' AS operation, (SELECT count(*) FROM target) AS upserts, CAST(0 AS bigint) AS deletes, false AS whole
+    UNION ALL SELECT 1, 'MERGE', (SELECT count(*) FROM later), 0, false
+    UNION ALL SELECT 2, 'DELETE', 0, (SELECT count(*) FROM later WHERE o_orderstatus = 'F'), true
+    UNION ALL SELECT 3, 'MERGE', (SELECT count(*) FROM later WHERE o_orderstatus = 'F'), 0, false
+    UNION ALL SELECT 4, 'MERGE', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'), 0, true""", "target", "later")
+oracle("table_stored_as_of", """
+    , o AS (SELECT o_orderkey, year(o_orderdate) AS y, o_orderstatus, o_totalprice AS p FROM orders),
+    r AS (SELECT v AS version, o_orderkey, o_orderstatus, CASE
+            WHEN v = 4 AND o_orderstatus = 'P' THEN p + 1
+            WHEN v = 0 OR y < 1997 OR v >= 3 AND o_orderstatus = 'F' THEN p ELSE p * 2 END AS price
+          FROM o, (SELECT unnest(range(5)) AS v)
+          WHERE NOT (v = 0 AND y > 1998) AND NOT (v = 2 AND y >= 1997 AND o_orderstatus = 'F'))
+    SELECT CAST(version AS int) AS version, o_orderstatus, count(*) AS n, max(price) AS largest, CAST(sum(o_orderkey) AS bigint) AS keys,
+           CAST(sum(CAST(price AS decimal(24, 2))) AS double) AS spend
+    FROM r GROUP BY version, o_orderstatus""", "target")
+oracle("snk_partitioned_pruned", """
+    SELECT CAST(year(o_orderdate) AS int) AS year, monthname(o_orderdate) AS month_name, count(*) AS n,
+           CAST(sum(CAST(o_totalprice AS decimal(24, 2))) AS double) AS spend
+    FROM orders WHERE quarter(o_orderdate) = 4 GROUP BY 1, 2""")
+
 # ---- registry and OCR words
 
 _DISK = "regexp_replace(path, '/0', '/a b/0') AS path"
@@ -289,6 +310,16 @@ oracle("snk_landing", f"""
     SELECT min(path) AS path, sha256, DATE '2026-01-02' AS ingest_date FROM d GROUP BY sha256""", "docs")
 oracle("ing_fingerprint", "SELECT path, length, sha256 FROM docs", "docs")
 oracle("ing_skip_seen", "SELECT path, sha256 FROM docs WHERE NOT earlier", "docs")
+oracle("ing_skip_seen_stored", "SELECT path, sha256 FROM docs WHERE NOT earlier", "docs")
+oracle("ing_register_stored", """
+    , first AS (SELECT path, sha256, 0 AS run, path <> min(path) OVER (PARTITION BY sha256) AS copy, min(path) OVER (PARTITION BY sha256) AS original
+                FROM docs WHERE earlier),
+    new AS (SELECT d.path, d.sha256, 1 AS run, coalesce(f.original, min(d.path) OVER (PARTITION BY d.sha256)) AS original
+            FROM docs d LEFT JOIN (SELECT DISTINCT sha256, original FROM first) f USING (sha256) WHERE NOT earlier),
+    everything AS (SELECT path, sha256, run, original, copy FROM first UNION ALL SELECT path, sha256, run, original, path <> original FROM new)
+    SELECT CAST(r.run AS int) AS run, CASE WHEN copy THEN 'DUPLICATE_EXACT' ELSE 'INGESTED' END AS status, count(*) AS n,
+           count(DISTINCT sha256) AS contents, count(DISTINCT CASE WHEN copy THEN original END) AS originals
+    FROM everything e JOIN (SELECT unnest(range(2)) AS run) r ON e.run <= r.run GROUP BY 1, 2""", "docs")
 oracle("ing_exact_duplicate", "SELECT path AS source_path, status, duplicate_of FROM new_rows", "new_rows")
 oracle("ing_registry_row", """
     SELECT doc_id, split_part(path, '/', 2) AS file_name, path AS source_path,

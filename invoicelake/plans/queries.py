@@ -14,7 +14,8 @@ from invoicelake.operators import (anomalies, classify, duplicates, evaluation,
                                    metrics, ocr, registry, silver, splits)
 from invoicelake.plans import flow
 from invoicelake.session import cut_lineage, shared_folder
-from invoicelake.sources import files, tables
+from invoicelake.sources import files, registry_store, tables
+from invoicelake.sources.change_table import ChangeTable
 
 AS_OF = "2000-01-01"
 CALENDAR = ("1995-01-01", "2001-12-31")
@@ -194,6 +195,23 @@ def snk_partitioned(spark, d):
     return tables.snapshot(spark, path).groupBy("ingest_date").agg(F.count("*").alias("n"))
 
 
+@query
+def snk_partitioned_pruned(spark, d):
+    """A star join over a table stored by month: the filter on the calendar's quarter prunes the months at run time."""
+    fact, calendar = scratch(spark), scratch(spark)
+    month = F.trunc("o_orderdate", "month")
+    orders = fx.table(spark, d, "orders")
+    tables.write_partitioned(orders.select("o_orderkey", "o_totalprice", "o_orderdate", month.alias("order_month")), fact, "order_month")
+    days = gold.dim_date(spark, "1990-01-01", "2005-12-31")
+    tables.overwrite(days.filter(F.dayofmonth("date") == 1).select(F.col("date").alias("order_month"), "year", "quarter", "month_name"), calendar)
+    return quarter_spend(tables.snapshot(spark, fact), tables.snapshot(spark, calendar), 4)
+
+
+def quarter_spend(fact, calendar, quarter: int) -> DataFrame:
+    return (fact.join(calendar.filter(F.col("quarter") == quarter), "order_month").groupBy("year", "month_name")
+            .agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(24, 2)")).cast("double").alias("spend")))
+
+
 @query
 def snk_overwrite(spark, d):
     """A rebuilt table replaces the old rows and columns."""
@@ -234,6 +252,41 @@ def table_version_as_of(spark, d):
     return out
 
 
+def stored_orders(spark, d) -> ChangeTable:
+    """Five versions of a stored table: created, updated, deleted from, missing rows added, updated again; a snapshot after every second."""
+    target, later = order_batches(spark, d)
+    orders = fx.table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), "o_orderstatus", "o_totalprice")
+    stored = ChangeTable(spark, scratch(spark), "o_orderkey", snapshot_every=2)
+    stored.merge(target)
+    stored.merge(later)
+    stored.delete(later.filter("o_orderstatus = 'F'"))
+    stored.merge(orders, update=False)
+    stored.merge(orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    return stored
+
+
+@query
+def table_stored_history(spark, d):
+    """The commit log of the stored table, and which versions are stored as a whole."""
+    stored = stored_orders(spark, d)
+    whole = stored.snapshots().select("version", F.lit(True).alias("whole"))
+    return (stored.history().drop("committed_at").join(whole, "version", "left")
+            .withColumn("whole", F.coalesce("whole", F.lit(False))))
+
+
+@query
+def table_stored_as_of(spark, d):
+    """Every version read back, from the snapshot before it and the changes since."""
+    stored, out = stored_orders(spark, d), None
+    for version in range(stored.version() + 1):
+        rows = stored.read(version).groupBy("o_orderstatus").agg(
+            F.count("*").alias("n"), F.max("o_totalprice").alias("largest"), F.sum("o_orderkey").alias("keys"),
+            F.sum(F.col("o_totalprice").cast("decimal(24, 2)")).cast("double").alias("spend"))
+        rows = rows.select(F.lit(version).alias("version"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ---- registry and OCR words
 
 @query
@@ -246,6 +299,32 @@ def ing_skip_seen(spark, d):
     return registry.skip_seen(*prints_and_registry(spark, d)).select("path", "sha256")
 
 
+@query
+def ing_skip_seen_stored(spark, d):
+    """The new files against a registry stored by digest prefix: only the partitions a batch touches are read."""
+    prints, known = prints_and_registry(spark, d)
+    path = scratch(spark)
+    registry_store.append(known, path)
+    return registry.skip_seen(prints, registry_store.touched(spark, path, prints)).select("path", "sha256")
+
+
+@query
+def ing_register_stored(spark, d):
+    """The files registered in two runs through the stored registry; what it holds after each, by status."""
+    path, out = scratch(spark), None
+    first = F.col("source").isin(FIRST_SOURCES)
+    prints = cut_lineage(files.fingerprint_content(document_files(spark, d)))
+    earlier = files.fingerprint_content(document_files(spark, d).filter(first))
+    registry_store.append(spark.createDataFrame([], schemas.DOCUMENTS), path)
+    for run, batch in enumerate((earlier, prints)):
+        registry_store.append(registry.register(batch, registry_store.touched(spark, path, batch), run_time=RUN_TIME), path)
+        held = cut_lineage(registry_store.read(spark, path).groupBy("status").agg(F.count("*").alias("n"), F.countDistinct("sha256").alias("contents"),
+                                                                       F.countDistinct("duplicate_of").alias("originals")))
+        held = held.select(F.lit(run).alias("run"), "*")
+        out = held if out is None else out.unionByName(held)
+    return out
+
+
 @query
 def ing_exact_duplicate(spark, d):
     return registered(spark, d).select("source_path", "status", "duplicate_of")

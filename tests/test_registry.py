@@ -2,7 +2,7 @@ import hashlib
 
 from invoicelake.operators import registry
 from invoicelake.schemas import DOCUMENTS
-from invoicelake.sources import files
+from invoicelake.sources import files, registry_store
 
 NOW = "2026-03-04T05:06:07+00:00"
 
@@ -110,3 +110,22 @@ def test_a_file_that_goes_fails_alone_and_landing_again_changes_nothing(spark, t
         assert files.land(rows, landing).count() == 0
     assert {bytes(r.content) for r in files.landed(spark, landing).collect()} == {b"a.png", b"b.png"}
     assert files.landed(spark, landing).count() == 2
+
+
+def test_a_small_batch_reads_only_its_prefixes(spark, tmp_path):
+    path, digest = str(tmp_path / "r"), lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    empty = spark.createDataFrame([], DOCUMENTS)
+    known = registry.register(prints(spark, *((f"p{k}.png", digest(k)) for k in range(500)), ("bad.png", None)), empty, run_time=NOW)
+    registry_store.append(known, path, digits=1)
+    assert sorted(registry_store.read(spark, path).drop("prefix").collect()) == sorted(known.collect())
+    batch = prints(spark, ("p7.png", digest(7)), ("copy.png", digest(7)), ("new.png", digest(9999)), ("bad.png", None))
+    near = registry_store.touched(spark, path, batch, digits=1)
+    folders = {file.rsplit("/", 2)[-2] for file in near.inputFiles()}
+    own = {digest(7)[0], digest(9999)[0]}
+    assert "PartitionFilters: [prefix" in near._jdf.queryExecution().executedPlan().toString()
+    assert {r["sha256"][0] for r in near.collect()} == own and len(folders) == 17 and near.count() < 120
+    want = registry.register(batch, known, run_time=NOW)
+    got = registry.register(batch, near, run_time=NOW)
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+    assert {r.source_path: r.status for r in got.collect()} == {"copy.png": "DUPLICATE_EXACT", "new.png": "INGESTED", "bad.png": "FAILED"}
+    assert registry_store.touched(spark, path, prints(spark, ("x.png", None)), digits=1).count() == 0

@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from invoicelake import schemas
 from invoicelake.operators import merge
+from invoicelake.plans.queries import quarter_spend
 from invoicelake.sources import tables
 from invoicelake.sources.change_table import ChangeTable
 
@@ -45,6 +48,68 @@ def test_history_and_versions(spark, rows, tmp_path):
         table.read(9)
 
 
+def scanned(df):
+    """The version folders that the plan of a read names."""
+    return sorted({part.rsplit("/", 2)[-2] + "/" + part.rsplit("/", 1)[-1] for file in df.inputFiles() for part in [file.rsplit("/", 1)[0]]})
+
+
+def test_snapshots_bound_what_a_read_touches(spark, rows, tmp_path):
+    """Every version equals a plain dictionary, and no read goes behind the snapshot before it."""
+    rng, table, plain, states = random.Random(3), ChangeTable(spark, str(tmp_path / "t"), snapshot_every=3), {}, []
+    for version in range(8):
+        keys = rng.sample("abcdefghij", 4)
+        if version % 4 == 3:
+            table.delete(frame(spark, **{k: 0 for k in keys}))
+            plain = {k: v for k, v in plain.items() if k not in keys}
+        else:
+            update = version % 4 != 2
+            table.merge(frame(spark, **{k: version for k in keys}), update=update)
+            plain = {**plain, **{k: version for k in keys if update or k not in plain}}
+        states.append(sorted(plain.items()))
+    assert [r[0] for r in sorted(table.snapshots().collect())] == [3, 6]
+    for version, state in enumerate(states):
+        assert rows(table.read(version)) == state
+    assert scanned(table.read(2)) == ["data/v=0", "data/v=1", "data/v=2"]
+    assert scanned(table.read(5)) == ["data/v=4", "data/v=5", "snapshots/v=3"]
+    assert scanned(table.read()) == ["data/v=7", "snapshots/v=6"]
+    assert scanned(table.read(6)) == ["snapshots/v=6"]
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # only the changes are shuffled, not the snapshot
+
+
+def test_an_unfinished_snapshot_is_not_read(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    table = ChangeTable(spark, path, snapshot_every=100)
+    table.merge(frame(spark, a=1))
+    table.merge(frame(spark, b=2))
+    frame(spark, zz=9).write.parquet(f"{path}/snapshots/v=1")   # no log row
+    assert rows(table.read()) == [("a", 1), ("b", 2)]
+    table.snapshot()
+    table.snapshot()
+    assert scanned(table.read()) == ["snapshots/v=1"] and rows(table.read()) == [("a", 1), ("b", 2)] and table.snapshots().count() == 1
+
+
+def test_a_null_key_is_a_key(spark, rows, tmp_path):
+    table = ChangeTable(spark, str(tmp_path / "t"))
+    table.merge(spark.createDataFrame([(None, 1), ("a", 1)], KV))
+    table.merge(spark.createDataFrame([(None, 2)], KV))
+    assert rows(table.read()) == [("a", 1), (None, 2)]
+
+
+def test_calendar_filter_prunes_partitions_at_run_time(spark, tmp_path):
+    days = spark.range(0, 720).select(F.expr("date_add(date '1996-01-01', int(id))").alias("o_orderdate"), F.col("id").alias("o_orderkey"),
+                                      F.lit(1.5).alias("o_totalprice"))
+    fact = days.withColumn("order_month", F.trunc("o_orderdate", "month"))
+    tables.write_partitioned(fact, str(tmp_path / "f"), "order_month")
+    months = fact.select("order_month").distinct().withColumns({"year": F.year("order_month"), "quarter": F.quarter("order_month"),
+                                                                "month_name": F.date_format("order_month", "MMMM")})
+    tables.overwrite(months, str(tmp_path / "c"))
+    out = quarter_spend(tables.snapshot(spark, str(tmp_path / "f")), tables.snapshot(spark, str(tmp_path / "c")), 2)
+    assert sum(r["n"] for r in out.collect()) == 2 * 91
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PartitionFilters: [isnotnull(order_month" in plan
+
+
 def test_duplicate_keys_are_rejected_on_create_and_merge(spark, tmp_path):
     table = ChangeTable(spark, str(tmp_path / "t"))
     twice = spark.createDataFrame([("a", 1), ("a", 2)], KV)
