@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -112,6 +113,15 @@ def row_groups(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[i
         first = last
 
 
+def give_back() -> None:
+    """Hand the memory a worker has freed back to the system. Python workers live on between tasks, and would otherwise keep the
+    work space of one stage beside the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit codes."""
     values = values ^ (values >> np.uint64(31))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import byte_rows, later_copies, same, stored, texts, with_row, without_rows
+from invoicelake.llm.common import byte_rows, give_back, later_copies, same, stored, texts, with_row, without_rows
 
 DIGEST_BYTES = 16
 CHUNK_BITS = 11  # a boundary every 2,048 bytes on average
@@ -70,6 +70,7 @@ def recipes(docs: DataFrame, size: int = DIGEST_BYTES) -> DataFrame:
                 sums.append(hashlib.sha256(text).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary()), pa.array(sums, pa.string())],
                                              ["doc_id", "recipe", "text_sha256"])
+        give_back()
     return docs.mapInArrow(run, "doc_id long, recipe binary, text_sha256 string")
 
 
@@ -97,6 +98,8 @@ def chunks(docs: DataFrame, size: int = DIGEST_BYTES) -> DataFrame:
                         out, waiting = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], ["digest", "content"])
+        del out, sent
+        give_back()
     return docs.mapInArrow(run, "digest binary, content binary")
 
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import byte_rows, later_copies, mixed, row_groups, stored, texts, with_row, without_rows, word_codes
+from invoicelake.llm.common import byte_rows, give_back, later_copies, mixed, row_groups, stored, texts, with_row, without_rows, word_codes
 
 SHINGLE = 5
 SHARE = 0.4
@@ -91,6 +91,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list
         data, offsets = byte_rows(batch.column("text"))
         for first, last in row_groups(offsets, BATCH_BYTES):
             yield batch.column("doc_id")[first:last], hash_sets(data, offsets[first:last + 1])
+    give_back()
 
 
 _PARTS = "batch long, fragment int, doc_ids binary, known binary, sizes binary, signatures binary, counts binary, hashes binary"

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from invoicelake.llm.common import texts
+from invoicelake.llm.common import give_back, texts
 from invoicelake.llm.tokens import Encoder
 
 CAPACITY = 1024
@@ -143,4 +143,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
                     yield packer.rows(base)
         packer.finish()
         yield packer.rows(base)
+        give_back()
     return texts(docs).mapInArrow(run, SCHEMA)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from invoicelake.llm.common import _BYTE_CODE, _STEP, byte_rows, held_out, mixed, row_groups, unused, word_codes
+from invoicelake.llm.common import _BYTE_CODE, _STEP, byte_rows, give_back, held_out, mixed, row_groups, unused, word_codes
 from invoicelake.llm.labelled import logistic, platt, sampled_features, training_ids
 
 BITS = 18
@@ -176,6 +176,7 @@ def scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
             margins = np.array([model.margin(found) for found in _rows(batch.column("text"))])
             score = logistic(model.slope * margins + model.offset)
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score, pa.float64())], [*names, name])
+        give_back()
     return docs.mapInArrow(run, schema)
 
 

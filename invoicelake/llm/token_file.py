@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from invoicelake.llm.common import stored, texts
+from invoicelake.llm.common import give_back, stored, texts
 from invoicelake.llm.tokens import Encoder
 
 LENGTH = 2048
@@ -101,6 +101,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH) ->
                 file.write_batch(part)
         for kind in ("tokens", "docs"):
             target.move(f"{name}.{kind}.arrow{own}", f"{name}.{kind}.arrow")
+        give_back()
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_docs": [sum(len(x) for x in index)], "n_tokens": [total]})
     rows = texts(docs).repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return stored(rows.mapInArrow(run, "shard int, n_docs long, n_tokens long"), "token-shards")
