@@ -1,9 +1,11 @@
 """Token ids as Arrow files of equal-length sequences and masks.
 
 A written folder has, for every shard, ``part-NNNNN.tokens.arrow`` (record batches of ``ROWS`` sequences, each a fixed-size list of
-``length`` ids and one of ``length`` mask bytes, 1 or 0; the last sequence of a shard is filled with 0 and masked) and
+``length`` ids and its mask of ``length`` bytes, 1 or 0; the last sequence of a shard is filled with 0 and masked) and
 ``part-NNNNN.docs.arrow`` (doc_id, first id in the shard, number of ids, in doc_id order). Fixed-size lists lie contiguously, so
-the sequence i of a shard is a slice of a memory-mapped file. Ids are unsigned 16-bit where the vocabulary allows it.
+the sequence i of a shard is a slice of a memory-mapped file. The masks are an Arrow dictionary: a shard has two at most, that of a full sequence
+and that of its last one, so every sequence stores one byte and its mask is a view of the shared values. Ids are unsigned 16-bit where the
+vocabulary allows it.
 
 Shards follow each other in doc_id order. A task writes under a name of its own and renames at the end, so a task that is
 run again, or twice at once, leaves the same files.
@@ -43,8 +45,9 @@ class _Writer:
 
     def __init__(self, sink: pa.NativeFile, length: int, wide: bool):
         self.length, self.type = length, pa.uint32() if wide else pa.uint16()
-        self.schema = pa.schema([("ids", pa.list_(self.type, length)), ("mask", pa.list_(pa.uint8(), length))])
-        self.file, self.held, self.count = pa.ipc.new_file(sink, self.schema), [], 0
+        self.schema = pa.schema([("ids", pa.list_(self.type, length)), ("mask", pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length)))])
+        options = pa.ipc.IpcWriteOptions(emit_dictionary_deltas=True)  # the last mask is known at the end only
+        self.file, self.held, self.count = pa.ipc.new_file(sink, self.schema, options=options), [], 0
 
     def add(self, ids: np.ndarray) -> None:
         self.held.append(ids.astype(self.type.to_pandas_dtype()))
@@ -57,9 +60,13 @@ class _Writer:
             self.held, self.count = [rest[whole:]], len(rest) - whole
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
+        kinds, kind = [np.ones(self.length, np.uint8)], np.zeros(len(ids) // self.length, np.int8)
+        if real < len(ids):
+            kinds.append((np.arange(self.length) < real % self.length).astype(np.uint8))
+            kind[-1] = 1
+        masks = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(kinds)), self.length)
         self.file.write_batch(pa.RecordBatch.from_arrays(
-            [pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length), pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length)],
+            [pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length), pa.DictionaryArray.from_arrays(pa.array(kind), masks)],
             schema=self.schema))
 
     def close(self) -> None:
@@ -117,10 +124,11 @@ class Shard:
         self.length = self.tokens.schema.field("ids").type.list_size
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence i, both views of the file."""
+        """Ids of sequence i, a view of the file, and its mask, a view of the masks that all sequences share."""
         batch, row = self.tokens.get_batch(i // ROWS), i % ROWS
-        view = slice(row * self.length, (row + 1) * self.length)
-        return batch.column(0).flatten().to_numpy()[view], batch.column(1).flatten().to_numpy()[view].view(bool)
+        ids, masks, kind = batch.column(0).flatten().to_numpy(), batch.column(1), batch.column(1).indices[row].as_py()
+        mask = masks.dictionary.flatten().to_numpy()[kind * self.length:(kind + 1) * self.length].view(bool)
+        return ids[row * self.length:(row + 1) * self.length], mask
 
     def ids(self, first: int, count: int) -> Iterator[np.ndarray]:
         """The ids from ``first`` on, in views of one batch each."""

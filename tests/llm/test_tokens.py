@@ -77,11 +77,13 @@ def test_sequences_and_masks(spark):
 def test_ids_and_masks_are_views_of_the_file(spark):
     folder = new_folder(spark, "tokens")
     shards = token_file.write(frame(spark, [(1, "word " * 4_000)]), folder, PATH, 128)
-    file, before = token_file.Shard(folder, shards.first()["shard"]), pa.total_allocated_bytes()
-    held = [file.sequence(i) for i in (0, 1, 0)]
-    for k in (0, 1):
-        assert np.shares_memory(held[0][k], held[2][k]) and not np.shares_memory(held[0][k], held[1][k])
-    assert pa.total_allocated_bytes() == before and held[0][1].dtype == bool
+    file, last = token_file.Shard(folder, shards.first()["shard"]), -(-shards.first()["n_tokens"] // 128) - 1
+    first, before = file.sequence(0), pa.total_allocated_bytes()
+    held = [file.sequence(i) for i in (0, 1, last)]
+    assert np.shares_memory(first[0], held[0][0]) and not np.shares_memory(first[0], held[1][0])
+    assert np.shares_memory(first[1], held[0][1]) and np.shares_memory(first[1], held[1][1])  # one mask for all full sequences
+    assert pa.total_allocated_bytes() == before and first[1].dtype == bool and first[1].all()
+    assert held[2][1].sum() == shards.first()["n_tokens"] - 128 * last < 128
 
 
 def test_one_id_of_many_rows_is_cut_and_keeps_its_order(spark):
