@@ -6,6 +6,9 @@ The ratio is 2 M / S, with M matched characters in blocks and S the length of bo
 * Between two blocks lies an unmatched character of one side, so there are at most 1 + S - 2 M blocks, and a block of n characters holds n - q + 1 pieces of q
   characters. Strings with at least M matched characters hence share at least M - (q - 1) (1 + S - 2 M) pieces (counted as often as they occur).
   Of the pieces of one string, put in any order, all but that number less one must therefore contain a shared one.
+
+The blocks are a common subsequence, so strings with S - 2 M unmatched characters become equal when these are left out. As M is at most the length l of one string,
+S is at most 2 l / ratio, and names of a ratio or more have at most 2 l (1 - ratio) / ratio unmatched characters.
 """
 
 from __future__ import annotations
@@ -17,11 +20,14 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 PIECES = (2, 3, 4)  # lengths of the pieces of an index of names (one digit each)
 SEED_NAMES = 8    # names of a batch compared in full for a text's first score
+REACH = 2         # characters left out of a name and a text together when close ones are looked for
+LONGEST = 64      # characters of a text that is looked for this way; left-out characters are too many beyond
 ROUND = 16        # names compared before the others are checked against the best ratio again
 
 
@@ -111,6 +117,27 @@ def pieces_of(texts: pd.Series) -> pd.Series:
     return texts.map(pieces)
 
 
+def left_out(text: Column, number: int) -> Column:
+    """Hashes of the text without any ``number`` (0 to 2) of its characters, each once. Equal hashes are a hint; the ratio decides."""
+    def without(value: Column, at: Column) -> Column:
+        return F.concat(F.substring(value, F.lit(1), at - 1), F.substring(value, at + 1, F.length(value)))
+
+    if number == 0:
+        return F.array(F.xxhash64(text))
+    last = F.length(text)
+    if number == 1:
+        every = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(without(text, i)))
+    else:
+        every = F.flatten(F.transform(F.sequence(F.lit(2), last), lambda j: F.transform(
+            F.sequence(F.lit(1), j - 1), lambda i: F.xxhash64(without(without(text, j), i)))))
+    return F.when(last >= number, F.array_distinct(every)).otherwise(F.array().cast("array<bigint>"))
+
+
+def within_reach(length: Column, best: Column) -> Column:
+    """Whether every name of ratio ``best`` or more to a text of ``length`` has at most ``REACH`` characters unmatched, on both sides together."""
+    return F.coalesce((best > 0) & (2 * length * (1 - best) < (REACH + 1 - 1e-9) * best), F.lit(False))
+
+
 def telling_pieces(length: int, best: float, pieces: list[tuple[int, str]], most: float) -> tuple[list[str] | None, int]:
     """Pieces (of (frequency, piece)) and a number: every name of ratio ``best`` or more holds so many of them.
 

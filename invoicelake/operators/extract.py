@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from invoicelake.functions import text as T
-from invoicelake.functions.similarity import NameIndex, first_scores, pieces_of, ratio_from, telling_pieces
+from invoicelake.functions.similarity import LONGEST, REACH, NameIndex, first_scores, left_out, pieces_of, ratio_from, telling_pieces, within_reach
 from invoicelake.session import cut_lineage
 
 # Limits of the validation rules.
@@ -49,17 +50,68 @@ def match_vendors(docs: DataFrame, header: str, master: DataFrame, threshold: fl
     """Add vendor_id, vendor_name and vendor_match: the most similar vendor name of every header.
 
     A score under the threshold gives no vendor but is reported. Headers spelled exactly like a name are settled by a join. The other distinct headers
-    go through an index from pieces of characters to names: the names that hold one of a header's rarest pieces give a first score, and with that score a
-    proven count of shared pieces (``functions.similarity``) tells which few pieces lead to every name that is as good. Headers for which those pieces would lead to
-    more than ``MOST_MET`` of all names, since they resemble none, meet the names in blocks (``_by_blocks``). All ways are exact.
+    meet the names that differ by so few characters that both become equal when ``similarity.REACH`` are left out (``_by_deletions``); this settles every
+    header that has a name so close that no better one can lie farther away. What remains goes through an index of pieces (``_by_pieces``). All ways are exact.
     """
     known = (master.groupBy(F.lower("vendor_name").alias("top"))
              .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit"))
              .select("top", F.struct("hit.vendor_id", "hit.vendor_name", F.lit(1.0).alias("score")).alias("_match")))
-    names = cut_lineage(master.filter("vendor_name IS NOT NULL").groupBy(F.lower("vendor_name").alias("name"))
-                        .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit")))
     tops = docs.select(F.col(header).alias("top")).filter(F.col("top").isNotNull()).distinct()
     rest = cut_lineage(tops.join(known.select("top"), "top", "left_anti"))
+    matched = known
+    if not rest.isEmpty():
+        names = cut_lineage(master.filter("vendor_name IS NOT NULL").groupBy(F.lower("vendor_name").alias("name"))
+                            .agg(F.min(F.struct("vendor_id", "vendor_name")).alias("hit")))
+        near = cut_lineage(_by_deletions(rest, names, headers_per_task))
+        settled = near.groupBy("top").agg(F.max("score").alias("best")).filter(within_reach(F.length("top"), F.col("best")))
+        found = near.join(settled, "top").filter(F.col("score") >= F.col("best") - 1e-12).join(names, "name")
+        found = found.select("top", "hit.vendor_id", "hit.vendor_name", "score")
+        far = cut_lineage(rest.join(settled.select("top"), "top", "left_anti"))
+        if not far.isEmpty():
+            found = found.unionByName(_by_pieces(far, names, names_per_task, headers_per_task))
+        best = (found.groupBy("top")
+                .agg(F.min(F.struct((-F.col("score")).alias("minus"), F.coalesce("vendor_id", F.lit("￿")).alias("i"),
+                                    F.coalesce("vendor_name", F.lit("￿")).alias("n"), "vendor_id",
+                                    "vendor_name", "score")).alias("b"))
+                .select("top", F.struct("b.vendor_id", "b.vendor_name", "b.score").alias("_match")))
+        matched = known.unionByName(best)
+    return _with_vendor(docs.join(matched.withColumnRenamed("top", header), header, "left").select(*docs.columns, "_match"), threshold)
+
+
+def _by_deletions(tops: DataFrame, names: DataFrame, headers_per_task: int) -> DataFrame:
+    """(top, name, score): the names that become equal to a header when at most ``REACH`` characters of both together are left out.
+
+    Only numbers of left-out characters that lead from a length among the headers (up to ``LONGEST``) to one among the names are formed.
+    """
+    def lengths(df: DataFrame, column: str) -> list[int]:
+        return sorted(row[0] for row in df.select(F.length(column)).distinct().collect())    # as many rows as there are lengths
+
+    of_tops, of_names = lengths(tops, "top"), set(lengths(names, "name"))
+    pairs = [(top, a, top - a + b, b) for top in of_tops for a in range(REACH + 1) for b in range(REACH + 1 - a)
+             if a + b and top - a + b in of_names and 0 < top <= LONGEST and top - a + b > 0]
+    if not pairs:
+        return tops.sparkSession.createDataFrame([], "top string, name string, score double")
+
+    def spread(df: DataFrame, column: str, wanted: set[tuple[int, int]], gone: str) -> DataFrame:
+        parts = [df.filter(F.length(column).isin([n for n, k in wanted if k == number]))
+                 .select(column, F.lit(number).alias(gone), F.explode(left_out(F.col(column), number)).alias("kept"))
+                 for number in sorted({k for _, k in wanted})]
+        return reduce(DataFrame.unionByName, parts)
+
+    left = spread(tops, "top", {(n, a) for n, a, _, _ in pairs}, "gone_top")
+    right = spread(names, "name", {(n, b) for _, _, n, b in pairs}, "gone_name")
+    met = left.join(right, "kept").filter(F.col("gone_top") + F.col("gone_name") <= REACH).select("top", "name").distinct()
+    tasks = max(1, math.ceil(tops.count() / headers_per_task))  # comparing costs more than the few bytes of the pairs tell
+    return met.repartition(tasks, "top").select("top", "name", ratio_from("name", "top", F.lit(0.0)).alias("score"))
+
+
+def _by_pieces(rest: DataFrame, names: DataFrame, names_per_task: int, headers_per_task: int) -> DataFrame:
+    """(top, vendor_id, vendor_name, score): the best names of headers that no name is close to.
+
+    An index leads from pieces of characters to names: the names that hold one of a header's rarest pieces give a first score, and with that score a
+    proven count of shared pieces (``functions.similarity``) tells which few pieces lead to every name that is as good. Headers for which those pieces would lead to
+    more than ``MOST_MET`` of all names, since they resemble none, meet the names in blocks (``_by_blocks``).
+    """
     tasks = max(1, math.ceil(rest.count() / headers_per_task))  # comparing costs more than the few bytes of the pairs tell
     index = cut_lineage(names.repartition(max(1, math.ceil(names.count() / names_per_task * 8)), "name")
                         .select("name", F.explode(pieces_of("name")).alias("piece")))
@@ -94,13 +146,7 @@ def match_vendors(docs: DataFrame, header: str, master: DataFrame, threshold: fl
         "top", "name", "best", ratio_from("name", "top", "best").alias("score"))
     indexed = scored.filter(F.col("score") >= F.col("best") - 1e-12).join(names, "name").select("top", "hit.vendor_id", "hit.vendor_name", "score")
     blocks = _by_blocks(cut_lineage(plan.filter("chosen IS NULL").select("top")), names.select("hit.*"), names_per_task, headers_per_task)
-    best = (indexed.unionByName(blocks).groupBy("top")
-            .agg(F.min(F.struct((-F.col("score")).alias("minus"), F.coalesce("vendor_id", F.lit("￿")).alias("i"),
-                                F.coalesce("vendor_name", F.lit("￿")).alias("n"), "vendor_id",
-                                "vendor_name", "score")).alias("b"))
-            .select("top", F.struct("b.vendor_id", "b.vendor_name", "b.score").alias("_match")))
-    matched = known.unionByName(best).withColumnRenamed("top", header)
-    return _with_vendor(docs.join(matched, header, "left").select(*docs.columns, "_match"), threshold)
+    return indexed.unionByName(blocks)
 
 
 def _by_blocks(tops: DataFrame, names: DataFrame, names_per_task: int, headers_per_task: int) -> DataFrame:

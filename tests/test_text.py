@@ -140,6 +140,43 @@ def test_index_equals_full_search(spark):
         assert (r.vendor_id, r.vendor_name) == (want[:2] if want[2] >= 0.8 else (None, None)), r
 
 
+def test_close_names_need_no_pieces(spark, monkeypatch):
+    """One letter misread in names that differ in few digits: settled without the postings of their common pieces."""
+    def never(*_):
+        raise AssertionError("the index of pieces was asked")
+    monkeypatch.setattr(extract, "_by_pieces", never)
+    names = [(f"V{n:04d}", f"Customer#{n:09d}") for n in range(0, 900, 7)]
+    heads = [name.lower().replace("customer", "custoner") for _, name in names] + ["customer#00000001", "customer#0000000077", None]
+    found = extract.match_vendors(spark.createDataFrame([(h,) for h in heads], "header string"), "header", spark.createDataFrame(names, "vendor_id string, vendor_name string"))
+    for row in found.collect():
+        expected = (None, None, 0.0) if row["header"] is None else brute(names, row["header"])
+        assert (row["vendor_id"], row["vendor_name"], row["vendor_match"]) == expected
+
+
+def test_deletions_equal_full_search(spark):
+    """Short strings of few letters, many of them close to each other, with equal scores and lengths from 1 to beyond ``LONGEST``."""
+    draw = random.Random(3)
+
+    def word(n):
+        return "".join(draw.choice("ab1") for _ in range(n))
+    texts = [word(draw.randint(1, 9)) for _ in range(60)] + [word(draw.randint(60, 70)) for _ in range(8)]
+    names = [(f"V{draw.randint(0, 30)}", text.upper()) for text in texts]
+    heads = {word(draw.randint(1, 9)) for _ in range(60)} | {t[:k] + draw.choice(["", "b", "z1"]) + t[k + 1:] for t in texts for k in (0, len(t) // 2)} | {""}
+    found = extract.match_vendors(spark.createDataFrame([(h,) for h in heads], "header string"), "header",
+                                  spark.createDataFrame(names, "vendor_id string, vendor_name string"), threshold=0.0)
+    result = {row["header"]: (row["vendor_id"], row["vendor_match"]) for row in found.collect()}
+    assert len(result) == len(heads)
+    for head in heads:
+        vendor, _, score = brute(names, head)
+        assert result[head] == (vendor, pytest.approx(score, abs=1e-12)), head
+
+
+@pytest.mark.parametrize("text, number, expected", [("abca", 0, 1), ("abca", 1, 4), ("aab", 1, 2), ("abcd", 2, 6), ("a", 1, 1), ("a", 2, 0), ("", 1, 0)])
+def test_left_out(spark, text, number, expected):
+    kept = spark.createDataFrame([(text,)], "t string").select(similarity.left_out(F.col("t"), number)).first()[0]
+    assert len(kept) == len(set(kept)) == expected
+
+
 def test_ratio_of_nulls(spark):
     df = spark.createDataFrame([("ab", "ab"), ("abc", "abd"), (None, "a"), ("", "")], "a string, b string")
     assert [r[0] for r in df.select(ratio("a", "b")).collect()] == [1.0, pytest.approx(2 / 3), None, 1.0]
