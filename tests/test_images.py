@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from invoicelake.operators import images
@@ -93,3 +94,10 @@ def test_stream_registers_new_files_only(spark, tmp_path):
     got = {r.file_name: r.status for r in lake.table("bronze/documents").read().collect()}
     assert got == {"a.png": "INGESTED", "b.png": "DUPLICATE_EXACT", "c.png": "INGESTED"}
     assert sorted(bytes(r.content) for r in spark.read.parquet(f"{lake.root}/landing").collect()) == [b"1", b"2"]
+
+
+def test_results_are_held_for_few_pictures_at_once():
+    frames = [pd.DataFrame({"n": range(k)}) for k in (0, 3, images.AT_ONCE, 2 * images.AT_ONCE + 1)]
+    slices = list(images._slices(iter(frames)))
+    assert max(map(len, slices)) == images.AT_ONCE
+    assert [n for s in slices for n in s["n"]] == [n for f in frames for n in f["n"]]
