@@ -134,3 +134,20 @@ def test_baseline_learns(spark):
     df = df.withColumn("x", F.array(*[(F.col("label") == i).cast("double") + F.rand(i) * 0.1 for i in range(3)]))
     r = classify.baseline_scores(df, splits.three_way(df, "id"), "id", "x").first()
     assert r.acc == 1.0 and r.macro_f1 == 1.0 and r.condition == "all"
+
+
+def test_entities_are_grouped_once(spark, monkeypatch):
+    """The search gets stored fields: reading them twice must not group all entities twice."""
+    plans = []
+    whole = evaluation.match_vendors
+
+    def watched(docs, header, master):
+        plans.append(docs._jdf.queryExecution().optimizedPlan().toString())
+        return whole(docs, header, master)
+    monkeypatch.setattr(evaluation, "match_vendors", watched)
+    entities = spark.createDataFrame([("a", 1, "VENDOR", "Acme Ltd"), ("a", 2, "INV_NO", "inv 1"), ("b", 1, "VENDOR", "Acne Ltd"), ("c", 1, "TOTAL", "5")],
+                                     "doc_id string, pos long, label string, text string")
+    master = spark.createDataFrame([("V1", "Acme Ltd")], "vendor_id string, vendor_name string")
+    found = {r.doc_id: (r.vendor_id, r.invoice_no, r.total) for r in evaluation.normalise_entities(entities, master).collect()}
+    assert found == {"a": ("V1", "INV1", None), "b": ("V1", None, None), "c": (None, None, 5.0)}
+    assert len(plans) == 1 and "Aggregate" not in plans[0]
