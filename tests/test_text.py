@@ -190,3 +190,13 @@ def test_words_to_text(spark, rows):
     assert rows(ocr.aggregate_words(words, docs)) == [("1", "hello world", 85.0, 2), ("2", "", 0.0, 0), ("3", "", 0.0, 0)]
     lined = words.withColumn("line", F.when(F.col("pos") < 2, 1).otherwise(2))
     assert ocr.aggregate_words(lined, line="line").first().text == "hello\nworld"
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_words_in_order(spark, kind):
+    """Scattered rows, words without a position first, equal positions by their text; positions and words leave as two lists."""
+    data = [("1", p, w, "90") for p, w in [("2", "c"), (None, "b"), ("0", "z"), ("2", "a"), (None, "a"), ("1", "m")]]
+    words = spark.createDataFrame(data, "doc_id string, pos string, word string, conf string").withColumn("pos", F.col("pos").cast(kind)).repartition(4)
+    found = ocr.aggregate_words(words)
+    assert [tuple(r) for r in found.collect()] == [("1", "a b z m a c", 90.0, 6)]
+    assert "struct(p, pos" not in found._jdf.queryExecution().optimizedPlan().toString()
