@@ -11,6 +11,7 @@ from invoicelake.functions import similarity
 from invoicelake.functions import text as T
 from invoicelake.functions.similarity import NameIndex, ratio
 from invoicelake.operators import extract, ocr
+from invoicelake.plans import fixtures
 
 GOOD = ("Acme Ltd TAX INVOICE\nPune GSTIN: 27ABCDE1234F1Z5\nInvoice No: INV-2026-00042-COPY\nDate: 2026-02-03\n"
         "Subtotal: Rs. 1,000.00\nGST 18%:  Rs. 180.00\nTOTAL:    Rs. 1,180.00")
@@ -200,3 +201,9 @@ def test_words_in_order(spark, kind):
     found = ocr.aggregate_words(words)
     assert [tuple(r) for r in found.collect()] == [("1", "a b z m a c", 90.0, 6)]
     assert "struct(p, pos" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_spread_grows_with_the_parts_of_the_input(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(10).repartition(cores + 1)
+    assert fixtures.spread(df, 8).rdd.getNumPartitions() == 8 * (cores + 1) and fixtures.spread(df).rdd.getNumPartitions() == cores
