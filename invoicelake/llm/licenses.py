@@ -99,6 +99,11 @@ def template_words(templates: dict[str, list[str]]) -> list[tuple[str, int, str]
             for word in sorted(set(re.findall("[a-z0-9]+", text.lower())))]
 
 
+def _among(words: Column, some: list[str]) -> Column:
+    """The words that are in a fixed list. Spark looks them up in one hash set per query; ``array_intersect`` would build the set anew for every array."""
+    return F.filter(words, lambda w: w.isin(some))
+
+
 def _words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(text, "[^a-z0-9]+", -1), lambda w: w != ""))
 
@@ -130,10 +135,10 @@ def _units(files: DataFrame) -> DataFrame:
         F.coalesce(whole, F.array().cast("array<struct<top:boolean,words:array<string>>>"))).alias("units"))
 
 
-def _files_with(files: DataFrame, words: Column | None = None) -> DataFrame:
-    """(word, df): how many files have a word; a file counts once."""
+def _files_with(files: DataFrame, words: list[str] | None = None) -> DataFrame:
+    """A row for every file and word of it (of ``words``, if given); a file counts once."""
     found = _words(_body())
-    return files.select(F.explode(found if words is None else F.array_intersect(found, words)).alias("word"))
+    return files.select(F.explode(found if words is None else _among(found, words)).alias("word"))
 
 
 def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -141,9 +146,8 @@ def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, lea
     spark, pairs = files.sparkSession, template_words(templates or TEMPLATES)
     files = files.select("doc_id", "path", "text")
     vocabulary = sorted({word for _, _, word in pairs})
-    known = F.array(*map(F.lit, vocabulary))
     total = files.count()
-    counted = _files_with(files, known).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    counted = _files_with(files, vocabulary).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     df = dict.fromkeys(vocabulary, 0) | {row["word"]: row["df"] for row in counted.collect()}  # as many as the templates have words
     squares = sorted((weight(total, df[word]) ** 2, word) for word in vocabulary)
     of_word = {word: square for square, word in squares}
@@ -156,17 +160,26 @@ def notices(files: DataFrame, templates: dict[str, list[str]] | None = None, lea
             classes.append([])
         classes[-1].append((square, word))
 
-    known_part = F.transform("units", lambda u: F.struct(u["top"].alias("top"), u["words"].alias("words"), F.array_intersect(u["words"], known).alias("known")))
+    known_part = F.transform("units", lambda u: F.struct(u["top"].alias("top"), u["words"].alias("words"), _among(u["words"], vocabulary).alias("known")))
     sized = F.transform(F.filter(known_part, lambda u: F.size(u["known"]) > 0), lambda u: F.struct(
         u["top"].alias("top"), u["words"].alias("words"), F.size(u["known"]).alias("n"),
-        F.array(*(F.size(F.array_intersect(u["known"], F.array(*(F.lit(word) for _, word in group)))) for group in classes)).alias("counts")))
+        F.array(*(F.size(_among(u["known"], [word for _, word in group])) for group in classes)).alias("counts")))
 
-    squared = F.array(*(F.lit(length) for length in sorted(set(lengths.values()))))
+    squares_of_templates = sorted(set(lengths.values()))
+    squared = F.array(*map(F.lit, squares_of_templates))
 
-    def possible(unit: Column) -> Column:
+    def bounded(unit: Column) -> Column:
+        """The squared lengths of the templates a unit can reach ``least`` with, ``least_t`` to ``most_t``; once per unit, not once per template."""
         low, high = (sum((F.get(unit["counts"], F.lit(k)) * F.lit(group[end][0]) for k, group in enumerate(classes)), F.lit(0.0)) for end in (0, -1))
-        others = F.size(unit["words"]) - unit["n"]
-        return F.exists(squared, lambda t: (t >= least * least * (low + others) * (1 - 1e-9)) & (t * least * least * (high + others) * (1 - 1e-9) <= high * high))
+        others, slack = F.size(unit["words"]) - unit["n"], least * least * (1 - 1e-9)
+        return F.struct(unit["top"].alias("top"), unit["words"].alias("words"), (slack * (low + others)).alias("least_t"),
+                        (high * high / (slack * (high + others))).alias("most_t"))
+
+    def possible(unit: Column) -> Column:
+        least_t, most_t = unit["least_t"], unit["most_t"]
+        return ((least_t <= most_t) & (least_t <= squares_of_templates[-1]) & (most_t >= squares_of_templates[0])
+                & F.exists(squared, lambda t: (t >= least_t) & (t <= most_t)))
+    sized = F.transform(sized, bounded)
     kept = F.transform(F.filter(sized, possible), lambda u: F.struct(u["top"].alias("top"), u["words"].alias("words")))
     tagged = files.withColumn("file", F.monotonically_increasing_id())
     rows = stored(_units(tagged).select("file", "doc_id", "path", kept.alias("units")), "licence-units")

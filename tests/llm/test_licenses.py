@@ -1,6 +1,8 @@
 import math
 import re
 
+import pytest
+
 from invoicelake.llm import licenses
 
 SCHEMA = "doc_id long, path string, text string, licence string, line string"
@@ -102,3 +104,27 @@ def test_files_without_notice_and_empty_table(spark):
 def test_native_plan(spark):
     plan = licenses.scan(spark.createDataFrame([(*r, "x", "y") for r in ROWS], SCHEMA))
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_bound_is_computed_once_per_unit(spark, monkeypatch):
+    """What the bound needs of a unit is not computed again for every template, nor the hash set of the template words for every unit."""
+    class Stop(Exception):
+        pass
+    seen = []
+
+    def grab(df, name):
+        seen.append(df)
+        raise Stop
+    monkeypatch.setattr(licenses, "stored", grab)
+    with pytest.raises(Stop):
+        licenses.notices(spark.createDataFrame([(*r, "x", "y") for r in ROWS], SCHEMA))
+    plan = seen[0]._jdf.queryExecution().analyzed().toString()
+    at = plan.index("exists(array(")
+    end, depth = at + len("exists"), 0
+    while True:
+        depth += {"(": 1, ")": -1}.get(plan[end], 0)
+        end += 1
+        if not depth:
+            break
+    assert "counts" not in plan[at:end] and "least_t" in plan[at:end]
+    assert "array_intersect" not in plan
