@@ -141,6 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
                     packer.add(doc, ids[start:end])
                 if len(packer.done) >= OUT_ROWS:
                     yield packer.rows(base)
+            give_back()  # what a batch leaves behind would otherwise stand beside the next
         packer.finish()
         yield packer.rows(base)
         give_back()

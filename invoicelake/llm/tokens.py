@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,10 @@ from invoicelake.llm.common import _BYTE_CODE, _POWER, byte_rows, mixed, row_gro
 
 END_ID = 0
 MOST_PARTS = 1_500_000
+GROUP_BYTES = 1 << 19  # text whose work arrays (about 60 bytes per byte) are held at a time
+CALL_PARTS = 4_096  # new parts handed to the library at a time; it answers with several hundred bytes for each
 LONGEST_PART = 64
+_SHIFT = 7
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
 # UTF-8 forms of the white space outside ASCII (fixed values); texts that have one are encoded whole
@@ -43,7 +47,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.at, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.place = np.empty(0, np.int64)  # of each key: place of its first id, shifted, and how many ids (LONGEST_PART at most)
         self.pool, self.filled = np.empty(1 << 16, np.uint32), 0
 
     @classmethod
@@ -58,7 +62,7 @@ class Encoder:
         total = int(lengths.sum())
         while self.filled + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.pool[self.filled:self.filled + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
+        self.pool[self.filled:self.filled + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         starts = self.filled + np.cumsum(lengths) - lengths
         self.filled += total
         return starts, lengths
@@ -71,14 +75,16 @@ class Encoder:
         have[have] = self.keys[place[have]] == distinct[have]
         new = np.flatnonzero(~have)
         at, length = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        at[have], length[have] = self.at[place[have]], self.length[place[have]]
+        kept = self.place[place[have]]
+        at[have], length[have] = kept >> _SHIFT, kept & ((1 << _SHIFT) - 1)
         if len(new):
-            parts = [piece[a:b].decode() for a, b in zip(starts[first[new]].tolist(), (starts + lengths)[first[new]].tolist())]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-            at[new], length[new] = self._append(found)
+            for some in np.split(new, range(CALL_PARTS, len(new), CALL_PARTS)):
+                begin, size = starts[first[some]].tolist(), lengths[first[some]].tolist()
+                parts = [piece[a:a + b].decode() for a, b in zip(begin, size)]
+                at[some], length[some] = self._append([x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
             keep = new[lengths[first[new]] <= LONGEST_PART]
             keys = np.insert(self.keys, place[keep], distinct[keep])
-            self.at, self.length = np.insert(self.at, place[keep], at[keep]), np.insert(self.length, place[keep], length[keep])
+            self.place = np.insert(self.place, place[keep], (at[keep] << _SHIFT) + length[keep])
             self.keys = keys
         return at[back], length[back]
 
@@ -109,7 +115,7 @@ class Encoder:
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For groups of rows of a string column: first row, last row, their ids and the number of ids of each row."""
         data, offsets = byte_rows(column)
-        for first, last in row_groups(offsets):
+        for first, last in row_groups(offsets, GROUP_BYTES):
             if _OTHER_SPACE.search(data[offsets[first]:offsets[last]]) is None:
                 yield first, last, *self._group(data, offsets[first:last + 1])
                 continue

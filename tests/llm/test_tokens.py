@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -44,6 +45,24 @@ def test_cached_parts_survive_and_are_dropped(monkeypatch):
     assert [x.tolist() for x in encoded(texts)] == [x.tolist() for x in direct(texts)]
 
 
+def test_new_parts_are_encoded_a_few_at_a_time():
+    """2 MB of distinct words: neither the work arrays nor the answers of the library are held for all of them."""
+    column = pa.array([" ".join(f"w{i}x{k}" for k in range(300)) for i in range(800)])
+    encoder, calls = Encoder(PATH), []
+
+    class Counted:
+        def encode_batch_fast(self, parts, add_special_tokens):
+            calls.append(len(parts))
+            return own.encode_batch_fast(parts, add_special_tokens=add_special_tokens)
+    own, encoder.tokenizer = encoder.tokenizer, Counted()
+    tracemalloc.start()
+    groups = [(last - first, len(ids), counts.sum()) for first, last, ids, counts in encoder.encode(column)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(rows for rows, _, _ in groups) == 800 and all(ids == counts for _, ids, counts in groups)
+    assert max(calls) <= 4_096 and sum(calls) >= 230_000 and peak < 60e6, peak
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
 
