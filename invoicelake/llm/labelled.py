@@ -1,4 +1,4 @@
-"""A bounded labelled sample for fitting a classifier, and turning raw margins into probabilities."""
+"""Labelled rows for fitting a classifier (all of them, or a bounded sample), and turning raw margins into probabilities."""
 
 from __future__ import annotations
 
@@ -12,16 +12,43 @@ from pyspark.sql import functions as F
 from invoicelake.llm.common import held_out
 
 MAX_LABELLED = 6_000
+SIEVE_BITS = 25
+
+
+def labelled_ids(labels: DataFrame, label: str, id_column: str = "doc_id") -> DataFrame:
+    """``doc_id, label`` of all rows outside the held-out fifth.
+
+    A document labelled twice takes its smaller label; NULL ids and labels do not count.
+    """
+    return (labels.select(F.col(id_column).alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
+            .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label")))
+
+
+def sieved(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose ``doc_id`` is not in ``ids``, and with all others; no text moves.
+
+    Labels of any size fit in a map of ``1 << SIEVE_BITS`` bits, by a hash of the id; a join has to follow, which then moves few texts in vain.
+    """
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SIEVE_BITS)).cast("int")
+    cells = ids.select(cell.alias("cell"))
+    marks = cells.groupBy(F.shiftright("cell", 3).alias("at")).agg(F.bit_or(F.expr("shiftleft(1, cell & 7)")).alias("mark")).toArrow()
+    bits = np.zeros(1 << SIEVE_BITS - 3, np.uint8)
+    bits[marks["at"].to_numpy()] = marks["mark"].to_numpy()
+
+    @F.pandas_udf("boolean")
+    def may_be_labelled(cells: pd.Series) -> pd.Series:
+        at = cells.to_numpy()
+        return pd.Series((bits[at >> 3] >> (at & 7) & 1).astype(bool))
+    return docs.filter(may_be_labelled(cell))
 
 
 def training_ids(labels: DataFrame, label: str, id_column: str = "doc_id", most: int = MAX_LABELLED) -> DataFrame:
     """``doc_id, label, weight`` of at most about ``most`` rows outside the held-out fifth, half of them per class.
 
     Rows are drawn by a hash of the id with a probability per class; ``weight`` is its inverse, so weighted counts
-    stand for all labelled rows. A document labelled twice takes its smaller label; NULL ids and labels do not count.
+    stand for all labelled rows (``labelled_ids``).
     """
-    rows = (labels.select(F.col(id_column).alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
-            .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label")))
+    rows = labelled_ids(labels, label, id_column)
     sizes = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
     share = {k: min(1.0, most / 2 / n) for k, n in sizes.items() if k in (0, 1)}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
@@ -65,3 +92,32 @@ def platt(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple
         if np.abs(size * step).max() < 1e-8:
             break
     return float(beta[0] / scale), float(beta[1])
+
+
+def platt_of_rows(rows: DataFrame) -> tuple[float, float]:
+    """``platt`` for a table of ``margin, label`` of any size: the sums of a Newton step are one pass of the tasks.
+
+    ``rows`` is read several times: pass a table. Rounded, so that the order of the sums does not show.
+    """
+    scale = float(np.sqrt(rows.agg(F.avg(F.col("margin") ** 2)).first()[0] or 0)) or 1.0
+    x, y, ridge = F.col("margin") / scale, F.col("label"), np.array([1e-3, 1e-6])
+
+    def sums(b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z = x * float(b[0]) + float(b[1])
+        p = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(60.0)), F.lit(-60.0))))
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - y * z
+        got = rows.agg(*[F.avg(c) for c in (loss, x * (p - y), p - y, x * x * p * (1 - p), x * p * (1 - p), p * (1 - p))]).first()
+        return got[0] + 0.5 * float(ridge @ b**2), np.array(got[1:3]) + ridge * b, np.array([[got[3], got[4]], [got[4], got[5]]])
+    beta = np.array([1.0, 0.0])
+    loss, slope, curve = sums(beta)
+    for _ in range(50):
+        step, size = np.linalg.solve(curve + np.diag(ridge + 1e-9), slope), 1.0
+        found = sums(beta - step)
+        while found[0] > loss and size > 1e-4:
+            size /= 2
+            found = sums(beta - size * step)
+        beta = beta - size * step
+        loss, slope, curve = found
+        if np.abs(size * step).max() < 1e-8:
+            break
+    return round(float(beta[0] / scale), 9), round(float(beta[1]), 9)

@@ -1,25 +1,31 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy.
 
 A word is the sum of rows of a hashed embedding table: one for the word, one for each of its proper prefixes of ``PREFIXES``
-bytes, so that endings the sample has not seen still count. Filters of several widths slide over the words, each keeps its largest
+bytes, so that endings the training rows have not shown still count. Filters of several widths slide over the words, each keeps its largest
 answer over the whole text (rectified), and a linear layer with a logistic gives the score. Thresholds are calibrated by
 language on rows the network was not trained on; they decide ``flagged`` and never touch the score.
+
+All labelled rows outside the held-out fifth are trained on, and all of them count in the vocabulary, the calibration and the
+thresholds. A few thousand rows are trained on in the driver. More are dealt into parts by a hash of their ids: in every round each part
+trains a copy of the network in a task, and the moves of the copies are averaged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from invoicelake.llm.common import byte_rows, held_out, row_groups, word_codes
-from invoicelake.llm.labelled import logistic, platt, sampled_features, training_ids
+from invoicelake.functions.ordering import with_buckets
+from invoicelake.llm.common import byte_rows, give_back, held_out, row_groups, stored, word_codes
+from invoicelake.llm.labelled import labelled_ids, logistic, platt, platt_of_rows, sieved
+from invoicelake.session import cut_lineage
 
 BITS = 16
 WIDTHS = (1, 2, 3)
@@ -29,7 +35,11 @@ DIMENSION = 16
 LEAST_DOCUMENTS = 5
 HIDE = 0.4
 CUT = 0.5
-MAX_SAMPLE = 4_000
+DRIVER_ROWS = 4_000  # labelled rows the driver trains on alone, at most; with more, all are trained on in the tasks
+PART_ROWS = 1 << 14
+PART_BYTES = 1 << 26
+ROUNDS = 6  # of the parts, at least; with few rows so many that no fewer texts are met than by the driver
+FIXED = 1 << 20  # moves are summed as whole numbers, so the order of the sums does not show
 BLOCK_WORDS = 1 << 16
 GRID_WORDS = 1 << 20
 _WORD = np.zeros(256, bool)
@@ -41,14 +51,29 @@ def _bucket(codes: np.ndarray) -> np.ndarray:
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of every text as bytes. Of neighbouring rows with one ``doc_id`` the first stays."""
+    before = None
     for batch in batches:
+        ids = batch.column("doc_id").to_numpy()
+        batch = batch.filter(pa.array(np.concatenate([ids[:1] != before, ids[1:] != ids[:-1]], dtype=bool)))
+        before = ids[-1] if len(ids) else before
         data, offsets = byte_rows(batch.column("text"))
         rows = []
         for first, last in row_groups(offsets):
             codes, counts = word_codes(data, offsets[first:last + 1], _WORD, PREFIXES)
-            rows += [part.tobytes() for part in np.split(_bucket(codes), np.cumsum(counts)[:-1])]
-        kept = [batch.column(k) for k in ("doc_id", "label", "weight", "lang")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.binary())], ["doc_id", "label", "weight", "lang", "features"])
+            rows += [part.tobytes() for part in np.split(_bucket(codes).astype(np.uint16), np.cumsum(counts)[:-1])]
+        kept = [batch.column(k) for k in ("part", "fold", "doc_id", "label", "lang")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.binary())], ["part", "fold", "doc_id", "label", "lang", "features"])
+    give_back()
+
+
+def _texts(features: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """A row of buckets per word, for every text, without copying."""
+    out = []
+    for chunk in features.chunks if isinstance(features, pa.ChunkedArray) else [features]:
+        data, offsets = byte_rows(chunk)
+        out += [data[first:last].view(np.uint16).reshape(-1, 1 + len(PREFIXES)) for first, last in zip(offsets[:-1], offsets[1:])]
+    return out
 
 
 @dataclass
@@ -66,9 +91,9 @@ class Network:
 
     def words(self, rows: np.ndarray) -> np.ndarray:
         """Vectors of words, given their rows of the table (one column per code of a word)."""
-        total = self.embedding[rows[..., 0]]
+        total = self.embedding.take(rows[..., 0], axis=0)
         for k in range(1, rows.shape[-1]):
-            total += self.embedding[rows[..., k]]
+            total += self.embedding.take(rows[..., k], axis=0)
         return total
 
     def pooled(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -102,11 +127,23 @@ class Network:
         return self.pooled(words, counts).astype(np.float64) @ self.output + self.offset
 
 
+def _documents_with(texts: list[np.ndarray]) -> np.ndarray:
+    """How many of the texts hold each bucket."""
+    seen, here = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, bool)
+    for words in texts:
+        here[words] = True
+        found = np.flatnonzero(here)
+        here[found] = False
+        seen[found] += 1
+    return seen
+
+
 def _initial(texts: list[np.ndarray], seed: int) -> Network:
+    return _fresh(_documents_with(texts), seed)
+
+
+def _fresh(seen: np.ndarray, seed: int) -> Network:
     rng = np.random.default_rng(seed)
-    seen = np.zeros(1 << BITS, np.int64)
-    for words in texts:
-        seen[np.unique(words)] += 1
     row = np.zeros(1 << BITS, np.int32)
     common = np.flatnonzero(seen >= LEAST_DOCUMENTS)
     common = common[common > 0]
@@ -179,12 +216,24 @@ def _gradient(net: Network, grid: np.ndarray, lengths: np.ndarray, labels: np.nd
     return slopes, float(error.sum())
 
 
+def _batch(net: Network, texts: list[np.ndarray], chosen: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embedding rows of some texts, padded, with a share ``HIDE`` of the words hidden; their lengths; the pooled answers that are kept."""
+    lengths = np.array([len(texts[i]) for i in chosen])
+    grid = np.zeros((len(chosen), max(lengths.max(), 1) + max(WIDTHS) - 1, 1 + len(PREFIXES)), np.int32)
+    for r, i in enumerate(chosen):
+        grid[r, :len(texts[i])] = net.row[texts[i]] * (rng.random((len(texts[i]), 1)) >= HIDE)
+    return grid, lengths, (rng.random((len(chosen), len(net.bias))) < 0.8) / 0.8
+
+
+def _balance(labels: np.ndarray, share: float) -> np.ndarray:
+    return np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+
+
 def _train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 0, rounds: int = 16, batch: int = 32, rate: float = 0.01) -> Network:
     """Adam on the logistic loss with balanced classes. In every round a share ``HIDE`` of the words is hidden, so that no
-    text is learned by heart from a few words. Beside the sample (16 bytes per word) it holds one batch at a time."""
+    text is learned by heart from a few words. Beside the texts it holds one batch at a time."""
     net, rng = _initial(texts, seed), np.random.default_rng(seed)
-    share = labels.mean()
-    balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    balance = _balance(labels, labels.mean())
     named = net.parameters()
     steps = 0
     first, second = ({k: np.zeros_like(v) for k, v in named.items()} for _ in range(2))
@@ -192,11 +241,7 @@ def _train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 0, rounds: i
     for turn in range(rounds):
         for g in rng.permutation(len(groups)):
             chosen = groups[g]
-            lengths = np.array([len(texts[i]) for i in chosen])
-            grid = np.zeros((len(chosen), max(lengths.max(), 1) + max(WIDTHS) - 1, 1 + len(PREFIXES)), np.int32)
-            for r, i in enumerate(chosen):
-                grid[r, :len(texts[i])] = net.row[texts[i]] * (rng.random((len(texts[i]), 1)) >= HIDE)
-            kept = (rng.random((len(chosen), len(net.bias))) < 0.8) / 0.8
+            grid, lengths, kept = _batch(net, texts, chosen, rng)
             slopes, offset_slope = _gradient(net, grid, lengths, labels[chosen], balance[chosen], kept)
             steps += 1
             pace = rate * (1 - turn / rounds) * (1 - 0.999**steps) ** 0.5 / (1 - 0.9**steps)
@@ -208,6 +253,35 @@ def _train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 0, rounds: i
     return net
 
 
+def _round(shared: Network, texts: list[np.ndarray], labels: np.ndarray, balance: np.ndarray, rng: np.random.Generator, rate: float,
+           batch: int = 32) -> Network:
+    """A copy of ``shared`` after one round over the texts of a part: as in ``_train``, but of the embedding a step touches only the rows
+    that got a slope, so that its cost does not grow with the vocabulary."""
+    net = replace(shared, **{name: getattr(shared, name).copy() for name in ("embedding", "bias", "output")}, filters=[f.copy() for f in shared.filters])
+    named = net.parameters()
+    first, second = ({k: np.zeros_like(v) for k, v in named.items()} for _ in range(2))
+    here, place = np.zeros(len(net.embedding), bool), np.zeros(len(net.embedding), np.int32)
+    groups = _batches(np.array([len(words) for words in texts]), batch)
+    for steps, g in enumerate(rng.permutation(len(groups)), 1):
+        chosen = groups[g]
+        grid, lengths, kept = _batch(net, texts, chosen, rng)
+        here[0] = here[grid] = True
+        used = np.flatnonzero(here)
+        here[used], place[used] = False, np.arange(len(used))
+        slopes, offset_slope = _gradient(replace(net, embedding=net.embedding[used]), place[grid], lengths, labels[chosen], balance[chosen], kept)
+        pace = rate * (1 - 0.999**steps) ** 0.5 / (1 - 0.9**steps)
+        for name, value in named.items():
+            at, slope = ..., slopes[name]
+            if name == "embedding":
+                moved = slope.any(axis=1)
+                at, slope = used[moved], slope[moved]
+            first[name][at] += 0.1 * (slope - first[name][at])
+            second[name][at] += 0.001 * (np.square(slope) - second[name][at])
+            value[at] -= pace * first[name][at] / (np.sqrt(second[name][at]) + 1e-8)
+        net.offset -= rate * offset_slope
+    return net
+
+
 @dataclass
 class Model:
     """The network, its logistic calibration, and the score from which a text of a language is flagged ('' for others)."""
@@ -232,19 +306,124 @@ def _threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> f
     return float((s[best] + (s[best + 1] if best + 1 < len(s) else 0)) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 2, least_of_language: int = 20) -> Model:
-    """Train on a bounded labelled sample (``MAX_SAMPLE`` rows, none of them held out).
+def _cells(net: Network) -> np.ndarray:
+    """All parameters as rows of ``DIMENSION`` numbers, those of the embedding first."""
+    rest = np.concatenate([*(f.ravel() for f in net.filters), net.bias, net.output, [net.offset]])
+    return np.concatenate([net.embedding, np.append(rest, np.zeros(-len(rest) % DIMENSION)).reshape(-1, DIMENSION)], dtype=np.float64)
 
-    Every row is also scored by a network that was trained on the other folds; these scores fix the calibration and the
-    thresholds. A language with fewer than ``least_of_language`` rows of label 1 takes the threshold of all rows. Without labels,
-    or with one class only, every text gets the share of label 1 (0.5 without labels).
+
+def _with_cells(net: Network, cells: np.ndarray) -> Network:
+    rest = cells[len(net.embedding):].ravel()
+    ends = np.cumsum([f.size for f in net.filters] + [len(net.bias), len(net.output)])
+    *filters, bias, output, offset = np.split(rest[:ends[-1] + 1], ends)
+    return Network(net.row, cells[:len(net.embedding)].astype(np.float32), [f.reshape(own.shape).astype(np.float32) for f, own in zip(filters, net.filters)],
+                   bias.astype(np.float32), output, float(offset[0]))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of a task by part. A part lies in one file and fills at most a few batches (``PART_ROWS``, ``PART_BYTES``)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        parts = batch.column("part").to_numpy()
+        heads = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
+        for first, last in zip(heads[:-1], heads[1:]):
+            if first == last:
+                continue
+            if held and held[0].column("part")[0].as_py() != parts[first]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(first, last - first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _vocabularies(rows: DataFrame, folds: int) -> np.ndarray:
+    """How many documents of each fold hold each bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            texts, fold = _texts(part["features"]), part["fold"].to_numpy()
+            for k in range(folds):
+                seen = _documents_with([texts[i] for i in np.flatnonzero(fold == k)])
+                found = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k), pa.int32()), pa.array(found, pa.int32()), pa.array(seen[found])],
+                                                 ["fold", "bucket", "n"])
+        give_back()
+    out = np.zeros((folds, 1 << BITS), np.int64)
+    got = rows.mapInArrow(run, "fold int, bucket int, n long").groupBy("fold", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    out[got["fold"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def _averaged_round(rows: DataFrame, net: Network, k: int, share: float, turn: int, rounds: int, rate: float = 0.01) -> Network:
+    """Network ``k``, which does not see the rows of fold k, after one round over all parts. A parameter moves by the mean of its moves in
+    the parts that moved it.
+
+    A task sends the rows of ``DIMENSION`` numbers it moved; the driver gets their means.
     """
-    sample: pd.DataFrame = sampled_features(docs, training_ids(labels, label, most=MAX_SAMPLE), _feature_batches, ("lang",))
+    pace, names = rate * (1 - turn / rounds), ["at", *(f"v{j}" for j in range(DIMENSION))]
+    sent = rows.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            own, texts = np.flatnonzero(part["fold"].to_numpy() != k), _texts(part["features"])
+            if not len(own):
+                continue
+            y, seed = part["label"].to_numpy()[own], [k, turn, part["part"][0].as_py()]
+            after = _round(sent.value, [texts[i] for i in own], y, _balance(y, share), np.random.default_rng(seed), pace)
+            moves = np.rint((_cells(after) - _cells(sent.value)) * FIXED).astype(np.int32)
+            at = np.flatnonzero(moves.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(moves[at, j]) for j in range(DIMENSION))], names)
+        give_back()
+    means = [(F.sum(name) / (F.count("*") * FIXED)).cast("float").alias(name) for name in names[1:]]
+    got = rows.mapInArrow(run, ", ".join(f"{name} int" for name in names)).groupBy("at").agg(*means).toArrow()
+    sent.destroy()
+    cells = _cells(net)
+    cells[got["at"].to_numpy()] += np.stack([got[name].to_numpy() for name in names[1:]], 1)
+    return _with_cells(net, cells)
+
+
+def _unseen_margins(rows: DataFrame, nets: dict[int, Network]) -> DataFrame:
+    """``lang, label, margin`` of all rows, by the network that was not trained on their fold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, fold, margins = _texts(batch.column("features")), batch.column("fold").to_numpy(), np.zeros(batch.num_rows)
+            for k, net in nets.items():
+                for i in np.flatnonzero(fold == k):
+                    margins[i] = net.margins(net.row[texts[i]], np.array([len(texts[i])]))[0]
+            yield pa.RecordBatch.from_arrays([batch.column("lang").fill_null(""), batch.column("label"), pa.array(margins)], ["lang", "label", "margin"])
+        give_back()
+    return rows.mapInArrow(run, "lang string, label int, margin double")
+
+
+def _thresholds(scored: DataFrame, least_of_language: int) -> dict[str, float]:
+    """``_threshold`` of all rows ('') and of every language with enough rows of label 1, for a table of ``lang, label, score`` of any size."""
+    by_language = scored.groupBy("lang", "score").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+    whole = scored.groupBy("score").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+    counts = cut_lineage(by_language.filter("lang != ''").unionByName(whole.withColumn("lang", F.lit(""))))
+    totals = counts.groupBy("lang").agg(F.sum("hits").alias("all_hits")).filter((F.col("all_hits") >= least_of_language) | (F.col("lang") == ""))
+    bucketed = with_buckets(counts.join(totals, "lang"), "score")
+    order = Window.partitionBy("lang").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = (bucketed.groupBy("lang", "_bucket").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+              .select("lang", "_bucket", *[F.coalesce(F.sum(c).over(order), F.lit(0)).alias(f"{c}_before") for c in ("n", "hits")]))
+    inside = Window.partitionBy("lang", "_bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    n, hits = (F.col(f"{c}_before") + F.sum(c).over(inside) for c in ("n", "hits"))
+    best = (bucketed.join(before, ["lang", "_bucket"]).select("lang", "score", (2 * hits / (n + F.col("all_hits"))).alias("f1"))
+            .groupBy("lang").agg(F.max(F.struct("f1", "score"))["score"].alias("best")))
+    below = F.coalesce(F.max(F.when(F.col("score") < F.col("best"), F.col("score"))), F.lit(0.0))
+    return {row["lang"]: row["cut"] for row in counts.join(best, "lang").groupBy("lang", "best").agg(((F.col("best") + below) / 2).alias("cut")).collect()}
+
+
+def _constant(rows: int, ones: int) -> Model:
+    share = ones / rows if rows else 0.5
+    return Model(None, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))), {"": CUT})
+
+
+def _fit_rows(sample: pd.DataFrame, folds: int, least_of_language: int) -> Model:
+    """``fit`` in the driver, on no more rows than one part holds."""
     y = sample["label"].to_numpy(int)
     if len(set(y.tolist())) < 2:
-        share = float(y.mean()) if len(y) else 0.5
-        return Model(None, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))), {"": CUT})
-    weights, rows = sample["weight"].to_numpy(float), [np.frombuffer(b, np.int32).reshape(-1, 1 + len(PREFIXES)) for b in sample["features"]]
+        return _constant(len(y), int(y.sum()))
+    weights, rows = np.ones(len(y)), _texts(pa.array(sample["features"], pa.binary()))
     part, margins = np.arange(len(y)) % folds, np.zeros(len(y))
     for k in range(folds):
         chosen, rest = np.flatnonzero(part != k), np.flatnonzero(part == k)
@@ -261,6 +440,50 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 2
     return Model(_train(rows, y, folds), slope, offset, thresholds)
 
 
+def _fit_parts(rows: DataFrame, folds: int, least_of_language: int) -> Model:
+    """``fit`` in the tasks, on a stored table of parts: the driver holds the networks, never rows."""
+    sizes = np.zeros((folds, 2), np.int64)
+    for row in rows.groupBy("fold", "label").count().collect():
+        sizes[row["fold"], row["label"]] = row["count"]
+    if not sizes.sum(0).all():
+        return _constant(int(sizes.sum()), int(sizes[:, 1].sum()))
+    trained = {k: np.arange(folds) != k for k in range(folds + 1)}
+    seen = _vocabularies(rows, folds)
+    nets = {k: _fresh(seen[own].sum(0), k) for k, own in trained.items() if sizes[own].sum(0).all()}
+    shares = {k: sizes[trained[k], 1].sum() / sizes[trained[k]].sum() for k in nets}
+    rounds = max(ROUNDS, -(-16 * DRIVER_ROWS // int(sizes.sum())))
+    for k in nets:
+        for turn in range(rounds):
+            nets[k] = _averaged_round(rows, nets[k], k, shares[k], turn, rounds)
+    give_back()
+    whole = nets.pop(folds)
+    margins = stored(_unseen_margins(rows, nets), "margins")
+    slope, offset = platt_of_rows(margins)
+    z = F.greatest(F.least(slope * F.col("margin") + offset, F.lit(60.0)), F.lit(-60.0))
+    return Model(whole, slope, offset, _thresholds(margins.withColumn("score", 1 / (1 + F.exp(-z))), least_of_language))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 2, least_of_language: int = 20) -> Model:
+    """Train on all labelled rows outside the held-out fifth; a document that comes twice counts once.
+
+    Every row is also scored by a network that was trained on the other folds; these scores fix the calibration and the
+    thresholds. A language with fewer than ``least_of_language`` rows of label 1 takes the threshold of all rows. Without labels,
+    or with one class only, every text gets the share of label 1 (0.5 without labels).
+    """
+    ids = stored(labelled_ids(labels, label).filter(F.col("label").isin(0, 1)), "labelled-ids")  # a table, so Spark knows its size
+    open_docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(~held_out(F.col("doc_id")))
+    lengths = open_docs.select("doc_id", F.octet_length("text").alias("bytes")).join(ids, "doc_id")
+    size = lengths.agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    small = size["rows"] <= DRIVER_ROWS and size["bytes"] <= PART_BYTES
+    parts = 1 if small else max(-(-size["rows"] // PART_ROWS), -(-size["bytes"] // PART_BYTES))
+    dealt = (sieved(open_docs, ids).join(ids, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)).cast("int"))
+             .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(folds)).cast("int"))
+             .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", F.xxhash64("text"), "text"))
+    found = (dealt.select("part", "fold", "doc_id", "label", "lang", "text")
+             .mapInArrow(_feature_batches, "part int, fold int, doc_id long, label int, lang string, features binary"))
+    return _fit_rows(found.toPandas(), folds, least_of_language) if small else _fit_parts(stored(found, "labelled"), folds, least_of_language)
+
+
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a column ``score``, from the whole text alone. NULL and empty texts are scored too."""
     fields = [f for f in docs.schema.fields if f.name != "score"]

@@ -219,3 +219,35 @@ def test_ratios_and_dual_descent_against_plain_solvers():
     want = (alpha * signs) @ x
     weights, bias = quality._descend(rows, signs, scale, cost, 2_000, 0)
     assert np.allclose(weights[:40], want[:40], atol=0.01) and abs(bias - want[40]) < 0.01
+
+
+def test_toxicity_trains_on_all_labelled_rows(spark, monkeypatch):
+    docs, labels = [(i, f"common {'nasty' if i % 4 == 0 else 'word'} {i % 7}") for i in range(1_200)], [(i, 1, int(i % 4 == 0), "") for i in range(1_200)]
+    seen, fresh = [], toxicity._fresh
+    monkeypatch.setattr(toxicity, "_fresh", lambda counts, seed: seen.append(counts) or fresh(counts, seed))
+    for name, value in (("DRIVER_ROWS", 40), ("PART_ROWS", 500), ("ROUNDS", 1)):
+        monkeypatch.setattr(toxicity, name, value)
+    model = toxicity.fit(table(spark, docs + docs[:50]), marked(spark, labels))
+    trained = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1_200))
+    assert [counts.max() for counts in seen][-1] == trained and seen[0].max() + seen[1].max() == trained
+    assert np.abs(model.network.embedding - fresh(seen[-1], 2).embedding).max() > 0.05 and model.thresholds.keys() == {"", "en"}
+
+
+def test_sieve_keeps_every_labelled_row(spark):
+    docs, ids = spark.range(20_000).withColumnRenamed("id", "doc_id"), spark.range(0, 20_000, 7).withColumnRenamed("id", "doc_id")
+    left = {r["doc_id"] for r in labelled.sieved(docs, ids).collect()}
+    assert left >= set(range(0, 20_000, 7)) and len(left) < 2_900
+
+
+def test_calibration_and_thresholds_of_rows_equal_those_in_memory(spark):
+    rng = np.random.default_rng(4)
+    labels = (rng.random(900) < 0.3).astype(int)
+    margins, langs = np.round(rng.normal(labels * 1.5 - 0.5, 1.0), 1), np.where(rng.random(900) < 0.6, "en", np.where(rng.random(900) < 0.9, "de", ""))
+    rows = spark.createDataFrame([(str(g), int(y), float(m)) for g, y, m in zip(langs, labels, margins)], "lang string, label int, margin double").repartition(3).cache()
+    slope, offset = labelled.platt(margins, labels.astype(float), np.ones(900))
+    assert np.allclose(labelled.platt_of_rows(rows), (slope, offset), atol=1e-6)
+    scores = labelled.logistic(margins)
+    found = toxicity._thresholds(spark.createDataFrame([(str(g), int(y), float(s)) for g, y, s in zip(langs, labels, scores)], "lang string, label int, score double"), 30)
+    want = {"": toxicity._threshold(scores, labels, np.ones(900))}
+    want |= {g: toxicity._threshold(scores[langs == g], labels[langs == g], np.ones((langs == g).sum())) for g in ("en", "de")}
+    assert found.keys() == want.keys() and all(abs(found[g] - want[g]) < 1e-9 for g in want)
