@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from invoicelake.llm.common import held_out
 
 MAX_LABELLED = 6_000
-SIEVE_BITS = 25
 
 
 def labelled_ids(labels: DataFrame, label: str, id_column: str = "doc_id") -> DataFrame:
@@ -24,24 +23,6 @@ def labelled_ids(labels: DataFrame, label: str, id_column: str = "doc_id") -> Da
             .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label")))
 
 
-def sieved(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most rows whose ``doc_id`` is not in ``ids``, and with all others; no text moves.
-
-    Labels of any size fit in a map of ``1 << SIEVE_BITS`` bits, by a hash of the id; a join has to follow, which then moves few texts in vain.
-    """
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SIEVE_BITS)).cast("int")
-    cells = ids.select(cell.alias("cell"))
-    marks = cells.groupBy(F.shiftright("cell", 3).alias("at")).agg(F.bit_or(F.expr("shiftleft(1, cell & 7)")).alias("mark")).toArrow()
-    bits = np.zeros(1 << SIEVE_BITS - 3, np.uint8)
-    bits[marks["at"].to_numpy()] = marks["mark"].to_numpy()
-
-    @F.pandas_udf("boolean")
-    def may_be_labelled(cells: pd.Series) -> pd.Series:
-        at = cells.to_numpy()
-        return pd.Series((bits[at >> 3] >> (at & 7) & 1).astype(bool))
-    return docs.filter(may_be_labelled(cell))
-
-
 def training_ids(labels: DataFrame, label: str, id_column: str = "doc_id", most: int = MAX_LABELLED) -> DataFrame:
     """``doc_id, label, weight`` of at most about ``most`` rows outside the held-out fifth, half of them per class.
 

@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from invoicelake.functions.ordering import with_buckets
 from invoicelake.llm.common import byte_rows, give_back, held_out, row_groups, stored, word_codes
-from invoicelake.llm.labelled import labelled_ids, logistic, platt, platt_of_rows, sieved
+from invoicelake.llm.labelled import labelled_ids, logistic, platt, platt_of_rows
 from invoicelake.session import cut_lineage
 
 BITS = 16
@@ -476,7 +476,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 2
     size = lengths.agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     small = size["rows"] <= DRIVER_ROWS and size["bytes"] <= PART_BYTES
     parts = 1 if small else max(-(-size["rows"] // PART_ROWS), -(-size["bytes"] // PART_BYTES))
-    dealt = (sieved(open_docs, ids).join(ids, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)).cast("int"))
+    dealt = (open_docs.join(ids, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)).cast("int"))
              .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(folds)).cast("int"))
              .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", F.xxhash64("text"), "text"))
     found = (dealt.select("part", "fold", "doc_id", "label", "lang", "text")
