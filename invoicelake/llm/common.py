@@ -31,11 +31,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the files: lost executors then cost tasks, not the job."""
     spark = df.sparkSession
     folder = new_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return spark.read.schema(df.schema).parquet(folder)
 
 

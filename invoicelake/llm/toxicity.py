@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from invoicelake.functions.ordering import with_buckets
 from invoicelake.llm.common import byte_rows, give_back, held_out, row_groups, stored, word_codes
-from invoicelake.llm.labelled import labelled_ids, logistic, platt, platt_of_rows
+from invoicelake.llm.labelled import labelled_ids, logistic, platt, platt_of_rows, sieved
 from invoicelake.session import cut_lineage
 
 BITS = 16
@@ -39,6 +39,7 @@ DRIVER_ROWS = 4_000  # labelled rows the driver trains on alone, at most; with m
 PART_ROWS = 1 << 14
 PART_BYTES = 1 << 26
 ROUNDS = 6  # of the parts, at least; with few rows so many that no fewer texts are met than by the driver
+BLOCK_CELLS = 1 << 10
 FIXED = 1 << 20  # moves are summed as whole numbers, so the order of the sums does not show
 BLOCK_WORDS = 1 << 16
 GRID_WORDS = 1 << 20
@@ -51,19 +52,25 @@ def _bucket(codes: np.ndarray) -> np.ndarray:
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of every text as bytes. Of neighbouring rows with one ``doc_id`` the first stays."""
-    before = None
+    """The words of every labelled text as bytes, for rows in the order of their ids, the row with the label of an id before its texts.
+
+    Of several texts with one ``doc_id`` the first stays; texts without a label go.
+    """
+    last_id, last_label = 0, -1
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy()
-        batch = batch.filter(pa.array(np.concatenate([ids[:1] != before, ids[1:] != ids[:-1]], dtype=bool)))
-        before = ids[-1] if len(ids) else before
+        ids, labels = batch.column("doc_id").to_numpy(), batch.column("label").fill_null(-1).to_numpy()
+        id_before, label_before = np.append(last_id, ids)[:-1], np.append(last_label, labels)[:-1]
+        chosen = (labels < 0) & (label_before >= 0) & (id_before == ids)
+        if len(ids):
+            last_id, last_label = ids[-1], labels[-1]
+        batch = batch.filter(pa.array(chosen))
         data, offsets = byte_rows(batch.column("text"))
         rows = []
         for first, last in row_groups(offsets):
             codes, counts = word_codes(data, offsets[first:last + 1], _WORD, PREFIXES)
             rows += [part.tobytes() for part in np.split(_bucket(codes).astype(np.uint16), np.cumsum(counts)[:-1])]
-        kept = [batch.column(k) for k in ("part", "fold", "doc_id", "label", "lang")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.binary())], ["part", "fold", "doc_id", "label", "lang", "features"])
+        columns = [*(batch.column(k) for k in ("part", "fold", "doc_id")), pa.array(label_before[chosen], pa.int32()), batch.column("lang"), pa.array(rows, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "fold", "doc_id", "label", "lang", "features"])
     give_back()
 
 
@@ -354,31 +361,62 @@ def _vocabularies(rows: DataFrame, folds: int) -> np.ndarray:
     return out
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, mostly small: their bytes by place and compressed, so that the empty places cost nothing."""
+    values = values.ravel()
+    return pa.Codec("zstd").compress(((values << 1) ^ (values >> 63)).view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    places = np.frombuffer(pa.Codec("zstd").decompress(data, 8 * count), np.uint8).reshape(8, count)
+    values = np.ascontiguousarray(places.T).view(np.int64).ravel()
+    return (values >> 1 & (1 << 63) - 1) ^ -(values & 1)
+
+
 def _averaged_round(rows: DataFrame, net: Network, k: int, share: float, turn: int, rounds: int, rate: float = 0.01) -> Network:
     """Network ``k``, which does not see the rows of fold k, after one round over all parts. A parameter moves by the mean of its moves in
     the parts that moved it.
 
-    A task sends the rows of ``DIMENSION`` numbers it moved; the driver gets their means.
+    A task sends the sums of its parts in blocks of ``BLOCK_CELLS`` rows of ``DIMENSION`` numbers, with the parts that moved a row as
+    one more number; the driver gets the means.
     """
-    pace, names = rate * (1 - turn / rounds), ["at", *(f"v{j}" for j in range(DIMENSION))]
+    pace = rate * (1 - turn / rounds)
     sent = rows.sparkSession.sparkContext.broadcast(net)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for part in _parts(batches):
             own, texts = np.flatnonzero(part["fold"].to_numpy() != k), _texts(part["features"])
             if not len(own):
                 continue
             y, seed = part["label"].to_numpy()[own], [k, turn, part["part"][0].as_py()]
+            before = _cells(sent.value)
             after = _round(sent.value, [texts[i] for i in own], y, _balance(y, share), np.random.default_rng(seed), pace)
-            moves = np.rint((_cells(after) - _cells(sent.value)) * FIXED).astype(np.int32)
-            at = np.flatnonzero(moves.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(moves[at, j]) for j in range(DIMENSION))], names)
+            moves = np.rint((_cells(after) - before) * FIXED).astype(np.int64)
+            if total is None:
+                total = np.zeros((-(-len(moves) // BLOCK_CELLS) * BLOCK_CELLS, DIMENSION + 1), np.int64)
+            total[:len(moves), :DIMENSION] += moves
+            total[:len(moves), DIMENSION] += moves.any(axis=1)
+        if total is not None:
+            for block, own in enumerate(total.reshape(-1, BLOCK_CELLS, DIMENSION + 1)):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([_packed(own)], pa.binary())], ["block", "moves"])
         give_back()
-    means = [(F.sum(name) / (F.count("*") * FIXED)).cast("float").alias(name) for name in names[1:]]
-    got = rows.mapInArrow(run, ", ".join(f"{name} int" for name in names)).groupBy("at").agg(*means).toArrow()
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, moves in zip(batch.column("block").to_pylist(), batch.column("moves")):
+                own = totals.setdefault(block, np.zeros((BLOCK_CELLS, DIMENSION + 1), np.int64))
+                own += _unpacked(moves.as_py(), own.size).reshape(own.shape)
+        for block, own in totals.items():
+            means = (own[:, :DIMENSION] / (np.maximum(own[:, DIMENSION:], 1) * FIXED)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([means.tobytes()], pa.binary())], ["block", "moves"])
+    got = rows.mapInArrow(train, "block int, moves binary").repartition("block").mapInArrow(mean, "block int, moves binary").toArrow()
     sent.destroy()
     cells = _cells(net)
-    cells[got["at"].to_numpy()] += np.stack([got[name].to_numpy() for name in names[1:]], 1)
+    for block, moves in zip(got["block"].to_pylist(), got["moves"].to_pylist()):
+        own = cells[block * BLOCK_CELLS:(block + 1) * BLOCK_CELLS]
+        own += np.frombuffer(moves, np.float32).reshape(-1, DIMENSION)[:len(own)]
     return _with_cells(net, cells)
 
 
@@ -471,17 +509,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 2
     or with one class only, every text gets the share of label 1 (0.5 without labels).
     """
     ids = stored(labelled_ids(labels, label).filter(F.col("label").isin(0, 1)), "labelled-ids")  # a table, so Spark knows its size
-    open_docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(~held_out(F.col("doc_id")))
+    open_docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     lengths = open_docs.select("doc_id", F.octet_length("text").alias("bytes")).join(ids, "doc_id")
     size = lengths.agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     small = size["rows"] <= DRIVER_ROWS and size["bytes"] <= PART_BYTES
     parts = 1 if small else max(-(-size["rows"] // PART_ROWS), -(-size["bytes"] // PART_BYTES))
-    dealt = (open_docs.join(ids, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)).cast("int"))
+    named = ids.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), "label")
+    both = sieved(open_docs, ids).withColumn("label", F.lit(None).cast("int")).unionByName(named)  # texts meet their labels where they are dealt to: they move once
+    dealt = (both.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)).cast("int"))
              .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(folds)).cast("int"))
-             .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", F.xxhash64("text"), "text"))
+             .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", F.col("label").isNull(), F.xxhash64("text"), "text"))
     found = (dealt.select("part", "fold", "doc_id", "label", "lang", "text")
              .mapInArrow(_feature_batches, "part int, fold int, doc_id long, label int, lang string, features binary"))
-    return _fit_rows(found.toPandas(), folds, least_of_language) if small else _fit_parts(stored(found, "labelled"), folds, least_of_language)
+    return _fit_rows(found.toPandas(), folds, least_of_language) if small else _fit_parts(stored(found, "labelled", "zstd"), folds, least_of_language)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:

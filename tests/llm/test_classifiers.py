@@ -245,3 +245,73 @@ def test_calibration_and_thresholds_of_rows_equal_those_in_memory(spark):
     want = {"": toxicity._threshold(scores, labels, np.ones(900))}
     want |= {g: toxicity._threshold(scores[langs == g], labels[langs == g], np.ones((langs == g).sum())) for g in ("en", "de")}
     assert found.keys() == want.keys() and all(abs(found[g] - want[g]) < 1e-9 for g in want)
+
+
+def test_sieve_keeps_every_named_row_and_few_others(spark, monkeypatch):
+    docs, ids = spark.range(-10_000, 20_000).toDF("doc_id"), spark.range(-10_000, 20_000, 7).toDF("doc_id")
+    left = {r["doc_id"] for r in labelled.sieved(docs, ids).collect()}
+    assert left >= set(range(-10_000, 20_000, 7)) and len(left) < 1.15 * 4_286
+    assert labelled.sieved(docs, ids.filter("doc_id = 5")).count() == 0
+    monkeypatch.setattr(labelled, "SIEVE_BITS", (4, 4))
+    assert {r["doc_id"] for r in labelled.sieved(docs, ids).collect()} >= set(range(-10_000, 20_000, 7))
+
+
+@pytest.mark.parametrize("bits", [(10, 27), (4, 4)])
+def test_labelled_texts_move_once_and_without_a_join(spark, monkeypatch, capsys, bits):
+    docs = [(i, None if i == 3 else f"word{i % 9} nasty" * (i % 5)) for i in range(600)] + [(8, "other"), (8, "a copy"), (None, "no id"), (9001, "no label")]
+    labels = [(i, 1, int(i % 4 == 0), "") for i in range(0, 600, 2)] + [(8, 1, 1, ""), (12, 1, 2, ""), (None, 1, 1, ""), (7_777, 1, 1, "")]
+    for module, name, value in ((toxicity, "DRIVER_ROWS", 40), (toxicity, "PART_ROWS", 100), (labelled, "SIEVE_BITS", bits)):
+        monkeypatch.setattr(module, name, value)
+    rows, store = [], toxicity.stored
+
+    def seen(df, name, *how):
+        if name == "labelled":
+            df.explain()
+            rows.extend(df.collect())
+        return store(df, name, *how)
+    monkeypatch.setattr(toxicity, "stored", seen)
+    monkeypatch.setattr(toxicity, "_fit_parts", lambda found, *_: found.count())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with more labels than Spark sends around
+    try:
+        count = toxicity.fit(spark.createDataFrame([(*r, "en", "", "") for r in docs], SCHEMA), marked(spark, labels))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    want = {i: int(i % 4 == 0) for i in range(0, 600, 2) if zlib.crc32(str(i).encode()) % 5}
+    assert {r["doc_id"]: r["label"] for r in rows} == want and len(rows) == count == len(want)
+    of = {r["doc_id"]: len(r["features"]) for r in rows}
+    assert all(n == 8 * len(set(t for d, t in docs if d == i).pop().split()) for i, n in of.items() if i not in (8, 3))
+
+
+def test_features_of_batches_cut_anywhere():
+    schema = pa.schema([("part", pa.int32()), ("fold", pa.int32()), ("doc_id", pa.int64()), ("label", pa.int32()), ("lang", pa.string()), ("text", pa.string())])
+    cells = [(1, None, "no label"), (2, 1, None), (2, None, "one two"), (2, None, "its copy"), (3, 0, None), (4, 1, None), (4, None, None), (0, None, "no label"), (0, 0, None)]
+    rows = [{"part": 0, "fold": 1, "doc_id": i, "label": y, "lang": "en", "text": t} for i, y, t in cells]
+    for size in (1, 2, 3, 9):
+        batches = [pa.RecordBatch.from_pylist(rows[i:i + size], schema) for i in range(0, 9, size)] + [pa.RecordBatch.from_pylist([], schema)]
+        out = pa.Table.from_batches(toxicity._feature_batches(iter(batches)))
+        assert [(r["doc_id"], r["label"], len(r["features"])) for r in out.to_pylist()] == [(2, 1, 16), (4, 1, 0)]
+
+
+def test_a_round_sends_packed_sums_and_takes_their_means(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    values = np.append(rng.integers(-40_000, 40_000, 16_998), [-2**63, 2**63 - 1])
+    assert (toxicity._unpacked(toxicity._packed(values), len(values)) == values).all()
+    assert len(toxicity._packed(values[:16_000])) < 3 * 16_000 and len(toxicity._packed(np.zeros(17_000, np.int64))) < 200
+    monkeypatch.setattr(toxicity, "BLOCK_CELLS", 64)
+    texts = [rng.choice(400, (int(n), 1 + len(toxicity.PREFIXES))).astype(np.uint16) for n in rng.integers(0, 30, 240)]
+    label, fold, part = rng.integers(0, 2, 240), np.arange(240) % 2, np.arange(240) // 80
+    net = toxicity._initial(texts, 0)
+    rows = [(int(part[i]), int(fold[i]), i, int(label[i]), "en", texts[i].tobytes()) for i in range(240)]
+    frame = spark.createDataFrame(rows, "part int, fold int, doc_id long, label int, lang string, features binary").repartitionById(2, "part").sortWithinPartitions("part", "doc_id")
+    got = toxicity._averaged_round(frame, net, 1, 0.4, 0, 2)
+    moves = []
+    for p in range(3):
+        own = np.flatnonzero((part == p) & (fold != 1))
+        y = label[own]
+        after = toxicity._round(net, [texts[i] for i in own], y, toxicity._balance(y, 0.4), np.random.default_rng([1, 0, p]), 0.01)
+        moves.append(np.rint((toxicity._cells(after) - toxicity._cells(net)) * toxicity.FIXED).astype(np.int64))
+    parts = np.sum([m.any(axis=1) for m in moves], axis=0)
+    want = toxicity._cells(net) + (np.sum(moves, axis=0) / np.maximum(parts, 1)[:, None] / toxicity.FIXED)
+    assert np.allclose(toxicity._cells(got), want, atol=1e-6) and np.abs(want - toxicity._cells(net)).max() > 0.01
